@@ -25,6 +25,12 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm import webp
+
+    return webp.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folio.llm import packing
 
