@@ -31,6 +31,12 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return webp.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm import near_dedup
+
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folio.llm import packing
 
