@@ -43,6 +43,12 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm import fingerprint
+
+    return fingerprint.with_next(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
