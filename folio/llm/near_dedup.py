@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.components import components
-from folio.llm.shared import heavy_keys, skew_join, stored
+from folio.llm.shared import bit_filter, heavy_keys, passes, skew_join, stored
 from folio.llm.textnum import U64, Words, chunked, mix, span_hashes
 
 BANDS, ROWS = 36, 5
@@ -37,8 +37,6 @@ BINS = BANDS * ROWS
 #: Shares of equal bins (8 bits each) below the threshold's by this are no candidates: over seven deviations.
 SLACK = 0.22
 BLOCK = 256
-#: Bits of the filter that says which rows may be candidates: 2 MB, whatever the input.
-FILTER_BITS = 1 << 24
 
 
 def _donors() -> Iterator[np.ndarray]:
@@ -121,32 +119,20 @@ def sketch(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_shingles long, node binary, bands array<long>, sig binary")
 
 
-def _filter_of(nodes: DataFrame) -> np.ndarray:
-    """A bit for the hash of every node: FILTER_BITS bits, so at most FILTER_BITS / 64 rows come to the driver."""
-    bit = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
-    words = nodes.select(bit.alias("bit")).selectExpr("cast(bit div 64 as int) as w", "shiftleft(1L, cast(bit % 64 as int)) as b").groupBy("w").agg(F.bit_or("b").alias("b"))
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    for batch in words.toArrow().to_batches():
-        out[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
-    return out.view(np.uint8)
-
-
 def _sets_of(docs: DataFrame, width: int, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, set) of the rows whose ids are in wanted (node, low): a bounded filter in Python, then an exact join."""
-    bits = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted.select(F.col("low").alias("node"))))
-    place = F.pmod(F.xxhash64(F.col(id_col)), F.lit(FILTER_BITS))
+    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(wanted.select(F.xxhash64("low").alias("h")), "h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = np.unpackbits(bits.value, bitorder="little")
         for b in batches:
-            b = b.filter(pa.array(got[b.column(1).to_numpy()] == 1))
+            b = b.filter(pa.array(passes(bits.value, b.column(1).to_numpy())))
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
                 sets = [s for s in shingle_sets([t or "" for t in part.column(0).to_pylist()], width) if len(s)]
                 nodes = [np.array([span_hashes(s, np.array([0]), np.array([len(s)]))[0], span_hashes(mix(s + U64(0x51ED27)), np.array([0]), np.array([len(s)]))[0]]).tobytes() for s in sets]
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "set"])
 
-    made = docs.select(text_col, place.alias("place")).mapInArrow(run, "node binary, set array<long>")
+    made = docs.select(text_col, F.xxhash64(F.col(id_col)).alias("h")).mapInArrow(run, "node binary, set array<long>")
     # several rows can hold one set: the first will do
     return made.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 

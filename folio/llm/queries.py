@@ -19,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm import substring_dedup
+
+    return substring_dedup.remove_recurring(table(spark, sf_dir, "documents"), window=35, digest=True)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folio.llm import bpe
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Only where the session names no shared folder, as in tests on one machine.
 LOCAL_FOLDER = "/tmp/checkpoints"
+#: Bits of a filter over hashes: 4 MB for the driver and each worker, whatever the input.
+FILTER_BITS = 1 << 25
 #: A key is heavy beyond this share of the rows; so there are at most 1 / HEAVY_SHARE of them.
 HEAVY_SHARE = 0.0005
 #: Below so many rows a key is never heavy.
@@ -50,3 +53,26 @@ def skew_join(rows: DataFrame, unique: DataFrame, key: str, heavy: DataFrame, ho
     big = rows.where("_heavy").drop("_heavy").join(F.broadcast(unique.where("_heavy").drop("_heavy")), key, how)
     rest = rows.where("_heavy is null").drop("_heavy").join(unique.where("_heavy is null").drop("_heavy"), key, how)
     return big.unionByName(rest)
+
+
+def bit_filter(hashes: DataFrame, column: str) -> np.ndarray:
+    """A bit for the low bits of every value of a long column: FILTER_BITS / 64 numbers at most come to the driver.
+
+    It only says which rows can't matter; those it lets through are judged exactly later. When it fills up, it lets all through.
+    """
+    words = (
+        hashes.select(F.pmod(F.col(column), F.lit(FILTER_BITS).cast("long")).alias("bit"))
+        .selectExpr("cast(bit div 64 as int) as w", "shiftleft(1L, cast(bit % 64 as int)) as b")
+        .groupBy("w")
+        .agg(F.bit_or("b").alias("b"))
+    )
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    for batch in words.toArrow().to_batches():
+        out[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    return out.view(np.uint8)
+
+
+def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the hashes (64-bit) a bit_filter() lets through."""
+    at = hashes.view(np.uint64) & np.uint64(FILTER_BITS - 1)
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
