@@ -37,6 +37,12 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return webp.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op7_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm import lm_score
+
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folio.llm import near_dedup
 
