@@ -37,6 +37,18 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return webp.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm import html_extract
+
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm import quality
+
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 def op7_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folio.llm import lm_score
 
