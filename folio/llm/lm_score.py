@@ -22,7 +22,6 @@ string. Without training documents N and V are 0. Extra columns are ignored.
 
 from __future__ import annotations
 
-import gc
 import zlib
 from collections.abc import Iterator
 
@@ -33,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.shared import stored
+from folio.llm.shared import free_shuffles, stored
 from folio.llm.textnum import U64, Words, mix
 
 #: Characters of a unit, and of a unit's text for each shard's share.
@@ -224,8 +223,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     for of, once, n in both.applyInPandas(novelty, "of int, once long, n long").groupBy("of").agg(F.sum("once"), F.sum("n")).collect():
         # a pair more of either kind keeps it inside 0 and 1
         backoff[of] = (once + 1) / (n + 2)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()  # the first join's shuffle files may go
+    free_shuffles(spark)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, out, u, totals, word, pair, context = told(pdf)

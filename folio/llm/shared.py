@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -26,11 +27,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let the driver's collectors find what is unused: shuffle files of finished jobs go then, and disks don't fill."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: lineage ends here, and lost executors cost no more than their tasks."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    free_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
