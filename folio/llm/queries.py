@@ -31,6 +31,12 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm import license_scan
+
+    return license_scan.summary(table(spark, sf_dir, "documents"))
+
+
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folio.llm import webp
 
