@@ -225,3 +225,16 @@ def _across(members: DataFrame, info: DataFrame, least_same: int, percent: int)
         return pd.DataFrame([(min(a, b), max(a, b)) for a, b in set(out)], columns=["a", "b"])
 
     return dealt.withColumn("task", task).groupBy("task").applyInPandas(run, "a binary, b binary").distinct()
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without near-duplicates: of each component the document with the least id (null first), then text hash, stays.
+
+    Of rows that repeat id and text one stays; documents without words all stay.
+    """
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"))
+    found = near_duplicates(docs.select(key.alias("key"), F.col(text_col).alias("text")), width, percent, "key", "text")
+    kept = found.where("kept").select(F.col("key.id").alias("_id"), F.col("key.h").alias("_h")).distinct()
+    keyed = docs.withColumns({"_near_id": F.col(id_col), "_near_h": F.xxhash64(text_col)})
+    rows = keyed.join(kept, keyed["_near_id"].eqNullSafe(kept["_id"]) & (keyed["_near_h"] == kept["_h"]), "left_semi")
+    return rows.dropDuplicates(["_near_id", "_near_h"]).drop("_near_id", "_near_h")

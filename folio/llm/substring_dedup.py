@@ -202,21 +202,56 @@ def remove_recurring(docs: DataFrame, window: int = 35, id_col: str = "doc_id",
         for b in batches:
             for at, texts in chunked(b.column(1).to_pylist()):
                 part = b.slice(at, len(texts))
-                words = Words(texts)
-                covered = np.zeros(len(words.hash) + 1, np.int64)
-                for i, s in enumerate(part.column(2).to_pylist()):
-                    if s:
-                        x = np.array(s, np.int64) + words.first[i]
-                        np.add.at(covered, x[0::2], 1)
-                        np.add.at(covered, x[1::2], -1)
-                gone = np.cumsum(covered[:-1]) > 0
-                n = np.diff(words.first)
-                kept_to = np.concatenate(([0], np.cumsum(~gone)))[words.first]
-                kept = np.flatnonzero(~gone)
-                pieces = [words.raw[x:y] for x, y in zip(words.start[kept].tolist(), words.end[kept].tolist(), strict=True)]
-                joined = [b" ".join(pieces[x:y]) for x, y in zip(kept_to[:-1].tolist(), kept_to[1:].tolist(), strict=True)]
-                texts_out = [hashlib.sha256(x).hexdigest() for x in joined] if digest else [x.decode("utf-8", "surrogatepass") for x in joined]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(n - np.diff(kept_to), pa.int64()), pa.array(texts_out, pa.string())], names=[id_col, "n_words", "n_removed", last])
+                n, removed, joined = _without(texts, part.column(2).to_pylist())
+                out = [hashlib.sha256(x).hexdigest() for x in joined] if digest else [x.decode("utf-8", "surrogatepass") for x in joined]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(out, pa.string())], names=[id_col, "n_words", "n_removed", last])
 
     kind = dict(docs.dtypes)[id_col]
     return rows.join(spans, ["r1", "r2"], "left").select("id", "text", "spans").mapInArrow(run, f"`{id_col}` {kind}, n_words long, n_removed long, {last} string")
+
+
+def _without(texts: list[str], spans: list[list[int] | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """For each text: words, removed words, and the kept words joined by blanks."""
+    words = Words(texts)
+    covered = np.zeros(len(words.hash) + 1, np.int64)
+    for i, s in enumerate(spans):
+        if s:
+            x = np.array(s, np.int64) + words.first[i]
+            np.add.at(covered, x[0::2], 1)
+            np.add.at(covered, x[1::2], -1)
+    gone = np.cumsum(covered[:-1]) > 0
+    n = np.diff(words.first)
+    kept_to = np.concatenate(([0], np.cumsum(~gone)))[words.first]
+    kept = np.flatnonzero(~gone)
+    pieces = [words.raw[x:y] for x, y in zip(words.start[kept].tolist(), words.end[kept].tolist(), strict=True)]
+    joined = [b" ".join(pieces[x:y]) for x, y in zip(kept_to[:-1].tolist(), kept_to[1:].tolist(), strict=True)]
+    return n, n - np.diff(kept_to), joined
+
+
+def rewrite(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """docs with recurring passages taken out of their texts, all columns kept; size_col, if there, is the new text's length.
+
+    Texts without recurring passages stay as they are, white space included.
+    """
+    spans = recurring(docs, window, id_col, text_col).withColumnRenamed("spans", "_spans")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.withColumns({"_r1": F.xxhash64(F.col(id_col), text), "_r2": F.xxhash64(text, F.lit(1), F.col(id_col))})
+    joined = keyed.join(spans, (keyed["_r1"] == spans["r1"]) & (keyed["_r2"] == spans["r2"]), "left").select(*docs.columns, "_spans")
+    at_text, at_size = docs.columns.index(text_col), docs.columns.index(size_col) if size_col in docs.columns else -1
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, found = b.column(at_text).to_pylist(), b.column(len(names)).to_pylist()
+            some = [i for i, s in enumerate(found) if s]
+            for at, part in chunked([texts[i] for i in some]):
+                which = some[at : at + len(part)]
+                for i, x in zip(which, _without(part, [found[i] for i in which])[2], strict=True):
+                    texts[i] = x.decode("utf-8", "surrogatepass")
+            columns = list(b.columns[: len(names)])
+            columns[at_text] = pa.array(texts, pa.string())
+            if at_size >= 0:
+                columns[at_size] = pa.array([None if t is None else len(t) for t in texts], columns[at_size].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return joined.mapInArrow(run, docs.schema)
