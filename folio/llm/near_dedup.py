@@ -5,12 +5,15 @@ gives its bin and its value, so one pass makes the whole signature; an empty bin
 from the bin that a universal hash of (bin, attempt) names first (optimal densification).
 Equal sets become one node, so copies count once. Bands of bins give bucket keys.
 
-Candidates are stars: each bucket's members are tried with its least node only, and
-links are confirmed on the full sets. That finds nearly all components. A pair whose
-link the stars missed shares a bucket whose members are then in different components;
-such open buckets are compared block by block on signatures inside a task, which emits
-only pairs across components that the signatures take for linked, and these are
-confirmed in turn. No cap is set on buckets or partners; nothing emits all pairs.
+Nodes with too many shingles that no other candidate has can't be linked and go by an
+exact count. Then each bucket is a star: its members are compared with one of them, the
+one whose shingles are common most, on full sets; the outcome is kept as what the member
+lacks of the centre and what it adds. That confirms the links to centres, and these give
+nearly all components. Linked nodes share a bucket, hence a centre, so a link that the
+stars missed is among the members of one centre: where these lie in several components,
+the strays (outside the centre's component) are compared with the other members and each
+other, in blocks, exactly, by what they lack and add. A task emits one link for two
+components at most. No cap is set on buckets or partners; nothing emits all pairs.
 
 Defined results: a null, empty or blank text has no set, n_shingles 0 and links with
 nothing. Equal sets share a component; rows that repeat an id share its component by
@@ -29,14 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.components import components
-from folio.llm.shared import bit_filter, heavy_keys, passes, skew_join, stored
+from folio.llm.shared import HEAVY_ROWS, HEAVY_SHARE, bit_filter, heavy_keys, passes, skew_join, stored
 from folio.llm.textnum import U64, Words, chunked, mix, span_hashes
 
 BANDS, ROWS = 36, 5
 BINS = BANDS * ROWS
-#: Shares of equal bins (8 bits each) below the threshold's by this are no candidates: over seven deviations.
-SLACK = 0.22
+#: Members of a centre that meet in one task, from either side.
 BLOCK = 256
+ELEMENTS = 4096
 
 
 def _donors() -> Iterator[np.ndarray]:
@@ -88,7 +91,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """id, n_shingles, node (128-bit hash of the set, null if empty), bands (bucket keys), sig (a byte for each bin)."""
+    """id, n_shingles, node (128-bit hash of the set, null if empty), bands (bucket keys)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -96,7 +99,7 @@ def sketch(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame
                 part = b.slice(at, 1000)
                 sets = shingle_sets([t or "" for t in part.column(1).to_pylist()], width)
                 some = [i for i, s in enumerate(sets) if len(s)]
-                nodes, bands, sigs = ([None] * len(sets) for _ in range(3))
+                nodes, bands = ([None] * len(sets) for _ in range(2))
                 if some:
                     kept = [sets[i] for i in some]
                     sig = signatures(kept)
@@ -109,14 +112,14 @@ def sketch(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame
                     one, two = span_hashes(all_, begin, stop), span_hashes(mix(all_ + U64(0x51ED27)), begin, stop)
                     ids = np.stack([one, two], axis=1)
                     for k, i in enumerate(some):
-                        nodes[i], bands[i], sigs[i] = ids[k].tobytes(), keys[k], (sig[k] & U64(255)).astype(np.uint8).tobytes()
+                        nodes[i], bands[i] = ids[k].tobytes(), keys[k]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
-                    names=[id_col, "n_shingles", "node", "bands", "sig"],
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                    names=[id_col, "n_shingles", "node", "bands"],
                 )
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_shingles long, node binary, bands array<long>, sig binary")
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_shingles long, node binary, bands array<long>")
 
 
 def _sets_of(docs: DataFrame, width: int, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -137,39 +140,41 @@ def _sets_of(docs: DataFrame, width: int, wanted: DataFrame, id_col: str, text_c
     return made.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    left = sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(left, "a").join(right, "b").where(both * 100 >= (F.size("sa") + F.size("sb") - both) * percent).select("a", "b")
+def _heavy(sized: DataFrame) -> DataFrame:
+    """Keys (key, size) with more than HEAVY_SHARE of all rows: at most 1 / HEAVY_SHARE."""
+    total = sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    return sized.where((F.col("size") > HEAVY_ROWS) & (F.col("size") > total * HEAVY_SHARE)).select("key")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, centre, of, lacks, adds, linked) of pairs (node, centre): the centre's size and the differences of the full sets."""
+    own = sets.select("node", F.col("set").alias("sn"))
+    mid = sets.select(F.col("node").alias("centre"), F.col("set").alias("sc"))
+    both = pairs.join(own, "node").join(mid, "centre")
+    both = both.select("node", "centre", F.size("sn").alias("n"), F.size("sc").alias("of"), F.array_except("sc", "sn").alias("lacks"), F.array_except("sn", "sc").alias("adds"))
+    return both.select("node", "centre", "of", "lacks", "adds", ((F.col("n") - F.size("adds")) * 100 >= (F.col("of") + F.size("adds")) * percent).alias("linked"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id, kept: one row for each row of docs."""
     sig = stored(sketch(docs, width, id_col, text_col), "sketch")
-    classes = stored(sig.where("node is not null").groupBy("node").agg(F.min(id_col).alias("low"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "classes")
-    least_same = int(BINS * (percent / 100 - SLACK))
+    classes = stored(sig.where("node is not null").groupBy("node").agg(F.min(id_col).alias("low"), F.first("bands").alias("bands")), "classes")
 
     members = classes.select("node", F.explode("bands").alias("key"))
-    shared = stored(members.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
-    heavy = stored(shared.where(F.col("size") > 200).join(F.broadcast(shared.agg(F.sum("size").alias("all"))), F.col("size") > F.col("all") * 0.0005).select("key"), "heavy")
-    inside = stored(skew_join(members, shared, "key", heavy), "members")
-
-    info = classes.select("node", "n", "sig")
-    pairs = inside.where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    near = _alike(pairs, info, least_same, percent)
+    crowd = stored(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
+    inside = stored(skew_join(members, crowd, "key", _heavy(crowd)).select("node", "key"), "members")
     wanted = inside.select("node").distinct().join(classes.select("node", "low"), "node")
     sets = stored(_sets_of(docs, width, wanted, id_col, text_col), "sets")
-    links = stored(_confirm(near, sets, percent), "links")
+    # only nodes whose sets can overlap enough with any one other go on
+    able = stored(_shared(sets).where(F.col("shared") * 100 >= F.col("n") * percent), "able")
+    inside = inside.join(able, "node")
+    stars = inside.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.max(F.struct(F.col("shared") / F.col("n"), "n", "node"))["node"].alias("centre")).where("size > 1")
+    stars = stored(stars, "stars")
+    pairs = skew_join(inside.select("node", "key"), stars.select("key", "centre"), "key", _heavy(stars)).where("node != centre").select("node", "centre").distinct()
+    compared = stored(_compared(pairs, sets, percent), "compared")
+    links = compared.where("linked").select(F.col("node").alias("a"), F.col("centre").alias("b"))
     first = stored(components(links), "components")
-
-    # buckets whose members lie in several components
-    placed = inside.join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo != hi").select("key", F.col("size").alias("of"))
-    more = _across(skew_join(placed.select("key", "node", "root"), open_, "key", heavy), info, least_same, percent)
-    tried = near.select("a", "b").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = stored(_confirm(more.join(tried, ["a", "b"], "left_anti"), sets, percent), "links")
+    more = stored(_across(compared, first, percent), "links")
     roots = stored(components(links.unionByName(more)), "components")
 
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -181,50 +186,77 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     return linked.unionByName(alone).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
-def _alike(pairs: DataFrame, info: DataFrame, least_same: int, percent: int) -> DataFrame:
-    """Pairs whose sizes allow a link and whose signatures make it likely."""
-    a = info.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sig").alias("siga"))
-    b = info.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sigb"))
-    sized = pairs.join(a, "a").join(b, "b").where((F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent))
+def _shared(sets: DataFrame) -> DataFrame:
+    """(node, n, shared): set size, and how many of a node's shingles any other candidate's set holds too.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BINS) for k in (2, 3))
-            ok = (x == y).sum(axis=1) >= least_same
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["a", "b"])
-
-    return sized.select("a", "b", "siga", "sigb").mapInArrow(run, "a binary, b binary")
-
-
-def _across(members: DataFrame, info: DataFrame, least_same: int, percent: int) -> DataFrame:
-    """Likely pairs of open buckets' members from different components, by blocks of members against blocks."""
-    rows = members.join(info, "node")
-    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("of") / BLOCK))
-    last = F.ceil(F.col("of") / BLOCK) - 1
-    rows = rows.withColumn("block", block)
-    # block i meets each block j >= i: as the left one of (i, j) and as the right one of (h, i)
-    ranges = F.transform(F.sequence(F.lit(0).cast("long"), last), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
-    dealt = rows.select("key", "node", "root", "n", "sig", "block", F.explode(ranges).alias("p")).select("key", "node", "root", "n", "sig", "block", "p.i", "p.j")
-    task = F.pmod(F.xxhash64("key", "i", "j"), F.lit(1 << 14))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for (_, i, j), g in pdf.groupby(["key", "i", "j"], sort=False):
-            sig = np.frombuffer(b"".join(g.sig), np.uint8).reshape(-1, BINS)
-            root, _ = pd.factorize(g.root)
-            n, own = g.n.to_numpy(), g.block.to_numpy()
-            x = np.flatnonzero(own == i)
-            y = np.flatnonzero(own == j)
-            for k in x:
-                at = y[(root[y] != root[k]) & (n[y] * 100 >= n[k] * percent) & (n[k] * 100 >= n[y] * percent)]
-                if i == j:
-                    at = at[at > k]
-                if len(at):
-                    at = at[(sig[at] == sig[k]).sum(axis=1) >= least_same]
-                    out += [(g.node.iat[k], g.node.iat[m]) for m in at]
-        return pd.DataFrame([(min(a, b), max(a, b)) for a, b in set(out)], columns=["a", "b"])
-
-    return dealt.withColumn("task", task).groupBy("task").applyInPandas(run, "a binary, b binary").distinct()
+    No other set has the rest, so an intersection is at most the smaller `shared` of two nodes. Near-copies whose edits
+    are their own thus fall out by counts, before any pairs are made.
+    """
+    own = sets.select("node", F.explode("set").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("of"), F.min("node").alias("node")).where("of = 1")
+    own = own.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    return sets.join(own, "node", "left").select("node", F.size("set").alias("n"), (F.size("set") - F.coalesce("own", F.lit(0))).alias("shared"))
+
+
+def _across(compared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one centre that lie in different components.
+
+    Strays, members outside the centre's component, meet all other members: block i of strays meets block j of
+    strays for i <= j, and each block of the rest, home. Members at home are in one component already. The rows dealt grow
+    with the blocks of strays, so they are few where the stars did well.
+    """
+    of_node, of_centre = roots.withColumnRenamed("root", "r1"), roots.select(F.col("node").alias("centre"), F.col("root").alias("r2"))
+    placed = compared.join(of_node, "node", "left").join(of_centre, "centre", "left")
+    placed = placed.withColumn("root", F.coalesce("r1", "node")).withColumn("stray", F.col("root") != F.coalesce("r2", "centre")).drop("r1", "r2", "linked")
+    counts = placed.groupBy("centre").agg(F.count_if("stray").alias("strays"), F.count_if(~F.col("stray")).alias("homes")).where("strays > 1 or strays > 0 and homes > 0")
+    # rows are wide, counts are one narrow row for each centre that is open
+    rows = placed.join(counts, "centre")
+    s, h = F.ceil(F.col("strays") / BLOCK), F.ceil(F.col("homes") / BLOCK)
+    block = F.pmod(F.xxhash64("node"), F.when(F.col("stray"), s).otherwise(h))
+    rows = rows.withColumns({"s": s, "h": h, "block": block})
+    first = F.lit(0).cast("long")
+    upto = lambda n: F.when(n > 0, F.sequence(first, n - 1)).otherwise(F.array().cast("array<bigint>"))
+    with_strays = F.transform(upto(F.col("s")), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
+    with_homes = F.transform(upto(F.col("h")), lambda j: F.struct(F.col("block").alias("i"), (F.col("s") + j).alias("j")))
+    at_home = F.transform(upto(F.col("s")), lambda i: F.struct(i.alias("i"), (F.col("s") + F.col("block")).alias("j")))
+    meets = F.when(F.col("stray"), F.concat(with_strays, with_homes)).otherwise(at_home)
+    dealt = rows.select("centre", "of", "node", "root", "stray", "lacks", "adds", "block", "s", F.explode(meets).alias("m")).select("*", "m.i", "m.j").drop("m")
+
+    def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
+        _, i, j = key
+        stray, own, s = g.stray.to_numpy(), g.block.to_numpy(), int(g.s.iat[0])
+        x = np.flatnonzero(stray & (own == i))
+        y = np.flatnonzero(stray & (own == j)) if j < s else np.flatnonzero(~stray)
+        of = int(g.of.iat[0])
+        r, a = (np.array([len(v) for v in c]) for c in (g.lacks, g.adds))
+        no_r, both_a = _common(g.lacks, x, y), _common(g.adds, x, y)
+        size = of - r + a
+        common = of - (r[x][:, None] + r[y][None, :] - no_r) + both_a
+        near = common * 100 >= (size[x][:, None] + size[y][None, :] - common) * percent
+        root, _ = pd.factorize(g.root)
+        near &= root[x][:, None] != root[y][None, :]
+        p, q = np.nonzero(near)
+        # one link for two components
+        _, one = np.unique(np.sort(np.stack([root[x[p]], root[y[q]]]), axis=0), axis=1, return_index=True)
+        return pd.DataFrame({"a": g.node.to_numpy()[x[p[one]]], "b": g.node.to_numpy()[y[q[one]]]})
+
+    return dealt.groupBy("centre", "i", "j").applyInPandas(run, "a binary, b binary").distinct()
+
+
+def _common(sets: pd.Series, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets x with sets y. Elements are taken some thousand at a time, and only those that two sets have."""
+    sizes = np.array([len(v) for v in sets])
+    flat = np.concatenate([np.asarray(v, np.int64) for v in sets])
+    _, at, times = np.unique(flat, return_inverse=True, return_counts=True)
+    number = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[at]
+    row = np.repeat(np.arange(len(sizes)), sizes)[number >= 0]
+    number = number[number >= 0]
+    out = np.zeros((len(x), len(y)), np.float32)
+    for start in range(0, int(number.max(initial=-1)) + 1, ELEMENTS):
+        some = (number >= start) & (number < start + ELEMENTS)
+        has = np.zeros((len(sizes), ELEMENTS), np.float32)
+        has[row[some], number[some] - start] = 1
+        out += has[x] @ has[y].T
+    return out.astype(np.int64)
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
