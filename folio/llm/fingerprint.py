@@ -1,9 +1,9 @@
 """Document fingerprints: a Merkle tree over words runs, paragraphs and sections, in DataFrame functions only.
 
-Leaves are runs of up to LEAF_WORDS words of a paragraph (a line), a paragraph's digest is
-over its leaves' digests, a section's over SECTION paragraphs', the root over the sections'.
-The fingerprint is the root in hex, then for each section "/" and its digest, for each
-paragraph ";" and its digest, and "." and a digest for each leaf. Equal roots mean equal
+A paragraph (a line) has its digest, a section's is over its SECTION paragraphs' digests,
+the root over the sections'; below a paragraph, leaves are runs of up to LEAF_WORDS words.
+The fingerprint is the root in hex, then for each section "/" and eight digits of its
+digest, for each paragraph ";" and eight digits, and "." and a short hash for each leaf. Equal roots mean equal
 texts; where roots differ, the sections, then paragraphs, then leaves that differ locate
 the edit. Likeness is the share of common leaves (2 * common / all, distinct ones).
 
@@ -20,28 +20,38 @@ from pyspark.sql import functions as F
 from folio.llm.shared import stored
 
 LEAF_WORDS, SECTION = 6, 8
-#: Hex digits of the digests below the root.
+#: Hex digits that are printed of the digests below the root.
 SHORT = 8
 
 
-def _digest(value: Column, digits: int = SHORT) -> Column:
-    return F.substring(F.sha2(value, 256), 1, digits)
+def _leaf_digest(leaf: Column) -> Column:
+    """32 bits of a fast hash in hex: leaves only locate and compare, equality is the root's."""
+    low = F.xxhash64(leaf).bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(1 << 32))
+    return F.substring(F.lower(F.hex(low)), 2, SHORT)
 
 
 def fingerprint(text: Column) -> Column:
     """The fingerprint string of a text column (not null)."""
     leaf = rf"[^ ]*+(?: ++[^ ]++){{0,{LEAF_WORDS - 1}}}+ *+"
 
-    def paragraph(line: Column) -> Column:
-        leaves = F.filter(F.regexp_extract_all(line, F.lit(leaf), F.lit(0)), lambda x: x != "")
-        return F.concat(F.lit("."), F.array_join(F.transform(leaves, lambda x: _digest(x)), "."))
+    def printed(line: Column) -> Column:
+        found = F.filter(F.regexp_extract_all(line, F.lit(leaf), F.lit(0)), lambda x: x != "")
+        return F.when(line == "", "").otherwise(F.concat(F.lit("."), F.array_join(F.transform(found, _leaf_digest), ".")))
 
-    # the line itself stays in its digest, so lines that differ only in what leaves skip differ too
-    lines = F.transform(F.split(text, "\n"), lambda x: F.concat(F.lit(";"), _digest(x), F.when(x == "", "").otherwise(paragraph(x))))
-    starts = F.sequence(F.lit(1), F.size(lines), F.lit(SECTION))
-    sections = F.transform(starts, lambda i: F.array_join(F.slice(lines, i, SECTION), ""))
-    body = F.transform(sections, lambda x: F.concat(F.lit("/"), _digest(x), x))
-    return F.concat(F.sha2(F.array_join(F.transform(body, lambda x: F.substring(x, 2, SHORT)), ""), 256), F.array_join(body, ""))
+    lines = F.transform(F.split(text, "\n"), lambda x: F.struct(F.sha2(x, 256).alias("d"), printed(x).alias("p")))
+    lines = F.transform(lines, lambda s: F.struct(s["d"].alias("d"), F.concat(F.lit(";"), F.substring(s["d"], 1, SHORT), s["p"]).alias("p")))
+
+    # each array is named once, as the argument of a lambda, so that nothing is worked out twice
+    def grouped(ls: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(ls), F.lit(SECTION))
+        return F.transform(starts, lambda i: F.struct(F.sha2(F.array_join(F.slice(ls["d"], i, SECTION), ""), 256).alias("d"), F.array_join(F.slice(ls["p"], i, SECTION), "").alias("p")))
+
+    def whole(ss: Column) -> Column:
+        body = F.array_join(F.transform(ss, lambda s: F.concat(F.lit("/"), F.substring(s["d"], 1, SHORT), s["p"])), "")
+        return F.concat(F.sha2(F.array_join(ss["d"], ""), 256), body)
+
+    sections = F.element_at(F.transform(F.array(lines), grouped), 1)
+    return F.element_at(F.transform(F.array(sections), whole), 1)
 
 
 def root(print_: Column) -> Column:
@@ -107,14 +117,35 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """Fingerprints of every text and of its edited form (last third replaced by the next document's start), and likenesses."""
     rows = _keyed(docs, id_col, text_col)
     pairs = next_of(rows).select(F.col("after.k_id").alias("k_id"), F.col("after.k_null").alias("k_null"), F.col("after.k_text").alias("k_text"), F.struct(*KEY).alias("of"), F.floor(F.col("n_chars") / 3).cast("int").alias("third"))
-    own = rows.withColumn("fingerprint", fingerprint(F.col("text")))
-    given = own.join(pairs, list(KEY)).select("of.*", F.expr("substring(text, 1, third)").alias("start"), F.col("fingerprint").alias("next_fingerprint")).dropDuplicates(list(KEY))
-    both = own.join(given, list(KEY))
-    both = both.withColumn("edited", F.expr("concat(substring(text, 1, cast(n_chars - floor(n_chars / 3) as int)), start)"))
-    both = both.select(F.col("k_own").alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", fingerprint(F.col("edited")).alias("edited_fingerprint"), "next_fingerprint")
-    both = both.withColumns({"one": leaves(F.col("fingerprint")), "two": leaves(F.col("edited_fingerprint")), "three": leaves(F.col("next_fingerprint"))})
-
-    def near(other: str, bag: str) -> Column:
-        return F.when(root(F.col("fingerprint")) == root(F.col(other)), F.lit(1.0)).otherwise(likeness(F.col("one"), F.col(bag)))
-
-    return both.select(id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", near("edited_fingerprint", "two").alias("near_edited"), near("next_fingerprint", "three").alias("near_next"))
+    # both joins need the same columns of rows by the same key, so the texts are shuffled once and read twice;
+    # of the next document only its start and its leaves go on, four bytes a leaf
+    given = rows.join(pairs, list(KEY)).withColumn("fp", fingerprint(F.col("text")))
+    given = given.select(
+        "of.*",
+        F.col("k_own").alias("next_id"),
+        F.col("n_chars").alias("next_n_chars"),
+        F.expr("substring(text, 1, third)").alias("start"),
+        F.unhex(root(F.col("fp"))).alias("next_root"),
+        F.unhex(F.array_join(leaves(F.col("fp")), "")).alias("next_leaves"),
+    ).dropDuplicates(list(KEY))
+    both = rows.join(given, list(KEY))
+    both = both.withColumns({"edited": F.expr("concat(substring(text, 1, cast(n_chars - floor(n_chars / 3) as int)), start)"), "fingerprint": fingerprint(F.col("text"))})
+    both = both.select(F.col("k_own").alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", fingerprint(F.col("edited")).alias("edited_fingerprint"), "next_root", "next_leaves", "next_id", "next_n_chars")
+    three = F.regexp_extract_all(F.lower(F.hex("next_leaves")), F.lit(f".{{{SHORT}}}"), F.lit(0))
+    both = both.withColumns({"one": leaves(F.col("fingerprint")), "two": leaves(F.col("edited_fingerprint")), "three": three})
+
+    def near(same: Column, bag: str) -> Column:
+        return F.when(same, F.lit(1.0)).otherwise(likeness(F.col("one"), F.col(bag)))
+
+    own = root(F.col("fingerprint"))
+    return both.select(
+        id_col,
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        near(own == root(F.col("edited_fingerprint")), "two").alias("near_edited"),
+        near(F.unhex(own) == F.col("next_root"), "three").alias("near_next"),
+        F.col("next_id").alias("next_doc_id"),
+        "next_n_chars",
+    )
