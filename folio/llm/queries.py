@@ -6,6 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: SQL for the operators that it can express.
+WORDS_SQL = r"""words AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(coalesce({}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents)"""
+SQL = {
+    "op1_substring_dedup": f"""WITH {WORDS_SQL.format("text")},
+        places AS (SELECT rid, w, unnest(range(1, len(w) + 1)) AS p FROM words),
+        pos AS (SELECT rid, p, w[p] AS word, CASE WHEN p + 34 <= len(w) THEN array_to_string(w[p:p + 34], ' ') END AS key FROM places),
+        n AS (SELECT key FROM pos WHERE key IS NOT NULL GROUP BY key HAVING count(*) > 1),
+        m AS (SELECT rid, p, word, coalesce(p - max(CASE WHEN n.key IS NOT NULL THEN p END) OVER (PARTITION BY rid ORDER BY p) < 35, false) AS gone FROM pos LEFT JOIN n USING (key)),
+        d AS (SELECT rid, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT gone) AS kept FROM m GROUP BY rid)
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM words LEFT JOIN d USING (rid)""",
+    "op8_minhash_near_dedup": f"""WITH RECURSIVE {WORDS_SQL.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")},
+        places AS (SELECT rid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM words WHERE len(w) > 0),
+        sh AS (SELECT DISTINCT rid, array_to_string(w[p:p + 4], ' ') AS key FROM places),
+        n AS (SELECT rid, count(*) AS n FROM sh GROUP BY rid),
+        both_ AS (SELECT a.rid AS a, b.rid AS b, count(*) AS c FROM sh a JOIN sh b ON a.key = b.key AND a.rid < b.rid GROUP BY ALL),
+        link AS (SELECT a, b FROM both_ JOIN n x ON x.rid = a JOIN n y ON y.rid = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+        reach AS (SELECT rid, rid AS r FROM words UNION SELECT reach.rid, edge.b FROM reach JOIN edge ON reach.r = edge.a),
+        low AS (SELECT reach.rid, min(o.doc_id) AS component_id FROM reach JOIN words o ON o.rid = reach.r GROUP BY reach.rid)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM words LEFT JOIN n USING (rid) LEFT JOIN low USING (rid)""",
+}
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -90,4 +111,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
