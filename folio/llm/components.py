@@ -14,6 +14,13 @@ def _star(arcs: DataFrame) -> DataFrame:
     return skew_join(arcs, least, "u", heavy_keys(arcs, "u"))
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node that hangs on another hangs on one only, which hangs on none."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("hangs")).unionByName(edges.select(F.col("v").alias("x"), F.lit(None).cast("int").alias("hangs")))
+    found = ends.groupBy("x").agg(F.count("hangs").alias("up"), F.count_if(F.col("hangs").isNull()).alias("down"))
+    return found.where("up > 1 or up > 0 and down > 0").limit(1).count() == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node in edges (a, b): root is the least node that can be reached.
 
@@ -21,18 +28,12 @@ def components(edges: DataFrame) -> DataFrame:
     its root. Rounds grow with the logarithm of the longest chain. No edges: no rows.
     """
     edges = stored(edges.select("a", "b").where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
-    while True:
+    while not _settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stored(large, "large")
         small = _star(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         edges = stored(small.where("u != v").distinct(), "small")
-        # settled when a round leaves the edges as they were
-        now = edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
-        if now == before:
-            break
-        before = now
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
