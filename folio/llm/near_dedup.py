@@ -266,7 +266,9 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
     """
     key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"))
     found = near_duplicates(docs.select(key.alias("key"), F.col(text_col).alias("text")), width, percent, "key", "text")
-    kept = found.where("kept").select(F.col("key.id").alias("_id"), F.col("key.h").alias("_h")).distinct()
-    keyed = docs.withColumns({"_near_id": F.col(id_col), "_near_h": F.xxhash64(text_col)})
-    rows = keyed.join(kept, keyed["_near_id"].eqNullSafe(kept["_id"]) & (keyed["_near_h"] == kept["_h"]), "left_semi")
-    return rows.dropDuplicates(["_near_id", "_near_h"]).drop("_near_id", "_near_h")
+    # keys without nulls, the same for the join and for repeated rows, so that texts are shuffled once
+    parts = lambda i, h: [F.coalesce(i.cast("string"), F.lit("")).alias("_near_id"), i.isNull().alias("_near_null"), h.alias("_near_h")]
+    names = ["_near_id", "_near_null", "_near_h"]
+    kept = found.where("kept").select(*parts(F.col("key.id"), F.col("key.h"))).distinct()
+    keyed = docs.select("*", *parts(F.col(id_col), F.xxhash64(text_col)))
+    return keyed.join(kept, names, "left_semi").dropDuplicates(names).select(*docs.columns)
