@@ -32,8 +32,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.shared import free_shuffles, stored
-from folio.llm.textnum import U64, Words, mix
+from folio.llm.shared import stored, tidy
+from folio.llm.textnum import U64, Words, chunked, mix
 
 #: Characters of a unit, and of a unit's text for each shard's share.
 UNIT_CHARS, SHARD_CHARS = 6 << 20, 8 << 20
@@ -50,14 +50,19 @@ class Unit:
     """Tokens of a unit's texts: hashes, the document of each, and the hash of the pair with the token before."""
 
     def __init__(self, texts: list[str]):
-        words = Words(texts, lower=True)
-        n = np.diff(words.first)
-        ends = words.first[1:] + np.arange(len(n))
+        # hashed in smaller runs, whose arrays over bytes are short-lived
+        hashes, counts = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+        for _, run in chunked(texts):
+            words = Words(run, lower=True)
+            hashes.append(words.hash)
+            counts.append(np.diff(words.first))
+        n, flat = np.concatenate(counts), np.concatenate(hashes)
+        ends = np.cumsum(n) + np.arange(len(n))
         self.size = n + 1
-        self.token = np.full(len(words.hash) + len(n), END)
+        self.token = np.full(len(flat) + len(n), END)
         inner = np.ones(len(self.token), bool)
         inner[ends] = False
-        self.token[inner] = words.hash
+        self.token[inner] = flat
         self.doc = np.repeat(np.arange(len(n)), self.size)
         self.context = np.concatenate(([START], self.token[:-1]))
         self.context[ends - n] = START
@@ -220,10 +225,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         return pd.DataFrame({"of": np.arange(MAX_BUCKETS), "once": once.astype(np.int64), "n": np.bincount(of, minlength=MAX_BUCKETS)})
 
     backoff = np.full(MAX_BUCKETS, 0.5)
-    for of, once, n in both.applyInPandas(novelty, "of int, once long, n long").groupBy("of").agg(F.sum("once"), F.sum("n")).collect():
+    with tidy(spark):
+        rates = both.applyInPandas(novelty, "of int, once long, n long").groupBy("of").agg(F.sum("once"), F.sum("n")).collect()
+    for of, once, n in rates:
         # a pair more of either kind keeps it inside 0 and 1
         backoff[of] = (once + 1) / (n + 2)
-    free_shuffles(spark)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, out, u, totals, word, pair, context = told(pdf)

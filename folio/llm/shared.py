@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -27,18 +28,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let the driver's collectors find what is unused: shuffle files of finished jobs go then, and disks don't fill."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Actions inside leave no shuffle files: their results are written or small, so nothing reads these files again.
+
+    Else they would stay until the driver happens to collect its garbage, and disks fill meanwhile.
+    """
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: lineage ends here, and lost executors cost no more than their tasks."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    free_shuffles(spark)
+    with tidy(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -75,7 +87,9 @@ def bit_filter(hashes: DataFrame, column: str) -> np.ndarray:
         .agg(F.bit_or("b").alias("b"))
     )
     out = np.zeros(FILTER_BITS // 64, np.int64)
-    for batch in words.toArrow().to_batches():
+    with tidy(hashes.sparkSession):
+        got = words.toArrow()
+    for batch in got.to_batches():
         out[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
     return out.view(np.uint8)
 
