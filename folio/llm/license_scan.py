@@ -1,12 +1,19 @@
 """Licence scans: a trained paragraph classifier in DataFrame functions.
 
-Paragraphs are lines. The features of a paragraph are the presence of word unigrams and
+A paragraph is known by the number of its first line. Lines are scored one by one, for
+notices on one line; then each line with a telling word that matched nothing is scored
+joined with the lines that follow it, up to a blank line, a matched line or SPAN_CHARS,
+for hard-wrapped notices. A line whose only signs are those of a comment is blank. Of
+joined paragraphs of one family that overlap, the first is reported.
+
+The features of a paragraph are the presence of word unigrams and
 bigrams that occur in the licence templates and have a telling word in them. A
 multinomial logistic regression over them, fitted on the driver on variants of the
 templates and on mixtures of their words, tells the families and an unknown class; its
 logits are divided by a temperature fitted on variants held back, which calibrates the
 probabilities. A prediction stands only if a template of the family confirms it: a share
-of the template's features must be in the paragraph.
+of the template's features must be in the paragraph, or all features of a title or SPDX
+form of the family in a short one.
 
 The scan is native: lines without a telling word have no feature, hence the same score as
 an empty line, whose class is unknown, so a pattern passes them over; the others are
@@ -55,6 +62,20 @@ TEMPLATES = {
     "cc-by-nc": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "cc0": ("Released under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
 }
+#: Titles and SPDX forms; they count in paragraphs of at most TITLE_WORDS words.
+TITLES = {
+    "apache-2.0": ("Apache License", "SPDX-License-Identifier: Apache-2.0"),
+    "mit": ("MIT License", "SPDX-License-Identifier: MIT"),
+    "gpl": ("GNU General Public License", "SPDX-License-Identifier: GPL"),
+    "lgpl": ("GNU Lesser General Public License", "SPDX-License-Identifier: LGPL"),
+    "bsd": ("BSD 2-Clause License", "BSD 3-Clause License", "SPDX-License-Identifier: BSD-2-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    "mpl": ("Mozilla Public License", "SPDX-License-Identifier: MPL-2.0"),
+    "cc-by": ("Creative Commons Attribution 4.0 International", "SPDX-License-Identifier: CC-BY-4.0"),
+    "cc-by-sa": ("Creative Commons Attribution-ShareAlike 4.0 International", "SPDX-License-Identifier: CC-BY-SA-4.0"),
+    "cc-by-nc": ("Creative Commons Attribution-NonCommercial 4.0 International", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+    "cc0": ("CC0 1.0 Universal", "SPDX-License-Identifier: CC0-1.0"),
+}
+TITLE_WORDS = 10
 #: Words that tell nothing by themselves.
 PLAIN = frozenset("a all an and any are as at be by can except extent following for form forms free from in is it kind may met not of on or possible person published related that the this to under unless use v with without work you your".split())
 WORD = r"[a-z0-9]+"
@@ -62,6 +83,8 @@ WORD = r"[a-z0-9]+"
 VARIANTS = 60
 STEPS, RATE, DECAY = 400, 1.0, 2e-4
 MIN_PROBABILITY, MIN_TEMPLATE = 0.5, 0.6
+#: A wrapped notice has at most so many characters before and after its first line's end, and so many lines.
+SPAN_CHARS, SPAN_LINES = 600, 16
 
 
 def grams_of(text: str) -> list[str]:
@@ -92,7 +115,7 @@ def fit(seed: int = 11) -> Model:
     """The classifier, fitted on the templates' variants; a fifth of them is held back for the temperature. Same seed, same model."""
     rnd = random.Random(seed)
     classes = [*TEMPLATES, UNKNOWN]
-    features = sorted({g for ts in TEMPLATES.values() for t in ts for g in grams_of(t)})
+    features = sorted({g for ts in (*TEMPLATES.values(), *TITLES.values()) for t in ts for g in grams_of(t)})
     index = {g: i for i, g in enumerate(features)}
     told = sorted({w for g in features for w in g.split() if telling(w)})
     texts: list[tuple[str, int]] = []
@@ -103,6 +126,13 @@ def fit(seed: int = 11) -> Model:
                 # whole first, then with words lost, as in broken or edited notices
                 kept = [w for w in words if i == 0 or rnd.random() > 0.25 * rnd.random()]
                 texts.append((" ".join(kept), k))
+    for k, ts in enumerate(TITLES.values()):
+        # titles only whole, among plain words
+        for t in ts:
+            for i in range(VARIANTS):
+                noise = [rnd.choice(sorted(PLAIN)) for _ in range(i % 4)]
+                cut = rnd.randint(0, len(noise))
+                texts.append((" ".join([*noise[:cut], t, *noise[cut:]]), k))
     everything = [w for ts in TEMPLATES.values() for t in ts for w in t.split()]
     texts += [(w, len(classes) - 1) for w in told] + [("", len(classes) - 1)] * VARIANTS
     for _ in range(VARIANTS * 12):
@@ -133,8 +163,10 @@ def _paragraph(line: Column, model: Model) -> Column:
     """family and probability of a line (lower case) that has a telling word."""
     weights = F.from_json(F.lit(json.dumps(model.weights)), "map<string,array<double>>")
     templates = F.from_json(F.lit(json.dumps({k: [sorted(set(grams_of(t))) for t in ts] for k, ts in TEMPLATES.items()} | {UNKNOWN: []})), "map<string,array<array<string>>>")
+    titles = F.from_json(F.lit(json.dumps({k: [sorted(set(grams_of(t))) for t in ts] for k, ts in TITLES.items()} | {UNKNOWN: []})), "map<string,array<array<string>>>")
     names = F.array(*map(F.lit, model.classes))
     words = F.regexp_extract_all(line, F.lit(WORD), F.lit(0))
+    short = F.size(words) <= TITLE_WORDS
     grams = F.array_distinct(F.concat(words, F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))))
     grams = F.array_intersect(grams, F.map_keys(weights))
     logits = F.aggregate(grams, F.array(*map(F.lit, model.bias)), lambda acc, g: F.zip_with(acc, F.element_at(weights, g), lambda p, q: p + q))
@@ -146,33 +178,54 @@ def _paragraph(line: Column, model: Model) -> Column:
         p = 1 / F.aggregate(z, F.lit(0.0), lambda s, v: s + F.exp(v - top))
         return F.struct(F.element_at(names, F.array_position(z, top).cast("int")).alias("family"), p.alias("probability"))
 
-    def confirmed(got: Column, found: Column) -> Column:
+    def confirmed(got: Column, found: Column, short: Column) -> Column:
         by_template = F.exists(F.element_at(templates, got["family"]), lambda t: F.size(F.array_intersect(t, found)) >= F.size(t) * F.lit(MIN_TEMPLATE))
-        sure = (got["probability"] >= MIN_PROBABILITY) & by_template
+        by_title = short & F.exists(F.element_at(titles, got["family"]), lambda t: F.size(F.array_except(t, found)) == 0)
+        sure = (got["probability"] >= MIN_PROBABILITY) & (by_template | by_title)
         return F.struct(F.when(sure, got["family"]).otherwise(F.lit(UNKNOWN)).alias("family"), got["probability"].alias("probability"))
 
     def let(value: Column, body: object) -> Column:
         return F.element_at(F.transform(F.array(value), body), 1)
 
-    return let(F.struct(grams.alias("g"), scaled.alias("z")), lambda s: confirmed(let(s["z"], chosen), s["g"]))
+    return let(F.struct(grams.alias("g"), scaled.alias("z"), short.alias("short")), lambda s: confirmed(let(s["z"], chosen), s["g"], s["short"]))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
-    """id, n_paragraphs, n_candidates and matches: array of (paragraph, family, probability), one for each licence paragraph."""
+    """id, n_paragraphs (lines that are not blank), n_candidates (lines with a telling word) and matches: array of (paragraph, family, probability), one for each licence paragraph."""
     model = model or fit()
     # text is cut at the ends of words only, so the pattern needs no look-around but these
     telling_word = rf"(?<![a-z0-9])(?:{'|'.join(model.words)})(?![a-z0-9])"
     lines = F.split(F.lower(F.col(text_col)), "\n")
     base = docs.select(F.col(id_col), lines.alias("lines"))
     numbered = F.filter(F.transform("lines", lambda x, i: F.when(x.rlike(telling_word), F.struct(i.alias("paragraph"), x.alias("line")))), lambda s: s.isNotNull())
-    base = base.select(id_col, F.coalesce(F.size(F.filter("lines", lambda x: F.trim(x) != "")), F.lit(0)).cast("long").alias("n_paragraphs"), F.coalesce(numbered, F.array().cast("array<struct<paragraph:int,line:string>>")).alias("candidates"))
+    base = base.select(id_col, "lines", F.coalesce(F.size(F.filter("lines", lambda x: F.trim(x) != "")), F.lit(0)).cast("long").alias("n_paragraphs"), F.coalesce(numbered, F.array().cast("array<struct<paragraph:int,line:string>>")).alias("candidates"))
 
     def judged(c: Column) -> Column:
         return F.struct(c["paragraph"].alias("paragraph"), _paragraph(c["line"], model).alias("m"))
 
-    matches = F.filter(F.transform("candidates", judged), lambda s: s["m"]["family"] != UNKNOWN)
-    flat = F.transform(matches, lambda s: F.struct(s["paragraph"].alias("paragraph"), s["m"]["family"].alias("family"), s["m"]["probability"].alias("probability")))
-    return base.select(id_col, "n_paragraphs", F.size("candidates").cast("long").alias("n_candidates"), flat.alias("matches"))
+    def matches(of: Column) -> Column:
+        found = F.filter(F.transform(of, judged), lambda s: s["m"]["family"] != UNKNOWN)
+        return F.transform(found, lambda s: F.struct(s["paragraph"].alias("paragraph"), s["m"]["family"].alias("family"), s["m"]["probability"].alias("probability")))
+
+    alone = base.select("*", matches(F.col("candidates")).alias("alone"))
+    taken = F.col("alone.paragraph")
+
+    def joined(c: Column) -> Column:
+        """c with the lines that follow it; null if none does."""
+        at = c["paragraph"]
+        rest = F.transform(F.slice("lines", at + 2, SPAN_LINES), lambda x, i: F.when(~x.rlike(r"[\p{L}\p{N}]") | F.array_contains(taken, at + 1 + i), "\n").otherwise(F.substring(x, 1, SPAN_CHARS)))
+        after = F.substring(F.substring_index(F.array_join(rest, " "), "\n", 1), 1, SPAN_CHARS)
+        return F.when(F.trim(after) != "", F.struct(at.alias("paragraph"), F.concat(F.right(c["line"], F.lit(SPAN_CHARS)), F.lit(" "), after).alias("line")))
+
+    left = F.filter("candidates", lambda c: ~F.array_contains(taken, c["paragraph"]))
+    wrapped = alone.select("*", F.filter(F.transform(left, joined), lambda s: s.isNotNull()).alias("joined")).withColumn("wrapped", matches(F.col("joined")))
+
+    def overlaps(m: Column, k: Column) -> Column:
+        return (k["family"] == m["family"]) & (k["paragraph"] + SPAN_LINES >= m["paragraph"])
+
+    none = F.array().cast("array<struct<paragraph:int,family:string,probability:double>>")
+    first = F.aggregate("wrapped", none, lambda kept, m: F.when(F.exists(kept, lambda k: overlaps(m, k)), kept).otherwise(F.concat(kept, F.array(m))))
+    return wrapped.select(id_col, "n_paragraphs", F.size("candidates").cast("long").alias("n_candidates"), F.array_sort(F.concat("alone", first)).alias("matches"))
 
 
 def summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -137,6 +137,60 @@ def test_licence_cases(spark, model):
     assert license_scan.summary(empty(spark)).count() == 0
 
 
+WRAPPED = [
+    (
+        """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:""",
+        [(0, "mit"), (4, "mit")],
+    ),
+    (
+        """a first line
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# a last line""",
+        [(1, "gpl")],
+    ),
+    ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation", [(0, "lgpl")]),
+    (
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:",
+        [(0, "bsd")],
+    ),
+    (
+        "Unless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+        [(0, "apache-2.0")],
+    ),
+    ("This work is licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International\nLicense.", [(0, "cc-by-nc")]),
+    ("// SPDX-License-Identifier: MIT", [(0, "mit")]),
+    ("/* SPDX-License-Identifier: GPL-3.0-or-later */", [(0, "gpl")]),
+    ("# SPDX-License-Identifier: LGPL-2.1-only", [(0, "lgpl")]),
+    ("# SPDX-License-Identifier: Apache-2.0", [(0, "apache-2.0")]),
+    ("# SPDX-License-Identifier: CC-BY-SA-4.0", [(0, "cc-by-sa")]),
+    ("# SPDX-License-Identifier: BSD-3-Clause", [(0, "bsd")]),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", [(0, "gpl")]),
+    ("The MIT License (MIT)", [(0, "mit")]),
+    ("Permission is hereby granted, free of charge, to any person\n\nobtaining a book of the public library", []),
+    ("mit dem Wort\nlicense und version", []),
+    ("the software of a public library\nis free of charge for any person\nand the law of the work", []),
+]
+
+
+def test_wrapped_licences(spark, model):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(WRAPPED)], "doc_id long, text string")
+    got = {r.doc_id: [(m.paragraph, m.family) for m in r.matches] for r in license_scan.scan(df, model=model).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(WRAPPED)}
+
+
 def test_licences_of_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {r.doc_id: r.families for r in license_scan.summary(docs).collect()}
