@@ -56,7 +56,7 @@ LINKS, STOP_LOW, STOP_HIGH = 0.33, 0.12, 0.25
 class Block:
     parts: list[str] = field(default_factory=list)
     linked: int = 0
-    furniture: bool = False
+    furniture: bool | None = None
     article: bool = False
     item: bool = False
     text: str = ""
@@ -68,7 +68,7 @@ def _close_implied(stack: list[tuple], name: str) -> None:
         if stack[k][0] == "p" or stack[k][0] == name == "li":
             del stack[k:]
             return
-        if stack[k][0] in BLOCK:
+        if stack[k][0] in BLOCK or stack[k][0] in SILENT:
             return
 
 
@@ -91,9 +91,12 @@ def blocks(page: str) -> list[Block]:
             if silent:
                 continue
             if now is None:
-                now = Block(furniture=furniture, article=article, item=item)
+                now = Block(article=article, item=item)
                 out.append(now)
             now.parts.append(t)
+            if not t.isspace():
+                # inline furniture inside a paragraph is part of it
+                now.furniture = furniture and now.furniture is not False
             if link:
                 now.linked += len(t.strip())
             continue
@@ -115,12 +118,14 @@ def blocks(page: str) -> list[Block]:
             now = None
             if not m[1]:
                 _close_implied(stack, name)
-        if name in VOID or name in ("p", "b", "i", "em", "strong", "span") and not m[3].strip():
+        if name in VOID:
             continue
         if m[1]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == name:
-                    del stack[k:]
+                    # the end of an inline element leaves open blocks open
+                    inline = name not in BLOCK and name not in SILENT and any(s[0] in BLOCK for s in stack[k + 1 :])
+                    del stack[k : k + 1 if inline else None]
                     break
             continue
         if m[3].endswith("/") or name in ("html", "body"):

@@ -218,6 +218,23 @@ def test_main_text(page, text):
     assert html_extract.extract(page) == text
 
 
+INLINE = [
+    ("<article><p>One.</p>It is <span class='share'>3</span> old.<p>Two.</p><p>Three.</p></article>", "One.\nIt is 3 old.\nTwo.\nThree."),
+    ("<article><p>One <strong class='alert'>now</strong>.<p>Two.<div>Three.</div></article>", "One now.\nTwo.\nThree."),
+    ("<article><div><span class='comment'>Note</span> that.</div>Bare.</article>", "Note that.\nBare."),
+    ("<article><div><span class='share'>no</span></div>Yes.<p class='ad'>no</p>Bare.</article>", "Yes.\nBare."),
+    ("<article><p class='ad'>no <span>no</span> no <b>no</b></p>Yes.</article>", "Yes."),
+    ("<article><div><span class='share'><span>no</span> no</span></div><p>Yes.</p></article>", "Yes."),
+    ("<article><b class='alert'><p>no</b>no</p>Yes.</article>", "Yes."),
+    ("<article><p>Yes<button><div>no</div></button> it is</p></article>", "Yes\nit is"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), INLINE)
+def test_inline_elements(page, text):
+    assert html_extract.extract(page) == text
+
+
 def test_second_pass():
     assert html_extract.second_pass([1, 0, 0, -1, 0, 1]) == [1, 1, -1, -1, -1, 1]
     assert html_extract.second_pass([0, 0]) == [-1, -1] and html_extract.second_pass([]) == [] and html_extract.second_pass([0, 1]) == [1, 1]
