@@ -5,6 +5,12 @@ the share of their text in links, their share of stop words, and where they stan
 First pass: blocks of page furniture (by element, role or class) are out; blocks of an
 article or main element are in, unless they are lists of links; others are judged by
 link density, then by length and stop-word density, and short ones stay undecided.
+Names like no-sidebar or has-header tell of a layout and mark nothing; those like
+sidebar-left mark nothing either, but many links put their blocks out. An article or main
+element in marked wrappers is no furniture, unless it stands in an element of FIRM or in
+another article or main element; an article element in a list of comments or teasers
+(ASIDE_NAMES) stays furniture. A form or a marked wrapper with over half of the page's text
+is judged by its blocks, if none outside of it is in.
 Second pass: an undecided block takes the label of its nearest decided neighbours: the
 label that both sides share, else the nearer side's, else the one before.
 
@@ -35,6 +41,14 @@ FURNITURE = frozenset("nav header footer aside form menu dialog".split())
 FURNITURE_NAMES = re.compile(
     r"(?:^|[^a-z])(?:nav|navbar|navigation|menu|header|masthead|footer|sidebar|aside|ad|ads|advert|advertisement|advertising|banner|sponsor|sponsored|promo|cookie|cookies|consent|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|signup|login|search|share|sharing|social|related|recommended|breadcrumb|breadcrumbs|pagination|pager|comment|comments|disqus|respond|contentinfo|complementary)(?:$|[^a-z])"
 )
+#: Names of a layout, with or without the furniture that they name.
+LAYOUT_NAMES = re.compile(r"^(?:no|has|with|without)[-_]")
+SIDE_NAMES = re.compile(r"[-_](?:left|right)$")
+#: Furniture whatever it holds, and names of lists of others' articles.
+FIRM = frozenset("nav aside footer menu dialog".split())
+ASIDE_NAMES = re.compile(r"(?:^|[^a-z])(?:ad|ads|advert|advertisement|advertising|sponsor|sponsored|promo|related|recommended|comment|comments|disqus|respond)(?:$|[^a-z])")
+#: Furniture elements in one another are told apart down to this depth; deeper ones are part of theirs.
+DEPTH = 64
 HEADING = re.compile("h[1-6]$")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Frequent words of the languages that are told apart from furniture.
@@ -56,12 +70,24 @@ LINKS, STOP_LOW, STOP_HIGH = 0.33, 0.12, 0.25
 class Block:
     parts: list[str] = field(default_factory=list)
     linked: int = 0
-    furniture: bool | None = None
+    # open furniture elements by number, None before any text
+    roots: tuple[int, ...] | None = None
+    furniture: bool = False
+    doubtful: bool = False
     article: bool = False
     item: bool = False
     text: str = ""
 
 
+@dataclass
+class Root:
+    """A furniture element: its name, if it is named as a list of others' articles, the length of its text."""
+
+    name: str
+    aside: bool
+    chars: int = 0
+
+
 def _close_implied(stack: list[tuple], name: str) -> None:
     """A block element ends an open paragraph, and a list item the open item of its list."""
     for k in range(len(stack) - 1, 0, -1):
@@ -76,8 +102,9 @@ def blocks(page: str) -> list[Block]:
     """The page's blocks that hold text, in order."""
     out: list[Block] = []
     now: Block | None = None
-    # open elements: name, furniture, article, silent, list item
-    stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
+    # open elements: name, furniture elements around by number, article, silent, list item, doubtful
+    stack: list[tuple[str, tuple[int, ...], bool, bool, bool, bool]] = [("", (), False, False, False, False)]
+    roots: list[Root] = []
     link, at, end = 0, 0, len(page)
     while at < end:
         m = TOKEN.match(page, at)
@@ -87,16 +114,16 @@ def blocks(page: str) -> list[Block]:
             t = m[0]
             if t[0] == "<" and len(t) > 1:
                 continue
-            _, furniture, article, silent, item = stack[-1]
+            _, around, article, silent, item, doubtful = stack[-1]
             if silent:
                 continue
             if now is None:
-                now = Block(article=article, item=item)
+                now = Block(article=article, item=item, doubtful=doubtful)
                 out.append(now)
             now.parts.append(t)
             if not t.isspace():
                 # inline furniture inside a paragraph is part of it
-                now.furniture = furniture and now.furniture is not False
+                now.roots = around if now.roots is None else tuple(r for r in now.roots if r in around)
             if link:
                 now.linked += len(t.strip())
             continue
@@ -130,17 +157,45 @@ def blocks(page: str) -> list[Block]:
             continue
         if m[3].endswith("/") or name in ("html", "body"):
             continue
-        _, furniture, article, silent, item = stack[-1]
-        names = " ".join(x for g in NAMES.findall(m[3]) for x in g).lower()
-        article = article or name in ("article", "main")
+        _, around, article, silent, item, doubtful = stack[-1]
+        names = [x for g in NAMES.findall(m[3]) for x in " ".join(g).lower().split()]
+        names = [x for x in names if not LAYOUT_NAMES.search(x)]
+        own = name in ("article", "main")
+        if own:
+            if not article and around and not any(s[0] in FIRM for s in stack) and (name == "main" or not any(roots[r].aside for r in around)):
+                around = ()
+            article, doubtful = True, False
         if HEADING.match(name) and article:
             # an article's heading is its own, even in its header
-            furniture = any(s[1] for s in stack if s[0] != "header")
-        furniture = furniture or name in FURNITURE or bool(names and FURNITURE_NAMES.search(names) and name not in ("article", "main"))
-        stack.append((name, furniture, article, silent or name in SILENT, item or name == "li"))
+            around = tuple(r for r in around if roots[r].name != "header")
+        marks = [] if own else [x for x in names if FURNITURE_NAMES.search(x)]
+        sure = [x for x in marks if not SIDE_NAMES.search(x)]
+        if (name in FURNITURE or sure) and len(around) < DEPTH:
+            around = (*around, len(roots))
+            roots.append(Root(name, any(map(ASIDE_NAMES.search, sure))))
+        stack.append((name, around, article, silent or name in SILENT, item or name == "li", doubtful or bool(marks)))
     for b in out:
         b.text = " ".join(html.unescape("".join(b.parts)).split())
-    return [b for b in out if b.text]
+    out = [b for b in out if b.text]
+    _mark_furniture(out, roots)
+    return out
+
+
+def _mark_furniture(found: list[Block], roots: list[Root]) -> None:
+    """A block in a furniture element is furniture, unless that element is no more than a wrapper of the page."""
+    for b in found:
+        b.furniture = bool(b.roots)
+        for r in b.roots or ():
+            roots[r].chars += len(b.text)
+    half = sum(len(b.text) for b in found) / 2
+    wide = {r for r, x in enumerate(roots) if x.chars > half and x.name not in FIRM}
+    # wrappers of over half of the text lie in one another: from the outermost on
+    for r in sorted(wide):
+        if not any(r not in (b.roots or ()) and first_pass(b) == GOOD for b in found):
+            for b in found:
+                if b.roots and r in b.roots:
+                    b.roots = tuple(x for x in b.roots if x != r)
+                    b.furniture, b.doubtful = bool(b.roots), True
 
 
 def first_pass(b: Block) -> int:
@@ -149,7 +204,7 @@ def first_pass(b: Block) -> int:
     if b.furniture:
         return BAD
     if b.article:
-        return BAD if b.item and links > 0.9 else GOOD
+        return BAD if b.item and links > 0.9 or b.doubtful and links > LINKS else GOOD
     if links > LINKS:
         return BAD
     if n < SHORT:

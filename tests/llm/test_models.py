@@ -235,6 +235,30 @@ def test_inline_elements(page, text):
     assert html_extract.extract(page) == text
 
 
+PROSE = ("the house of the king and the queen is in a land that was not on the map and " * 2).strip()
+WRAPPERS = [
+    ("<div class='layout no-sidebar'><article><p>One.</p></article></div>", "One."),
+    ("<div class='has-header page'><p>" + PROSE + "</p><div class='ad'>no</div></div>", PROSE),
+    ("<main><div class='with-sidebar'><p>One.</p></div></main>", "One."),
+    ("<form><div class='page header'><nav><a href=x>no</a></nav><article><h1>H</h1><p>One.</p><div class='comments'>no</div></article><footer>no</footer></div></form>", "H\nOne."),
+    ("<form><p>" + PROSE + "</p><div class='ad'>" + PROSE[:90] + "</div><nav>no</nav><ul><li><a href=x>no</a></ul></form>", PROSE),
+    ("<form><div class='header'><p>" + PROSE + "</p></div></form>", PROSE),
+    ("<main><div class='sidebar-left'><a href=x>no no</a></div><div class='text-left share-right'>Yes.</div></main>", "Yes."),
+    # still furniture
+    ("<article>Yes.</article><div class='comments'><article><p>" + PROSE + "</p></article></div>", "Yes."),
+    ("<main>Yes.<div id='comments'><article class='c'>" + PROSE + "</article></div></main>", "Yes."),
+    ("<article>Yes.</article><aside><article>no</article></aside><footer><main>no</main></footer>", "Yes."),
+    ("<article>Yes.</article><div class='related'><article>no</article></div>", "Yes."),
+    ("<p>" + PROSE + "</p><form><p>" + PROSE + "</p><p>" + PROSE + "</p></form>", PROSE),
+    ("<form><p>Name</p><p>Word</p></form>", ""),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), WRAPPERS)
+def test_wrappers(page, text):
+    assert html_extract.extract(page) == text
+
+
 def test_second_pass():
     assert html_extract.second_pass([1, 0, 0, -1, 0, 1]) == [1, 1, -1, -1, -1, 1]
     assert html_extract.second_pass([0, 0]) == [-1, -1] and html_extract.second_pass([]) == [] and html_extract.second_pass([0, 1]) == [1, 1]
