@@ -71,6 +71,16 @@ def test_quality_on_labels(spark):
     assert kept.columns == docs.columns and kept.count() == quality.classify(docs).where("keep").count()
 
 
+def test_quality_sample_of_copies(spark, monkeypatch):
+    fitted, fit = [], quality.fit
+    monkeypatch.setattr(quality, "FIT_ROWS", 60)
+    monkeypatch.setattr(quality, "fit", lambda x, y: fitted.append(len(x)) or fit(x, y))
+    # 200 texts in 4,000 rows
+    docs = spark.range(4000).selectExpr("id as doc_id", "concat('the house of the king number ', id % 200, ' is in a land') as text")
+    quality.train(docs)
+    assert fitted == [60]
+
+
 def test_quality_cases(spark):
     got = {(r.doc_id, r.score) for r in quality.classify(table(spark)).collect()}
     assert len(quality.classify(table(spark)).collect()) == len(rows())
