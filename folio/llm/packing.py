@@ -6,7 +6,8 @@ GROUP_ITEMS pieces. For each group several islands evolve a population of packin
 child takes whole well-filled bins of one parent, drops the other parent's bins that
 hold any of these pieces, and best-fits what was displaced. Then the islands' elites
 migrate to one last population for the group, which evolves on. Pieces in bins that
-stay poorly filled are pooled across groups and packed again the same way.
+stay poorly filled are pooled across groups, dealt as whole bins, and packed again the
+same way; each population has these bins as they stand, so that none is lost to the search.
 
 Defined results: a null text is an empty one and gives one piece, its end token. Every
 row is packed, repeated rows and repeated ids too; extra columns are ignored; an empty
@@ -159,19 +160,24 @@ def from_labels(size: list[int], capacity: int, labels: np.ndarray) -> Bins:
 
 
 def _evolve_groups(items: DataFrame, groups: int, capacity: int, id_col: str) -> DataFrame:
-    """items with group, bin and free (the bin's free places)."""
+    """items with group, bin and free (the bin's free places). Items that have these are dealt by bin, and their packing is in each population."""
     columns = [id_col, "piece", "start", "length", "ids_crc32"]
     # repeated rows are alike, so any order among them serves
     by = ["length", id_col, "piece", "ids_crc32"]
     fields = ", ".join(f"`{c}` {k}" for c, k in items.select(*columns).dtypes)
-    dealt = items.select(*columns).withColumn("group", F.pmod(F.xxhash64(F.col(id_col), "piece", "ids_crc32"), F.lit(groups)))
+    packed = {"group", "bin", "free"} <= set(items.columns)
+    key = ["group", "bin"] if packed else [id_col, "piece", "ids_crc32"]
+    stand = (F.col("group") * (1 << 24) + F.col("bin")) if packed else F.lit(-1).cast("long")
+    dealt = items.select(*columns, F.pmod(F.xxhash64(*key), F.lit(groups)).alias("group"), stand.alias("stand"))
 
     def island(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         group, no = map(int, key)
         pdf = pdf.sort_values(by, kind="stable").reset_index(drop=True)
         rnd, size = random.Random(group * 1000 + no), pdf.length.tolist()
         population = [seed_packing(size, capacity, rnd, 0.0 if not (no or k) else 0.02 * k + 0.01 * no) for k in range(POPULATION)]
-        return pdf.assign(bin=evolve(population, rnd).labels())
+        if packed:
+            population.append(from_labels(size, capacity, pdf.stand.to_numpy()))
+        return pdf.drop(columns="stand").assign(bin=evolve(population, rnd).labels())
 
     def migrate(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         parts = [p.sort_values(by, kind="stable").reset_index(drop=True) for _, p in pdf.groupby("island")]

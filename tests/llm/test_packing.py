@@ -44,5 +44,17 @@ def test_genetic_steps_keep_every_item_once():
     assert again.fitness() == child.fitness()
 
 
+def test_packed_bins_are_not_lost(spark):
+    rnd, items = random.Random(3), []
+    for k in range(60):
+        a, b = sorted(rnd.sample(range(1, 1000), 2))
+        items += [(3 * k + i, 0, 0, n, i, 0, k, 0) for i, n in enumerate((a, b - a, 1000 - b))]
+    pool = spark.createDataFrame(items, "doc_id long, piece int, start long, length long, ids_crc32 long, group long, bin long, free long")
+    for groups in (1, 3):
+        got = packing._evolve_groups(pool, groups, 1000, "doc_id").collect()
+        assert sorted(r.doc_id for r in got) == list(range(180))
+        assert len({(r.group, r.bin) for r in got}) == 60
+
+
 def test_no_items():
     assert packing.evolve([packing.Bins([], 10)], random.Random(1)).bins == []
