@@ -5,7 +5,9 @@ pattern: contractions, letters, numbers, other signs, white space). Distinct
 pre-tokens that a worker has not met are encoded together: their symbols lie in one
 flat array, each round looks up all neighbouring pairs by binary search over sorted
 pair keys, takes every word's lowest rank and merges all its occurrences, until no
-pair is left. Results are kept by a 64-bit hash of the pre-token in a bounded cache.
+pair is left. A chunk's pre-tokens are told apart by hash, then compared with the first of
+their hash code point by code point, and so are those that a bounded cache holds from earlier
+chunks. So no hash decides an id.
 
 Defined results: a null text is an empty one (no ids, empty decoded text). Every input
 row gives one output row, repeated rows included. Extra columns are ignored. The
@@ -23,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from folio.llm.textnum import chunked, expand, span_hashes
+from folio.llm.textnum import byte_hashes, chunked, expand, numbered, unlike
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: The contractions of the byte-level pattern, after the apostrophe.
@@ -54,6 +56,14 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _extended(x: np.ndarray, filled: int, more: np.ndarray) -> tuple[np.ndarray, int]:
+    """x with `more` from place `filled` on, in a longer array if need be."""
+    if filled + len(more) > len(x):
+        x = np.concatenate((x[:filled], np.zeros(max(len(x), len(more)), x.dtype)))
+    x[filled : filled + len(more)] = more
+    return x, filled + len(more)
+
+
 class ByteBPE:
     """A byte-level BPE tokenizer read from a tokenizer file's vocabulary and merges."""
 
@@ -86,8 +96,10 @@ class ByteBPE:
         self._reset()
 
     def _reset(self) -> None:
+        # pre-tokens by hash; their ids and code points lie in flat arrays
         self.known: dict[int, int] = {}
-        self.word_at, self.word_n, self.ids, self.filled = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1 << 16, np.int32), 0
+        self.word_at, self.word_n, self.cp_at, self.cp_n = (np.zeros(0, np.int64) for _ in range(4))
+        self.ids, self.filled, self.cps, self.cp_filled = np.zeros(1 << 16, np.int32), 0, np.zeros(1 << 16, np.uint32), 0
 
     def merge_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """ids of all words, one after the other, and how many each has. Words are not empty."""
@@ -153,6 +165,15 @@ class ByteBPE:
                 out[after[after < n]] = True
         return np.flatnonzero(out)
 
+    @staticmethod
+    def distinct(cp: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """Numbers of the first of each distinct pre-token, for each pre-token the place of its own among them, and keys of the former."""
+        width = 1 if (top := cp.max()) < 1 << 8 else 2 if top < 1 << 16 else 4
+        hashes = byte_hashes(cp.astype(f"<u{width}").tobytes(), start * width, end * width, width)
+        keys, first, which = numbered(hashes, cp, start, end)
+        # one that differs from the first of its hash has a key that no hash has
+        return first, which, keys.tolist() + [-1] * (len(first) - len(keys))
+
     def encode_chunk(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """ids of the texts, one after the other, and how many each has; no special tokens inside."""
         sizes = np.array([len(t) for t in texts], np.int64)
@@ -165,26 +186,25 @@ class ByteBPE:
         doc_start[opens[sizes > 0]] = True
         start = self.cut(cp, doc_start)
         end = np.append(start[1:], len(cp))
-        _, first, which = np.unique(span_hashes(cp, start, end), return_index=True, return_inverse=True)
-        keys = _.tolist()
-        if len(self.known) + len(keys) > CACHE_WORDS:
+        first, which, keys = self.distinct(cp, start, end)
+        if len(self.word_n) + len(keys) > CACHE_WORDS:
             self._reset()
-        slot = list(map(self.known.get, keys))
-        new = [i for i, s in enumerate(slot) if s is None]
-        if new:
-            at = first[new]
-            words = [whole[a:b].encode("utf-8", "surrogatepass") for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]
-            ids, count = self.merge_words(words)
-            base, place = len(self.word_n), self.filled
-            if place + len(ids) > len(self.ids):
-                self.ids = np.concatenate((self.ids[:place], np.zeros(max(len(self.ids), len(ids)), np.int32)))
-            self.ids[place : place + len(ids)] = ids
-            self.filled = place + len(ids)
-            self.word_at = np.append(self.word_at, place + np.cumsum(count) - count)
-            self.word_n = np.append(self.word_n, count)
-            for j, i in enumerate(new):
-                self.known[keys[i]] = slot[i] = base + j
-        word = np.array(slot, np.int64)[which]
+        slot = np.array([-1 if k is None else k for k in map(self.known.get, keys)], np.int64)
+        met = np.flatnonzero(slot >= 0)
+        begin = self.cp_at[slot[met]]
+        slot[met[unlike(cp, start[first[met]], end[first[met]], self.cps, begin, begin + self.cp_n[slot[met]])]] = -1
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            a, b = start[first[new]], end[first[new]]
+            ids, count = self.merge_words([whole[x:y].encode("utf-8", "surrogatepass") for x, y in zip(a.tolist(), b.tolist(), strict=True)])
+            base = len(self.word_n)
+            self.word_at, self.word_n = np.append(self.word_at, self.filled + np.cumsum(count) - count), np.append(self.word_n, count)
+            self.cp_at, self.cp_n = np.append(self.cp_at, self.cp_filled + np.cumsum(b - a) - (b - a)), np.append(self.cp_n, b - a)
+            self.ids, self.filled = _extended(self.ids, self.filled, ids)
+            self.cps, self.cp_filled = _extended(self.cps, self.cp_filled, cp[expand(a, b - a)])
+            slot[new] = base + np.arange(len(new))
+            self.known |= {keys[i]: base + j for j, i in enumerate(new.tolist()) if keys[i] >= 0}
+        word = slot[which]
         count = self.word_n[word]
         ids = self.ids[expand(self.word_at[word], count)]
         sums = np.concatenate(([0], np.cumsum(count)))

@@ -14,6 +14,8 @@ stars missed is among the members of one centre: where these lie in several comp
 the strays (outside the centre's component) are compared with the other members and each
 other, in blocks, exactly, by what they lack and add. A task emits one link for two
 components at most. No cap is set on buckets or partners; nothing emits all pairs.
+Shingles are 64-bit hashes that no sums or products of letters can make equal; two
+shingles share one by chance alone, which moves an intersection by one.
 
 Defined results: a null, empty or blank text has no set, n_shingles 0 and links with
 nothing. Equal sets share a component; rows that repeat an id share its component by
@@ -23,6 +25,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,13 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.components import components
-from folio.llm.shared import HEAVY_ROWS, HEAVY_SHARE, bit_filter, heavy_keys, passes, skew_join, stored
+from folio.llm.shared import bit_filter, drop, passes, stored
 from folio.llm.textnum import U64, Words, chunked, mix, span_hashes
 
 BANDS, ROWS = 36, 5
 BINS = BANDS * ROWS
 #: Members of a centre that meet in one task, from either side.
-BLOCK = 256
+BLOCK = 1024
 ELEMENTS = 4096
 
 
@@ -90,6 +93,20 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return sig.reshape(len(sets), BINS)
 
 
+def node_of(found: np.ndarray) -> bytes:
+    """The 128-bit key of a set: equal sets make one node."""
+    return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
+
+
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """A bucket key for each band of each signature."""
+    parts = sig.reshape(len(sig), BANDS, ROWS)
+    keys = np.tile(np.arange(1, BANDS + 1, dtype=U64), (len(sig), 1))
+    for k in range(ROWS):
+        keys = mix(mix(keys) + parts[:, :, k])
+    return keys.view(np.int64)
+
+
 def sketch(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     """id, n_shingles, node (128-bit hash of the set, null if empty), bands (bucket keys)."""
 
@@ -101,18 +118,9 @@ def sketch(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame
                 some = [i for i, s in enumerate(sets) if len(s)]
                 nodes, bands = ([None] * len(sets) for _ in range(2))
                 if some:
-                    kept = [sets[i] for i in some]
-                    sig = signatures(kept)
-                    flat = sig.reshape(-1)
-                    start = np.arange(0, len(flat), ROWS)
-                    keys = mix(span_hashes(flat, start, start + ROWS) + np.tile(np.arange(BANDS, dtype=U64), len(kept))).astype(np.int64).reshape(-1, BANDS)
-                    all_ = np.concatenate(kept)
-                    stop = np.cumsum([len(s) for s in kept])
-                    begin = np.concatenate(([0], stop[:-1]))
-                    one, two = span_hashes(all_, begin, stop), span_hashes(mix(all_ + U64(0x51ED27)), begin, stop)
-                    ids = np.stack([one, two], axis=1)
+                    keys = band_keys(signatures([sets[i] for i in some]))
                     for k, i in enumerate(some):
-                        nodes[i], bands[i] = ids[k].tobytes(), keys[k]
+                        nodes[i], bands[i] = node_of(sets[i]), keys[k]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
                     names=[id_col, "n_shingles", "node", "bands"],
@@ -123,95 +131,98 @@ def sketch(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame
 
 
 def _sets_of(docs: DataFrame, width: int, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, set) of the rows whose ids are in wanted (node, low): a bounded filter in Python, then an exact join."""
+    """(n, set), stored, of the nodes in wanted (n, node, low): a bounded filter in Python, then an exact join."""
     bits = docs.sparkSession.sparkContext.broadcast(bit_filter(wanted.select(F.xxhash64("low").alias("h")), "h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for b in batches:
             b = b.filter(pa.array(passes(bits.value, b.column(1).to_numpy())))
             for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
-                sets = [s for s in shingle_sets([t or "" for t in part.column(0).to_pylist()], width) if len(s)]
-                nodes = [np.array([span_hashes(s, np.array([0]), np.array([len(s)]))[0], span_hashes(mix(s + U64(0x51ED27)), np.array([0]), np.array([len(s)]))[0]]).tobytes() for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "set"])
+                sets = {node_of(s): s for s in shingle_sets([t or "" for t in b.column(0).slice(at, 1000).to_pylist()], width) if len(s)}
+                # of a task's rows with one set the first will do
+                new = [k for k in sets if k not in seen]
+                seen.update(new)
+                yield pa.RecordBatch.from_arrays([pa.array(new, pa.binary()), pa.array([sets[k].view(np.int64) for k in new], pa.list_(pa.int64()))], names=["node", "set"])
 
     made = docs.select(text_col, F.xxhash64(F.col(id_col)).alias("h")).mapInArrow(run, "node binary, set array<long>")
-    # several rows can hold one set: the first will do
-    return made.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
-
-
-def _heavy(sized: DataFrame) -> DataFrame:
-    """Keys (key, size) with more than HEAVY_SHARE of all rows: at most 1 / HEAVY_SHARE."""
-    total = sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    return sized.where((F.col("size") > HEAVY_ROWS) & (F.col("size") > total * HEAVY_SHARE)).select("key")
+    out = stored(made.join(wanted.select("node", "n"), "node").dropDuplicates(["n"]).select("n", "set"), "sets")
+    bits.destroy()
+    return out
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, centre, of, lacks, adds, linked) of pairs (node, centre): the centre's size and the differences of the full sets."""
-    own = sets.select("node", F.col("set").alias("sn"))
-    mid = sets.select(F.col("node").alias("centre"), F.col("set").alias("sc"))
-    both = pairs.join(own, "node").join(mid, "centre")
-    both = both.select("node", "centre", F.size("sn").alias("n"), F.size("sc").alias("of"), F.array_except("sc", "sn").alias("lacks"), F.array_except("sn", "sc").alias("adds"))
-    return both.select("node", "centre", "of", "lacks", "adds", ((F.col("n") - F.size("adds")) * 100 >= (F.col("of") + F.size("adds")) * percent).alias("linked"))
+    """(n, centre, of, lacks, adds, linked) of pairs (n, centre): the centre's size and the differences of the full sets."""
+    own = sets.select("n", F.col("set").alias("sn"))
+    mid = sets.select(F.col("n").alias("centre"), F.col("set").alias("sc"))
+    both = pairs.join(own, "n").join(mid, "centre")
+    both = both.select("n", "centre", F.size("sn").alias("size"), F.size("sc").alias("of"), F.array_except("sc", "sn").alias("lacks"), F.array_except("sn", "sc").alias("adds"))
+    return both.select("n", "centre", "of", "lacks", "adds", ((F.col("size") - F.size("adds")) * 100 >= (F.col("of") + F.size("adds")) * percent).alias("linked"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id, kept: one row for each row of docs."""
     sig = stored(sketch(docs, width, id_col, text_col), "sketch")
-    classes = stored(sig.where("node is not null").groupBy("node").agg(F.min(id_col).alias("low"), F.first("bands").alias("bands")), "classes")
+    # from here on a node is a number
+    classes = sig.where("node is not null").groupBy("node").agg(F.min(id_col).alias("low"), F.first("bands").alias("bands"))
+    classes = stored(classes.withColumn("n", F.monotonically_increasing_id()), "classes")
 
-    members = classes.select("node", F.explode("bands").alias("key"))
+    members = classes.select("n", F.explode("bands").alias("key"))
     crowd = stored(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
-    inside = stored(skew_join(members, crowd, "key", _heavy(crowd)).select("node", "key"), "members")
-    wanted = inside.select("node").distinct().join(classes.select("node", "low"), "node")
-    sets = stored(_sets_of(docs, width, wanted, id_col, text_col), "sets")
+    inside = stored(members.join(crowd, "key").select("n", "key"), "members")
+    sets = _sets_of(docs, width, inside.select("n").distinct().join(classes.select("n", "node", "low"), "n"), id_col, text_col)
     # only nodes whose sets can overlap enough with any one other go on
-    able = stored(_shared(sets).where(F.col("shared") * 100 >= F.col("n") * percent), "able")
-    inside = inside.join(able, "node")
-    stars = inside.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.max(F.struct(F.col("shared") / F.col("n"), "n", "node"))["node"].alias("centre")).where("size > 1")
+    able = stored(_shared(sets).where(F.col("shared") * 100 >= F.col("size") * percent), "able")
+    going = stored(inside.join(able, "n"), "going")
+    drop(crowd, inside, able)
+    stars = going.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.max_by("n", F.struct(F.col("shared") / F.col("size"), "size", "n")).alias("centre")).where("size > 1")
     stars = stored(stars, "stars")
-    pairs = skew_join(inside.select("node", "key"), stars.select("key", "centre"), "key", _heavy(stars)).where("node != centre").select("node", "centre").distinct()
+    pairs = stored(going.join(stars.select("key", "centre"), "key").where("n != centre").select("n", "centre").distinct(), "pairs")
     compared = stored(_compared(pairs, sets, percent), "compared")
-    links = compared.where("linked").select(F.col("node").alias("a"), F.col("centre").alias("b"))
-    first = stored(components(links), "components")
-    more = stored(_across(compared, first, percent), "links")
-    roots = stored(components(links.unionByName(more)), "components")
-
-    named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    low = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = skew_join(named.select("node", "root"), low, "root", heavy_keys(named, "root")).select("node", "component_id")
-    with_node = sig.where("node is not null").select(id_col, "n_shingles", "node")
-    linked = skew_join(with_node, named, "node", heavy_keys(with_node, "node")).select(id_col, "n_shingles", "component_id")
+    drop(going, stars, pairs, sets)
+    first = stored(components(compared.where("linked").select(F.col("n").alias("a"), F.col("centre").alias("b"))), "components")
+    more = _across(compared, first, percent)
+    roots = first
+    if not more.isEmpty():
+        roots = stored(components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "components")
+    drop(compared, more)
+
+    named = classes.select("n", "node", "low").join(roots.withColumnRenamed("node", "n"), "n", "left").withColumn("root", F.coalesce("root", "n"))
+    least = stored(named.groupBy("root").agg(F.min("low").alias("component_id")), "least")
+    named = stored(named.join(least, "root").select("node", "component_id"), "named")
+    drop(classes, least, *({id(first): first, id(roots): roots}.values()))
+    linked = sig.where("node is not null").select(id_col, "n_shingles", "node").join(named, "node").select(id_col, "n_shingles", "component_id")
     alone = sig.where("node is null").select(id_col, "n_shingles", F.col(id_col).alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
 def _shared(sets: DataFrame) -> DataFrame:
-    """(node, n, shared): set size, and how many of a node's shingles any other candidate's set holds too.
+    """(n, size, shared): set size, and how many of a node's shingles any other candidate's set holds too.
 
     No other set has the rest, so an intersection is at most the smaller `shared` of two nodes. Near-copies whose edits
     are their own thus fall out by counts, before any pairs are made.
     """
-    own = sets.select("node", F.explode("set").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("of"), F.min("node").alias("node")).where("of = 1")
-    own = own.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    return sets.join(own, "node", "left").select("node", F.size("set").alias("n"), (F.size("set") - F.coalesce("own", F.lit(0))).alias("shared"))
+    own = sets.select("n", F.explode("set").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("of"), F.min("n").alias("n")).where("of = 1")
+    own = own.groupBy("n").agg(F.count(F.lit(1)).alias("own"))
+    return sets.select("n", F.size("set").alias("size")).join(own, "n", "left").select("n", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared"))
 
 
 def _across(compared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Links between members of one centre that lie in different components.
+    """Links (a, b), stored, between members of one centre that lie in different components.
 
     Strays, members outside the centre's component, meet all other members: block i of strays meets block j of
     strays for i <= j, and each block of the rest, home. Members at home are in one component already. The rows dealt grow
-    with the blocks of strays, so they are few where the stars did well.
+    with the blocks of strays, so they are few where the stars did well. Centres are found open or not by narrow rows;
+    the differences are fetched for members of open ones only, by (member, centre), which is no hot key.
     """
-    of_node, of_centre = roots.withColumnRenamed("root", "r1"), roots.select(F.col("node").alias("centre"), F.col("root").alias("r2"))
-    placed = compared.join(of_node, "node", "left").join(of_centre, "centre", "left")
-    placed = placed.withColumn("root", F.coalesce("r1", "node")).withColumn("stray", F.col("root") != F.coalesce("r2", "centre")).drop("r1", "r2", "linked")
-    counts = placed.groupBy("centre").agg(F.count_if("stray").alias("strays"), F.count_if(~F.col("stray")).alias("homes")).where("strays > 1 or strays > 0 and homes > 0")
-    # rows are wide, counts are one narrow row for each centre that is open
-    rows = placed.join(counts, "centre")
+    of_node, of_centre = roots.select(F.col("node").alias("n"), F.col("root").alias("r1")), roots.select(F.col("node").alias("centre"), F.col("root").alias("r2"))
+    placed = compared.select("n", "centre").join(of_node, "n", "left").join(of_centre, "centre", "left")
+    placed = placed.select("n", "centre", F.coalesce("r1", "n").alias("root"), (F.coalesce("r1", "n") != F.coalesce("r2", "centre")).alias("stray"))
+    placed = stored(placed, "placed")
+    counts = stored(placed.groupBy("centre").agg(F.count_if("stray").alias("strays"), F.count_if(~F.col("stray")).alias("homes")).where("strays > 1 or strays > 0 and homes > 0"), "open")
+    rows = compared.drop("linked").join(placed.join(counts, "centre"), ["n", "centre"])
     s, h = F.ceil(F.col("strays") / BLOCK), F.ceil(F.col("homes") / BLOCK)
-    block = F.pmod(F.xxhash64("node"), F.when(F.col("stray"), s).otherwise(h))
+    block = F.pmod(F.xxhash64("n"), F.when(F.col("stray"), s).otherwise(h))
     rows = rows.withColumns({"s": s, "h": h, "block": block})
     first = F.lit(0).cast("long")
     upto = lambda n: F.when(n > 0, F.sequence(first, n - 1)).otherwise(F.array().cast("array<bigint>"))
@@ -219,7 +230,7 @@ def _across(compared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     with_homes = F.transform(upto(F.col("h")), lambda j: F.struct(F.col("block").alias("i"), (F.col("s") + j).alias("j")))
     at_home = F.transform(upto(F.col("s")), lambda i: F.struct(i.alias("i"), (F.col("s") + F.col("block")).alias("j")))
     meets = F.when(F.col("stray"), F.concat(with_strays, with_homes)).otherwise(at_home)
-    dealt = rows.select("centre", "of", "node", "root", "stray", "lacks", "adds", "block", "s", F.explode(meets).alias("m")).select("*", "m.i", "m.j").drop("m")
+    dealt = rows.select("centre", "of", "n", "root", "stray", "lacks", "adds", "block", "s", F.explode(meets).alias("m")).select("*", "m.i", "m.j").drop("m")
 
     def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         _, i, j = key
@@ -237,9 +248,11 @@ def _across(compared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
         p, q = np.nonzero(near)
         # one link for two components
         _, one = np.unique(np.sort(np.stack([root[x[p]], root[y[q]]]), axis=0), axis=1, return_index=True)
-        return pd.DataFrame({"a": g.node.to_numpy()[x[p[one]]], "b": g.node.to_numpy()[y[q[one]]]})
+        return pd.DataFrame({"a": g.n.to_numpy()[x[p[one]]], "b": g.n.to_numpy()[y[q[one]]]})
 
-    return dealt.groupBy("centre", "i", "j").applyInPandas(run, "a binary, b binary").distinct()
+    out = stored(dealt.groupBy("centre", "i", "j").applyInPandas(run, "a long, b long").distinct(), "links")
+    drop(placed, counts)
+    return out
 
 
 def _common(sets: pd.Series, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -271,4 +284,4 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
     names = ["_near_id", "_near_null", "_near_h"]
     kept = found.where("kept").select(*parts(F.col("key.id"), F.col("key.h"))).distinct()
     keyed = docs.select("*", *parts(F.col(id_col), F.xxhash64(text_col)))
-    return keyed.join(kept, names, "left_semi").dropDuplicates(names).select(*docs.columns)
+    return keyed.dropDuplicates(names).join(kept, names, "left_semi").select(*docs.columns)

@@ -1,37 +1,40 @@
-"""What the corpus operators share: tables in the cluster's shared folder, and skew-safe joins."""
+"""What the corpus operators share: tables in the cluster's shared folder, and bounded filters over hashes.
+
+Hot keys: counts are combined before shuffles; large joins have a stored table on either side, so that the
+adaptive planner can cut a hot partition in parts; nothing of unknown size is broadcast by name.
+"""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Only where the session names no shared folder, as in tests on one machine.
+#: Only where the session names no shared folder and has no cluster, as in tests on one machine.
 LOCAL_FOLDER = "/tmp/checkpoints"
 #: Bits of a filter over hashes: 4 MB for the driver and each worker, whatever the input.
 FILTER_BITS = 1 << 25
-#: A key is heavy beyond this share of the rows; so there are at most 1 / HEAVY_SHARE of them.
-HEAVY_SHARE = 0.0005
-#: Below so many rows a key is never heavy.
-HEAVY_ROWS = 200
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which driver and executors share."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = spark.sparkContext.getCheckpointDir() or LOCAL_FOLDER
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = LOCAL_FOLDER
     return folder.rstrip("/")
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-@contextmanager
+@contextlib.contextmanager
 def tidy(spark: SparkSession) -> Iterator[None]:
     """Actions inside leave no shuffle files: their results are written or small, so nothing reads these files again.
 
@@ -45,34 +48,43 @@ def tidy(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(CLEANUP, before)
 
 
+#: Paths of stored tables that are still there.
+_paths: dict[str, SparkSession] = {}
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: lineage ends here, and lost executors cost no more than their tasks."""
+    """df written to the shared folder and read again: lineage ends here, and lost executors cost no more than their tasks.
+
+    The table goes with drop(), or with the driver's process.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _paths[path] = spark
     with tidy(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
 
 
-def heavy_keys(df: DataFrame, key: str, weight: str | None = None) -> DataFrame:
-    """Keys with more than HEAVY_SHARE of the rows, by exact counts; at most 1 / HEAVY_SHARE rows, so fit to broadcast."""
-    n = F.sum(weight) if weight else F.count(F.lit(1))
-    counts = df.groupBy(key).agg(n.alias("_n"))
-    total = df.agg(n.alias("_all"))
-    return counts.crossJoin(F.broadcast(total)).where((F.col("_n") > HEAVY_ROWS) & (F.col("_n") > F.col("_all") * HEAVY_SHARE)).select(key)
+def drop(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing will read again."""
+    for t in tables:
+        _delete(t._stored_at)
 
 
-def skew_join(rows: DataFrame, unique: DataFrame, key: str, heavy: DataFrame, how: str = "inner") -> DataFrame:
-    """rows joined with unique (one row for each key): heavy keys by broadcast, the others by shuffle.
+def _delete(path: str) -> None:
+    spark = _paths.pop(path, None)
+    if spark is not None:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
-    heavy holds at most 1 / HEAVY_SHARE keys, so what is broadcast has as many rows at most.
-    """
-    marked = heavy.select(key, F.lit(True).alias("_heavy"))
-    rows = rows.join(F.broadcast(marked), key, "left")
-    unique = unique.join(F.broadcast(marked), key, "left")
-    big = rows.where("_heavy").drop("_heavy").join(F.broadcast(unique.where("_heavy").drop("_heavy")), key, how)
-    rest = rows.where("_heavy is null").drop("_heavy").join(unique.where("_heavy is null").drop("_heavy"), key, how)
-    return big.unionByName(rest)
+
+@atexit.register
+def _delete_all() -> None:
+    for path in list(_paths):
+        with contextlib.suppress(Exception):  # the session may have ended
+            _delete(path)
 
 
 def bit_filter(hashes: DataFrame, column: str) -> np.ndarray:

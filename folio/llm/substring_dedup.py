@@ -4,17 +4,17 @@
    first one if equal). Equal windows have equal anchors at equal places, so only windows
    whose anchor phrase recurs can recur. Anchors are counted over all documents.
 2. Consecutive windows with one anchor make a block. Blocks whose anchor recurs are
-   collapsed to distinct ones with a count. A block that occurs twice confirms all its
-   windows; windows of single blocks are confirmed by counting them across blocks.
-3. Confirmed windows are compiled, by shards of anchors, to Aho-Corasick automata over
-   words (a character for each distinct word of the shard), and every distinct block of
-   these anchors streams through its shard's automaton, which locates every occurrence
-   by the words themselves. An anchor with many blocks is spread over several shards that
-   all get its patterns.
-4. Occurrences go back to each document that holds the block, and its covered words go.
-
-Whole texts are read; nothing is capped. What counts as frequent is only ever used to
-choose between a broadcast of at most 1 / HEAVY_SHARE rows and a shuffle.
+   collapsed to distinct ones (by 128 bits) with a count.
+3. Distinct blocks are dealt to shards by anchor, so windows that can be equal meet. A
+   shard numbers its words exactly, compiles the windows that recur to an Aho-Corasick
+   automaton with a character for each word, and streams its blocks through it. A window
+   counts as often as the automaton finds its words: once is not enough.
+4. Blocks of an anchor with over HEAVY_BLOCKS of them are dealt by window instead. Windows
+   of one hash are compared with one of them, which goes to as many shards as these fill;
+   what has other words than that one is grouped by its words.
+5. Occurrences go back to each document that holds the block, and its covered words go.
+
+Whole texts are read; nothing is capped.
 
 Defined results: a null text has no words: n_words 0 and the digest of the empty text.
 Rows that repeat an id and text are copies of each other, so their windows recur. Texts
@@ -33,16 +33,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.shared import HEAVY_ROWS, HEAVY_SHARE, bit_filter, passes, skew_join, stored
-from folio.llm.textnum import U64, Words, chunked, mix, span_hashes
+from folio.llm.shared import bit_filter, drop, passes, stored
+from folio.llm.textnum import U64, Words, chunked, expand, mix, numbered, span_hashes
 
 PHRASE = 8
-#: Distinct blocks of a shard, about: bounds an automaton.
-SHARD_BLOCKS = 1500
+#: Distinct blocks of a shard, about: bounds an automaton. Windows of a shard of windows.
+SHARD_BLOCKS, SHARD_WINDOWS = 1500, 20_000
+#: Blocks of an anchor that go to one shard, at most, and windows of one hash.
+HEAVY_BLOCKS = 500
 
 
 class Blocks:
-    """The blocks of a run of texts: document, window starts first .. last (word numbers in the run), anchor and block hashes."""
+    """The blocks of a run of texts: document, window starts first .. last (word numbers in the run), anchor hash, two block hashes."""
 
     def __init__(self, words: Words, window: int):
         self.words, self.window = words, window
@@ -52,7 +54,7 @@ class Blocks:
         start = np.flatnonzero(np.arange(n) + window <= words.first[1:][doc]) if n >= window else np.zeros(0, np.int64)
         if not len(start):
             self.doc = self.first = self.last = np.zeros(0, np.int64)
-            self.anchor = self.block = np.zeros(0, U64)
+            self.anchor = self.b1 = self.b2 = np.zeros(0, U64)
             return
         at = np.arange(n - phrase + 1)
         grams = span_hashes(words.hash, at, at + phrase)
@@ -69,7 +71,8 @@ class Blocks:
         self.doc = doc[self.first]
         self.anchor = grams[least[opens]]
         # the anchor's place is part of the block
-        self.block = mix(span_hashes(words.hash, self.first, self.last + window) + mix(self.anchor + (least[opens] - self.first).astype(U64)))
+        place = mix(self.anchor + (least[opens] - self.first).astype(U64))
+        self.b1, self.b2 = (mix(span_hashes(h, self.first, self.last + window) + place) for h in (words.hash, words.other))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -98,21 +101,47 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64), pa.int64())
 
 
-def locate(patterns: Iterable[list[bytes]], blocks: list[list[bytes]], window: int) -> list[list[int]]:
-    """For each block the places where a pattern of `window` words starts, by an automaton with a character for each word."""
-    ids: dict[bytes, str] = {}
+def spelled(segments: list[bytes]) -> tuple[Words, str]:
+    """The words of the segments, and a string with a character for each word: equal words, and no others, have equal ones."""
+    words = Words(segments)
+    _, _, number = numbered(words.hash, words.buf, words.start, words.end)
+    code = number.astype(np.uint32) + 1
+    code[code >= 0xD800] += 0x800  # no surrogates
+    return words, code.astype("<u4").tobytes().decode("utf-32-le")
 
-    def letter(w: bytes) -> str:
-        k = len(ids) + 1
-        return ids.setdefault(w, chr(k if k < 0xD800 else k + 0x800))
 
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-    for p in patterns:
-        automaton.add_word("".join(map(letter, p)))
-    if not len(automaton):
-        return [[] for _ in blocks]
+def compiled(patterns: Iterable[str]) -> ahocorasick.Automaton:
+    """An automaton that tells the number of each pattern that it finds."""
+    automaton = ahocorasick.Automaton()
+    for k, p in enumerate(patterns):
+        automaton.add_word(p, k)
     automaton.make_automaton()
-    return [[end + 1 - window for end, _ in automaton.iter("".join([ids.get(w, "\0") for w in b]))] for b in blocks]
+    return automaton
+
+
+def locate(segments: list[bytes], times: np.ndarray, window: int) -> list[list[int]]:
+    """For each segment the places where a run of `window` words starts that the segments hold more than once; segment i stands for times[i]."""
+    words, text = spelled(segments)
+    count = np.maximum(0, np.diff(words.first) - window + 1)
+    start = expand(words.first[:-1], count)
+    owner = np.repeat(np.arange(len(segments)), count)
+    _, which = np.unique(span_hashes(words.hash, start, start + window), return_inverse=True)
+    often = np.flatnonzero((np.bincount(which, weights=times[owner]) > 1)[which])
+    out: list[list[int]] = [[] for _ in segments]
+    if not len(often):
+        return out
+    # told apart by their words, whatever their hashes
+    automaton = compiled(dict.fromkeys([text[s : s + window] for s in start[often].tolist()]))
+    found = []
+    for i in np.unique(owner[often]).tolist():
+        base = int(words.first[i])
+        found += [(i, end + 1 - window, k) for end, k in automaton.iter(text[base : int(words.first[i + 1])])]
+    i, at, k = np.array(found, np.int64).T
+    # what recurs by words, not by hash
+    sure = np.bincount(k, weights=times[i])[k] > 1
+    for x, y in zip(i[sure].tolist(), at[sure].tolist(), strict=True):
+        out[x].append(y)
+    return out
 
 
 def _merge(starts: list[int], window: int) -> list[int]:
@@ -126,6 +155,9 @@ def _merge(starts: list[int], window: int) -> list[int]:
     return out
 
 
+BLOCK_ID = ["b1", "b2"]
+
+
 def recurring(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(r1, r2, spans): for each document key with recurring windows, its covered word ranges, flat [from, to, ...], in any order."""
     rows = _rows(docs, id_col, text_col)
@@ -134,58 +166,113 @@ def recurring(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_co
     anchors = _scan(rows, window, "a long", lambda x, *_: pa.RecordBatch.from_arrays([_long(x.anchor)], names=["a"]))
     hot = sc.broadcast(bit_filter(anchors.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "a"))
 
-    def emit_places(x: Blocks, r1: np.ndarray, r2: np.ndarray) -> pa.RecordBatch:
-        k = passes(hot.value, x.anchor)
-        first = x.first - x.words.first[x.doc]
-        return pa.RecordBatch.from_arrays([_long(x.anchor[k]), _long(x.block[k]), _long(r1[k]), _long(r2[k]), pa.array(first[k], pa.int32())], names=["a", "b", "r1", "r2", "s"])
-
-    places = stored(_scan(rows, window, "a long, b long, r1 long, r2 long, s int", emit_places), "places")
-    distinct = stored(places.groupBy("b").agg(F.first("a").alias("a"), F.count(F.lit(1)).alias("n"), F.min("r1").alias("r1")), "distinct")
-    wanted = sc.broadcast(bit_filter(distinct.select(F.col("r1").bitwiseXOR(F.col("b")).alias("k")), "k"))
+    def emit_places(x: Blocks, r1: np.ndarray, r2: np.ndarray) -> pa.RecordBatch | None:
+        k = np.flatnonzero(passes(hot.value, x.anchor))
+        if not len(k):
+            return None
+        # a row for each distinct block of a document
+        k = k[np.lexsort((x.first[k], x.b2[k], x.b1[k], x.doc[k]))]
+        new = np.ones(len(k), bool)
+        new[1:] = (x.doc[k[1:]] != x.doc[k[:-1]]) | (x.b1[k[1:]] != x.b1[k[:-1]]) | (x.b2[k[1:]] != x.b2[k[:-1]])
+        stops = np.append(np.flatnonzero(new), len(k)).astype(np.int32)
+        s = pa.ListArray.from_arrays(pa.array(stops), pa.array((x.first - x.words.first[x.doc])[k], pa.int32()))
+        k = k[new]
+        return pa.RecordBatch.from_arrays([_long(x.anchor[k]), _long(x.b1[k]), _long(x.b2[k]), _long(r1[k]), _long(r2[k]), s], names=["a", *BLOCK_ID, "r1", "r2", "s"])
+
+    places = stored(_scan(rows, window, "a long, b1 long, b2 long, r1 long, r2 long, s array<int>", emit_places), "places")
+    distinct = stored(places.groupBy(*BLOCK_ID).agg(F.min("a").alias("a"), F.sum(F.size("s")).alias("n"), F.min("r1").alias("r1")), "distinct")
+    wanted = sc.broadcast(bit_filter(distinct.select(F.col("r1").bitwiseXOR(F.col("b1")).alias("k")), "k"))
 
     def emit_blocks(x: Blocks, r1: np.ndarray, r2: np.ndarray) -> pa.RecordBatch | None:
-        k = np.flatnonzero(passes(hot.value, x.anchor) & passes(wanted.value, r1 ^ x.block.view(np.int64)))
-        k = k[np.unique(np.stack([r1[k].view(U64), x.block[k]]), axis=1, return_index=True)[1]] if len(k) else k
+        k = np.flatnonzero(passes(hot.value, x.anchor) & passes(wanted.value, r1 ^ x.b1.view(np.int64)))
+        k = k[np.unique(np.stack([r1[k].view(U64), x.b1[k], x.b2[k]]), axis=1, return_index=True)[1]] if len(k) else k
         if not len(k):
             return None
-        count = x.last[k] - x.first[k] + 1
-        starts = np.repeat(x.first[k] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-        w = span_hashes(x.words.hash, starts, starts + window)
-        stops = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
         texts = [b" ".join(_split(x.words, i, j)) for i, j in zip(x.first[k].tolist(), (x.last[k] + window).tolist(), strict=True)]
-        return pa.RecordBatch.from_arrays([_long(x.block[k]), _long(r1[k]), pa.ListArray.from_arrays(pa.array(stops), _long(w)), pa.array(texts, pa.binary())], names=["b", "r1", "w", "seg"])
+        return pa.RecordBatch.from_arrays([_long(x.b1[k]), _long(x.b2[k]), _long(r1[k]), pa.array(texts, pa.binary())], names=[*BLOCK_ID, "r1", "seg"])
 
-    cut = _scan(rows, window, "b long, r1 long, w array<long>, seg binary", emit_blocks)
+    cut = _scan(rows, window, "b1 long, b2 long, r1 long, seg binary", emit_blocks)
     # equal rows give equal blocks: any one will do
-    full = stored(cut.join(distinct.select("b", "a", "n", "r1"), ["b", "r1"]).dropDuplicates(["b"]).select("a", "b", "n", "w", "seg"), "blocks")
-
-    # patterns: all windows of blocks that recur, and windows that recur among single blocks
-    single = full.where("n = 1").select("b", F.posexplode("w").alias("pos", "w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("b", "pos")).alias("at")).where("n > 1")
-    single = single.groupBy("at.b").agg(F.collect_list("at.pos").alias("pos"))
-    several = full.where("n > 1").select("a", "b", "seg", F.expr("sequence(0, size(w) - 1)").alias("pos"))
-    patterns = several.unionByName(full.where("n = 1").select("a", "b", "seg").join(single, "b"))
+    full = stored(cut.join(distinct, [*BLOCK_ID, "r1"]).dropDuplicates([*BLOCK_ID, "r1"]).select("a", *BLOCK_ID, "n", "seg"), "blocks")
+    drop(distinct)
+    hot.destroy()
+    wanted.destroy()
 
-    total = full.count()
-    shards = max(1, -(-total // SHARD_BLOCKS))
-    many = full.groupBy("a").agg(F.count(F.lit(1)).alias("m")).where((F.col("m") > HEAVY_ROWS) & (F.col("m") > total * HEAVY_SHARE)).select("a", F.ceil(F.col("m") / HEAVY_ROWS).cast("long").alias("parts"))
-    many = F.broadcast(stored(many, "many"))  # at most 1 / HEAVY_SHARE rows
+    many = stored(full.groupBy("a").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > HEAVY_BLOCKS).select("a"), "many")
+    shards = max(1, -(-full.count() // SHARD_BLOCKS))
 
-    shard = F.pmod(F.xxhash64("a", "part"), F.lit(shards)).alias("shard")
-    parts = F.coalesce("parts", F.lit(1).cast("long"))
-    as_patterns = patterns.join(many, "a", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).select(shard, F.lit(0).cast("long").alias("b"), "seg", "pos")
-    as_blocks = full.join(many, "a", "left").withColumn("part", F.pmod("b", parts)).select(shard, "b", "seg", F.lit(None).cast("array<int>").alias("pos"))
+    def match(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = locate(pdf.seg.tolist(), pdf.n.to_numpy(), window)
+        some = [i for i, x in enumerate(found) if x]
+        return pdf[BLOCK_ID].iloc[some].assign(spans=pd.Series([_merge(found[i], window) for i in some], index=pdf.index[some], dtype=object))
+
+    light = full.join(many, "a", "left_anti").withColumn("shard", F.pmod(F.xxhash64("a"), F.lit(shards)))
+    marks = light.groupBy("shard").applyInPandas(match, "b1 long, b2 long, spans array<int>")
+    if not many.isEmpty():
+        marks = marks.unionByName(_by_window(full.join(many, "a", "left_semi"), window))
+    marks = stored(marks, "marks")
+    drop(full, many)
+    spans = places.join(marks, BLOCK_ID)
+    shifted = F.flatten(F.transform("s", lambda s: F.transform("spans", lambda x: x + s)))
+    # a set: rows that repeat an id and a text add nothing, and are combined before the shuffle
+    return spans.groupBy("r1", "r2").agg(F.flatten(F.collect_set(shifted)).alias("spans"))
+
+
+def _by_window(blocks: DataFrame, window: int) -> DataFrame:
+    """(b1, b2, spans) of blocks (b1, b2, n, seg) whose anchors have very many: dealt by window, the windows of one hash to several tasks."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
+                words = Words(part.column(3).to_pylist())
+                count = np.diff(words.first) - window + 1
+                start = expand(words.first[:-1], count)
+                owner = np.repeat(np.arange(part.num_rows), count)
+                # segments hold one blank between words
+                texts = [words.raw[x:y] for x, y in zip(words.start[start].tolist(), words.end[start + window - 1].tolist(), strict=True)]
+                of = pa.array(owner, pa.int64())
+                pos = start - words.first[owner]
+                yield pa.RecordBatch.from_arrays(
+                    [_long(span_hashes(words.hash, start, start + window)), part.column(0).take(of), part.column(1).take(of), pa.array(pos, pa.int32()), part.column(2).take(of), pa.array(texts, pa.binary())],
+                    names=["w", *BLOCK_ID, "pos", "n", "text"],
+                )
+
+    windows = blocks.select(*BLOCK_ID, "n", "seg").mapInArrow(cut, "w long, b1 long, b2 long, pos int, n long, text binary")
+    windows = stored(windows, "windows")
+    place = F.struct(*BLOCK_ID, "pos")
+    often = windows.groupBy("w").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("m"), F.min(place).alias("one")).where("all > 1")
+    often = stored(often.select("w", "one", F.ceil(F.col("m") / HEAVY_BLOCKS).alias("parts")), "often")
+    both = windows.join(often, "w").withColumn("given", place == F.col("one"))
+    every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+    both = both.withColumn("part", F.explode(F.when(F.col("given"), every).otherwise(F.array(F.pmod(F.xxhash64(*BLOCK_ID, "pos"), F.col("parts"))))))
+    shards = max(1, -(-windows.count() // SHARD_WINDOWS))
+    dealt = both.select(*BLOCK_ID, "pos", "n", "text", "given", F.pmod(F.xxhash64("w", "part"), F.lit(shards)).alias("shard"))
 
     def match(pdf: pd.DataFrame) -> pd.DataFrame:
-        given, asked = pdf[pdf.pos.notna()], pdf[pdf.pos.isna()]
-        windows = (words[p : p + window] for seg, pos in zip(given.seg, given.pos, strict=True) for words in (seg.split(b" "),) for p in pos)
-        found = locate(windows, [seg.split(b" ") for seg in asked.seg], window)
-        out = [(b, _merge(at, window)) for b, at in zip(asked.b, found, strict=True) if at]
-        return pd.DataFrame({"b": pd.Series([int(b) for b, _ in out], dtype="int64"), "spans": [s for _, s in out]})
-
-    marks = stored(as_patterns.unionByName(as_blocks).groupBy("shard").applyInPandas(match, "b long, spans array<int>"), "marks")
-    heavy = distinct.where((F.col("n") > HEAVY_ROWS) & (F.col("n") > F.lit(total) * HEAVY_SHARE)).select("b")
-    spans = skew_join(places.select("b", "r1", "r2", "s"), marks, "b", heavy)
-    return spans.groupBy("r1", "r2").agg(F.flatten(F.collect_list(F.transform("spans", lambda x: x + F.col("s")))).alias("spans"))
+        """Windows that recur, without text; those with other words than the given one of their hash, with it."""
+        pdf = pdf.reset_index(drop=True)
+        _, text = spelled(pdf.text.tolist())
+        runs = [text[i : i + window] for i in range(0, len(text), window)]
+        given = np.flatnonzero(pdf.given)
+        automaton = compiled([runs[i] for i in given.tolist()])
+        sure = pdf.n.to_numpy() > 1
+        other = np.zeros(len(pdf), bool)
+        for i in np.flatnonzero(~pdf.given).tolist():
+            k = next((k for _, k in automaton.iter(runs[i])), -1)
+            if k < 0:
+                other[i] = True
+            else:
+                sure[[i, given[k]]] = True
+        keep = sure | other
+        return pdf[keep].assign(text=pdf.text.where(other & ~sure, None)[keep])[[*BLOCK_ID, "pos", "n", "text"]]
+
+    found = stored(dealt.groupBy("shard").applyInPandas(match, "b1 long, b2 long, pos int, n long, text binary"), "found")
+    drop(windows, often)
+    sure = found.where("text is null").select(*BLOCK_ID, "pos")
+    rest = found.where("text is not null").groupBy("text").agg(F.collect_set(place).alias("at")).where(F.size("at") > 1).select(F.explode("at").alias("at")).select("at.*")
+    ends = F.flatten(F.transform(F.sort_array(F.collect_set("pos")), lambda p: F.array(p, p + window)))
+    return sure.unionByName(rest).groupBy(*BLOCK_ID).agg(ends.alias("spans"))
 
 
 def _split(words: Words, i: int, j: int) -> list[bytes]:

@@ -6,17 +6,19 @@ handful of array passes instead of a Python loop over words.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 
 U64 = np.uint64
 _MULT = U64(0x9E3779B97F4A7C15)
-_BASE = 0xD1342543DE82EF95  # odd, so it has an inverse modulo 2**64
-_BASE_INV = U64(pow(_BASE, -1, 1 << 64))
 
 #: Characters of one chunk; bounds the temporary arrays of a Python worker.
 CHUNK_CHARS = 1 << 20
+#: Slices of more bytes are hashed one by one; shorter ones together, eight bytes at a time.
+LANE_BYTES = 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -26,29 +28,47 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def _powers(base: int) -> callable:
-    kept = np.ones(1, U64)
-
-    def get(n: int) -> np.ndarray:
-        nonlocal kept
-        if len(kept) < n:
-            kept = np.full(max(n, CHUNK_CHARS), U64(base))
-            kept[0] = 1
-            np.multiply.accumulate(kept, out=kept)
-        return kept[:n]
-
-    return get
-
-
-_up, _down = _powers(_BASE), _powers(int(_BASE_INV))
+def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The hash of two things after one another. Not linear in either, so sums and products of hashes have no say."""
+    return mix(mix(a + _MULT) + b)
+
+
+def byte_hashes(data: bytes, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the slices data[start:end] of a byte string; another seed gives independent ones."""
+    size = (end - start).astype(np.int64)
+    out = mix(size.astype(U64) + U64(seed * int(_MULT) % 2**64))
+    lanes = np.ndarray(len(data) + 1, "<u8", data + bytes(8), strides=(1,))
+    live = np.flatnonzero(size > 0)
+    long = live[size[live] > LANE_BYTES]
+    if len(long):
+        salt = seed.to_bytes(8, "little")
+        out[long] = [int.from_bytes(hashlib.blake2b(data[a:b], digest_size=8, salt=salt).digest(), "little") for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True)]
+        live = live[size[live] <= LANE_BYTES]
+    at, left, h = start[live], size[live], out[live]
+    while len(live):
+        lane = lanes[at]
+        short = left < 8
+        lane[short] &= (U64(1) << (left[short] * 8).astype(U64)) - U64(1)
+        h = _join(h, lane)
+        over = left <= 8
+        out[live[over]] = h[over]
+        more = ~over
+        live, at, left, h = live[more], at[more] + 8, left[more] - 8, h[more]
+    return out
 
 
 def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the slices values[start:end] (unsigned integers), by prefix sums."""
-    sums = np.zeros(len(values) + 1, U64)
-    np.cumsum(mix(values.astype(U64) * _MULT + U64(1)) * _up(len(values)), out=sums[1:])
-    down = _down(len(values) + 1)
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U64))
+    """64-bit hashes of the slices values[start:end] of 64-bit numbers: halves joined pairwise, so steps grow with the logarithm of the longest slice."""
+    size = (end - start).astype(np.int64)
+    out = mix(size.astype(U64) + U64(0x2545F491))
+    level, at, width = mix(values.astype(U64) ^ _MULT), start.astype(np.int64), 1
+    longest = int(size.max(initial=0))
+    while width <= longest:
+        some = np.flatnonzero(size & width)
+        out[some] = _join(out[some], level[at[some]])
+        at[some] += width
+        level, width = _join(level[:-width], level[width:]), width * 2
+    return out
 
 
 def expand(start: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -59,6 +79,31 @@ def expand(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return out + np.repeat(start - shift, count)
 
 
+def unlike(x: np.ndarray, x0: np.ndarray, x1: np.ndarray, y: np.ndarray, y0: np.ndarray, y1: np.ndarray) -> np.ndarray:
+    """Numbers of the slices x[x0:x1] that differ from y[y0:y1]."""
+    size = x1 - x0
+    differ = size != y1 - y0
+    at = np.flatnonzero(~differ)
+    found = x[expand(x0[at], size[at])] != y[expand(y0[at], size[at])]
+    if found.any():
+        differ[np.repeat(at, size[at])[found]] = True
+    return np.flatnonzero(differ)
+
+
+def numbered(hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct slices data[start:end]: sorted distinct hashes, the first slice of each, and for each slice its number among the first ones.
+
+    Slices are compared with the first of their hash, not taken as equal; one that differs gets a number of its own after those of the hashes.
+    """
+    keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+    like = first[which]
+    at = np.flatnonzero(like != np.arange(len(like)))
+    for i in at[unlike(data, start[at], end[at], data, start[like[at]], end[like[at]])].tolist():
+        which[i] = len(first)
+        first = np.append(first, i)
+    return keys, first, which
+
+
 def chunked(texts: Iterable[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
     """(index of the first text, texts) in runs of about `limit` characters; a longer text is a run of its own."""
     first, run, size = 0, [], 0
@@ -85,8 +130,8 @@ class Words:
     first[d] .. first[d + 1] are the words of text d.
     """
 
-    def __init__(self, texts: list[str], lower: bool = False):
-        blobs = [t.encode("utf-8", "surrogatepass") for t in texts]
+    def __init__(self, texts: list[str] | list[bytes], lower: bool = False):
+        blobs = [t if isinstance(t, bytes) else t.encode("utf-8", "surrogatepass") for t in texts]
         self.raw = b"\n".join(blobs) + b"\n"
         buf = np.frombuffer(self.raw, np.uint8)
         if lower:
@@ -100,7 +145,12 @@ class Words:
         self.buf = buf
         stops = np.cumsum([len(b) + 1 for b in blobs])
         self.first = np.concatenate(([0], np.searchsorted(self.start, stops)))
-        self.hash = span_hashes(buf, self.start, self.end)
+        self.hash = byte_hashes(self.raw, self.start, self.end)
+
+    @cached_property
+    def other(self) -> np.ndarray:
+        """A second hash of each word, for keys of 128 bits."""
+        return byte_hashes(self.raw, self.start, self.end, 1)
 
     def text(self, i: int, j: int) -> bytes:
         """Words i .. j - 1 as they stand, with what separates them."""

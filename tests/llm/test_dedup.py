@@ -55,7 +55,7 @@ def test_substring_texts_and_rewrite(spark):
 
 
 def test_a_common_passage_in_many_contexts(spark, monkeypatch):
-    monkeypatch.setattr(substring_dedup, "HEAVY_ROWS", 5)
+    monkeypatch.setattr(substring_dedup, "HEAVY_BLOCKS", 5)
     monkeypatch.setattr(substring_dedup, "SHARD_BLOCKS", 7)
     common = " ".join(f"c{i}" for i in range(12))
     texts = [f"{' '.join(f'a{k}x{i}' for i in range(10))} {common} {' '.join(f'b{k}x{i}' for i in range(10))}" for k in range(60)]
