@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,3 +36,10 @@ def collapse_blank(text: Column) -> Column:
 
 def escape_pipes(text: Column) -> Column:
     return F.replace(text, F.lit("|"), F.lit("\\|"))
+
+
+def replace_all(text: Column, pairs: Iterable[tuple[str, str]]) -> Column:
+    """Each old string replaced by its new one, wherever it stands, one pair after the other."""
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folio.functions import html
+from folio.functions.text import replace_all
 
 
 def keep_first(images: DataFrame, min_bytes: int = 0) -> DataFrame:
@@ -94,6 +95,15 @@ def rewrite_links(pages: DataFrame, plan: DataFrame) -> DataFrame:
     return joined.withColumn("html", F.array_join(put, "")).drop("parts", "links")
 
 
+#: Documents that were given other names.
+RENAMES = (("docs/资源目录/课程/古武术总纲.md", "docs/资源目录/课程/古武术.md"), ("docs/资源目录/能力列表/出身经历类.md", "docs/资源目录/能力列表/出身类.md"))
+
+
+def renamed_references(text: Column, renames: tuple[tuple[str, str], ...] = RENAMES) -> Column:
+    """A text whose quoted paths (in back quotes) are the new ones."""
+    return replace_all(text, ((f"`{old}`", f"`{new}`") for old, new in renames))
+
+
 def rename_outcome(src_exists: Column, dst_exists: Column) -> Column:
     return F.when(~src_exists, "missing").when(dst_exists, "exists").otherwise("renamed")
 

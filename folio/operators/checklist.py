@@ -33,9 +33,6 @@ def mark_done(text: Column, path: Column, note: Column) -> Column:
     return F.array_join(F.concat(rows, F.array(line, F.lit(""))), "\n")
 
 
-def mark_all(text: str, done: list[tuple[str, str]], spark: object) -> str:
-    """A list with several (path, note) marked one after the other; one small text, so on the driver in one row."""
-    column = F.lit(text)
-    for path, note in done:
-        column = mark_done(column, F.lit(path), F.lit(note))
-    return spark.range(1).select(column.alias("text")).first().text
+def mark_all(text: Column, done: Column) -> Column:
+    """The list with several items marked one after the other; done: an array of (path, note). One fold, however many there are."""
+    return F.aggregate(done, text, lambda now, x: mark_done(now, x["path"], x["note"]))

@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.functions import markdown as md
-from folio.functions.text import lines, strip
+from folio.functions.text import BLANK, lines, strip
 
 #: Lines among which the first one with text is looked for; in a table of contents, the first heading.
 TITLE_WITHIN, HEADING_WITHIN = 120, 80
 #: Documents with content that a group's report names.
 TOP_CONTENT = 10
+#: A line with text, and one that is blank or a rule: told by one match, without a stripped copy of each line.
+FILLED = rf"(?U)(?!{BLANK})(?s:.)"
+NO_BODY = rf"(?U)\A{BLANK}*(?:{'|'.join(re.escape(r) for r in md.RULES)})?{BLANK}*\z"
 
 
 def described(docs: DataFrame, path_col: str = "path", text_col: str = "text") -> DataFrame:
     """(path, title, title_level, body_nonempty_lines, body_chars, is_title_only) of documents whose first line with text is a heading."""
     all_ = docs.select(F.col(path_col).alias("path"), lines(F.col(text_col)).alias("lines"))
-    numbered = F.filter(F.transform(F.slice("lines", 1, TITLE_WITHIN), lambda x, i: F.struct((i + 1).alias("n"), x.alias("line"))), lambda s: strip(s["line"]) != "")
+    numbered = F.filter(F.transform(F.slice("lines", 1, TITLE_WITHIN), lambda x, i: F.struct((i + 1).alias("n"), x.alias("line"))), lambda s: s["line"].rlike(FILLED))
     found = all_.withColumn("first", F.get(numbered, F.lit(0))).where(F.col("first").isNotNull())
     found = found.withColumn("title", md.trim_emphasis(md.heading_text(F.col("first.line")))).where("title <> ''")
-    body = F.filter(F.slice("lines", F.col("first.n") + 1, F.size("lines")), lambda x: ~strip(x).isin("", *md.RULES))
+    body = F.filter(F.slice("lines", F.col("first.n") + 1, F.size("lines")), lambda x: ~x.rlike(NO_BODY))
     return found.select("path", "title", md.heading_level(F.col("first.line")).alias("title_level"), body.alias("body")).select(
         "path", "title", "title_level", F.size("body").alias("body_nonempty_lines"), F.length(strip(F.array_join("body", "\n"))).alias("body_chars"), (F.size("body") == 0).alias("is_title_only")
     )
@@ -33,15 +38,16 @@ def stem(path: Column) -> Column:
 def duplicate_groups(info: DataFrame, key: Column) -> DataFrame:
     """(key, path, title, kind, rank, body_nonempty_lines, body_chars) of groups with both title-only documents and ones with content.
 
-    Groups are found by a map-side combined aggregate; only their members go through a window, and of those with
-    content the TOP_CONTENT longest stay.
+    Groups are found by a map-side combined aggregate. Members with content, of which the TOP_CONTENT longest stay, go
+    through a window with a limit that cuts a group before it is shuffled; title-only ones need no window and no rank.
     """
     keyed = info.withColumn("key", key).where("key <> ''")
     groups = keyed.groupBy("key").agg(F.bool_or("is_title_only").alias("some"), F.bool_and("is_title_only").alias("every"), F.count(F.lit(1)).alias("n")).where("n >= 2 and some and not every").select("key")
-    members = keyed.join(groups, "key", "left_semi").withColumn("kind", F.when(F.col("is_title_only"), "title_only").otherwise("has_content"))
-    size = F.when(F.col("is_title_only"), F.lit(0)).otherwise(F.col("body_chars"))
-    ranked = members.withColumn("rank", F.row_number().over(Window.partitionBy("key", "kind").orderBy(size.desc(), "path")))
-    return ranked.where((F.col("kind") == "title_only") | (F.col("rank") <= TOP_CONTENT)).select("key", "path", "title", "kind", "rank", "body_nonempty_lines", "body_chars")
+    members = keyed.join(groups, "key", "left_semi")
+    ranked = members.where(~F.col("is_title_only")).withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("body_chars"), "path"))).where(F.col("rank") <= TOP_CONTENT)
+    content = ranked.withColumn("kind", F.lit("has_content"))
+    only = members.where("is_title_only").select("*", F.lit(None).cast("int").alias("rank"), F.lit("title_only").alias("kind"))
+    return content.unionByName(only).select("key", "path", "title", "kind", "rank", "body_nonempty_lines", "body_chars")
 
 
 def by_title(info: DataFrame) -> DataFrame:

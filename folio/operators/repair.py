@@ -1,9 +1,9 @@
 """Repairs of tables that lost their markup: level tables and tier tables, line by line.
 
 Lines are rows (path, line_no, line); windows look ahead within a document and find runs,
-so a document's lines are together but no two documents need be. compat=True gives the
-tables with the irregularities that readers of the older output rely on (a separator one
-column short, signs' digits twice); without it tables are regular.
+so a document's lines are together but no two documents need be. compat=True, the default
+of whole jobs, gives the tables with the irregularities that readers of the older output rely on
+(a separator one column short, signs' digits twice); without it tables are regular.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ EXPECTED, ATTACK = "**期望**", "**攻击**"
 TIERS = ("传闻", "怪谈", "传说", "恶疾", "梦魇", "星辰", "杂质")
 #: The first level of a table that follows right after another.
 SECOND_FROM = 11
+#: The documents that are repaired, under the folder of documents, and by what.
+LISTED = {"核心规则/基本规则/等级.md": "level", "创作指南/战技平衡.md": "tier", "核心规则/速查图表/经历与晋升一览表.md": "level"}
 
 
 def numbered(docs: DataFrame, path_col: str = "path", text_col: str = "text") -> DataFrame:
@@ -99,7 +101,7 @@ def tier_tables(lines: DataFrame, compat: bool = False) -> DataFrame:
     return marked.where(~F.col("in_table") | (F.size("cells") >= 2)).select("path", "line_no", line.alias("line"))
 
 
-def repaired(docs: DataFrame, kinds: dict[str, str], compat: bool = False) -> DataFrame:
+def repaired(docs: DataFrame, kinds: dict[str, str] = LISTED, compat: bool = True) -> DataFrame:
     """(path, text, status) for each wished path: kinds maps a path to "level" or "tier". status: ok, unchanged or missing."""
     wished = docs.sparkSession.createDataFrame(sorted(kinds.items()), "path string, kind string")
     found = wished.join(docs.select("path", "text"), "path", "left")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +16,7 @@ from folio.functions import text as tx
 from folio.functions.charset import decode_as
 from folio.operators import assets, checklist, contents, documents, repair, tables
 from folio.plans import jobs
-from folio.sources import files
+from folio.sources import files, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,6 +52,26 @@ def longs(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("long") for n in names})
 
 
+def per_nation(spark: SparkSession, sf_dir: str, rows: list[tuple], *names: str) -> DataFrame:
+    """Each of a few crafted rows for each nation, whose key comes first and whose name stands for every @ in them."""
+    value = lambda v: F.lit(v) if not isinstance(v, str) else F.replace(F.lit(v), F.lit("@"), F.col("n_name"))
+    cases = F.array(*(F.struct(*(value(v).alias(n) for v, n in zip(r, names, strict=True))) for r in rows))
+    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("n_nationkey"), F.inline(cases))
+
+
+def per_nation_sql(rows: list[tuple], *names: str) -> str:
+    columns = ", ".join(f"replace({n}, '@', n_name) AS {n}" if any(isinstance(r[i], str) for r in rows) else n for i, n in enumerate(names))
+    return f"SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, {columns} FROM nation, ({literal(rows, *names)})"
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder for the files that a query writes and reads back: in the shared folder of a cluster, in a temporary one on a single machine."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{re.sub('^file:/+', '/', shared)}/files-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp()
+
+
 # --- HTML clean-up
 
 STRIP_SQL = r"regexp_replace(regexp_replace(regexp_replace({}, '(?is)<style\b.*?</style>', '', 'g'), '(?is)<script\b.*?</script>', '', 'g'), '(?s)<!--.*?-->', '', 'g')"
@@ -104,7 +127,47 @@ def html_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", html.clean(F.col("html")).alias("html"))
 
 
-@query()
+CLEAN_SQL = keep_sql(keep_sql(ATTRS_SQL.format(r"regexp_replace(regexp_replace(" + STRIP_SQL.format("html") + r", '(?i)</?[vow]:[^>]*>', '', 'g'), '(?i)<span\b[^>]*>|</span\s*>', '', 'g')"), "img", "src"), "a", "href")
+#: White space as the engine's patterns take it; the SQL side's class has no vertical tab.
+SP = r"[\s\x{0b}]"
+
+
+def chain_sql(text: str, steps: list[tuple[str, str]]) -> str:
+    for pattern, into in steps:
+        into = " || ".join(f"'{x}'" for x in [into.replace("'", "''")]).replace("\n", "' || chr(10) || '")
+        text = f"regexp_replace({text}, '{pattern}', {into}, 'g')"
+    return text
+
+
+MARKDOWN_STEPS = [
+    (r"(?is)<head\b.*?</head\s*>", ""),
+    (r"[ \t\r\n]+", " "),
+    (rf"(?i)<br{SP}*/?>", "\n"),
+    (rf"(?i)<hr{SP}*/?>", "\n\n---\n\n"),
+    (r"(?i)</?(?:strong|b)>", "**"),
+    (r"(?i)</?(?:em|i)>", "*"),
+    (rf'(?i)<img{SP}+src="([^"]*)">', r"![](\1)"),
+    (rf'(?i)<a{SP}+href="([^"]*)">(.*?)</a>', r"[\2](\1)"),
+    (r"(?i)</?a>", ""),
+    *((rf"(?i){SP}*<h{n}>{SP}*(.*?){SP}*</h{n}>{SP}*", f"\n\n{'#' * n} \\1\n\n") for n in range(1, 7)),
+    (rf"(?i){SP}*<li>{SP}*", "\n- "),
+    (rf"(?i){SP}*</li>", ""),
+    (rf"(?i){SP}*</?(?:p|div|ul|ol|body|html|article|section|nav|footer|header|main)\b[^>]*>{SP}*", "\n\n"),
+    (r"(?i)<!doctype[^>]*>", ""),
+    (r"[ \t]+\n", "\n"),
+    (r"\n{3,}", "\n\n"),
+]
+MARKDOWN_SQL = chain_sql(CLEAN_SQL, MARKDOWN_STEPS)
+for _name, _sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+    MARKDOWN_SQL = f"replace({MARKDOWN_SQL}, '{_name}', '{_sign}')"
+MARKDOWN_SQL = rf"regexp_replace(regexp_replace(replace({MARKDOWN_SQL}, chr(13) || chr(10), chr(10)), '^\n+', ''), '\n{{4,}}', repeat(chr(10), 3), 'g')"
+TIDIED_SQL = chain_sql(
+    rf"array_to_string(list_filter(string_split(md, chr(10)), lambda x: NOT regexp_matches(x, '(?i)^{WS}*</?div>{WS}*$')), chr(10))",
+    [(r"(?is)<colgroup\b.*?</colgroup\s*>", ""), (r"(?i)<col\b[^>]*>", ""), (r"(?i)<table\b[^>]*>", "<table>"), (r'(?i)<img\b[^>]*\bsrc\s*=\s*"([^"]+)"[^>]*>', r"![](\1)"), (r"(?i)<p\b[^>]*>|</p\s*>", ""), (r"\n{4,}", "\n\n\n"), (f"^{WS}+|{WS}+$", "")],
+)
+
+
+@query(f"SELECT path, {TIDIED_SQL} || chr(10) AS text FROM (SELECT url AS path, {MARKDOWN_SQL} AS md FROM pages)")
 def html_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.import_pages(table(spark, sf_dir, "pages").select(F.col("url").alias("path"), "html"))
 
@@ -125,10 +188,11 @@ DECODED = [(1, "中文", "gbk", "replace"), (2, "中文", "utf-8", "replace"), (
 BYTES = ["d6d0cec4", "e4b8ade69687", "61ff62", "61ff62", "e4b8ade69687", "e9"]
 
 
-@query(literal([(i, t) for i, t, _, _ in DECODED], "id", "text"))
+@query(per_nation_sql([(i, "@ " + t) for i, t, _, _ in DECODED], "id", "text"))
 def decode_charsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(i, bytes.fromhex(b), n, e) for (i, _, n, e), b in zip(DECODED, BYTES, strict=True)], "id long, content binary, name string, errors string")
-    out = [rows.where(F.col("errors") == e).select("id", decode_as(F.col("content"), F.col("name"), e).alias("text")) for e in ("replace", "ignore", "strict")]
+    rows = per_nation(spark, sf_dir, [(i, b, n, e) for (i, _, n, e), b in zip(DECODED, BYTES, strict=True)], "id", "hex", "codec", "errors").withColumn("id", F.col("id").cast("long"))
+    rows = rows.join(table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("n_nationkey"), "n_name"), "n_nationkey").withColumn("content", F.concat(F.encode(F.concat("n_name", F.lit(" ")), "UTF-8"), F.unhex("hex")))
+    out = [rows.where(F.col("errors") == e).select("n_nationkey", "id", decode_as(F.col("content"), F.col("codec"), e).alias("text")) for e in ("replace", "ignore", "strict")]
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
@@ -199,7 +263,7 @@ def doc_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def groups_sql(key: str) -> str:
     return f"""WITH {INFO_SQL}, keyed AS (SELECT *, {key} AS key FROM described), g AS (SELECT key FROM keyed GROUP BY key HAVING count(*) >= 2 AND bool_or(is_title_only) AND NOT bool_and(is_title_only)),
-    r AS (SELECT key, path, title, CASE WHEN is_title_only THEN 'title_only' ELSE 'has_content' END AS kind, row_number() OVER (PARTITION BY key, is_title_only ORDER BY CASE WHEN is_title_only THEN 0 ELSE -body_chars END, path) AS rank, CAST(body_nonempty_lines AS BIGINT) AS body_nonempty_lines, CAST(body_chars AS BIGINT) AS body_chars FROM keyed SEMI JOIN g USING (key))
+    r AS (SELECT key, path, title, CASE WHEN is_title_only THEN 'title_only' ELSE 'has_content' END AS kind, CASE WHEN NOT is_title_only THEN row_number() OVER (PARTITION BY key, is_title_only ORDER BY -body_chars, path) END AS rank, CAST(body_nonempty_lines AS BIGINT) AS body_nonempty_lines, CAST(body_chars AS BIGINT) AS body_chars FROM keyed SEMI JOIN g USING (key))
     SELECT * FROM r WHERE kind = 'title_only' OR rank <= 10"""
 
 
@@ -213,22 +277,29 @@ def dupes_by_stem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return longs(documents.by_stem(documents.described(titled(spark, sf_dir))), "rank", "body_nonempty_lines", "body_chars")
 
 
-@query(
-    f"""WITH rows AS ({groups_sql("'topic' || (doc_id % 173)")}), g AS (SELECT key, min(CASE WHEN kind = 'title_only' THEN path END) AS least_path, arg_min(title, CASE WHEN kind = 'title_only' THEN path END) AS title,
-    string_agg('- ' || path, chr(10) ORDER BY rank) FILTER (WHERE kind = 'title_only') AS a, string_agg('- ' || path || '  (body_lines=' || body_nonempty_lines || ', body_chars=' || body_chars || ')', chr(10) ORDER BY rank) FILTER (WHERE kind = 'has_content') AS b FROM rows GROUP BY key)
-    SELECT 'A' AS section, key, least_path, '== ' || title || ' ==' || chr(10) || 'title_only:' || chr(10) || a || chr(10) || 'has_content:' || chr(10) || b || chr(10) AS text FROM g"""
-)
-def dupes_report_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.duplicate_report(titled(spark, sf_dir)).where("section = 'A'")
+def section_sql(section: str, key: str, name: str, head: str) -> str:
+    return f"""SELECT * FROM (WITH rows AS ({groups_sql(key)}), g AS (SELECT key, min(CASE WHEN kind = 'title_only' THEN path END) AS least_path, arg_min({name}, CASE WHEN kind = 'title_only' THEN path END) AS title,
+    string_agg('- ' || path, chr(10) ORDER BY path) FILTER (WHERE kind = 'title_only') AS a, string_agg('- ' || path || '  (body_lines=' || body_nonempty_lines || ', body_chars=' || body_chars || ')', chr(10) ORDER BY rank) FILTER (WHERE kind = 'has_content') AS b FROM rows GROUP BY key)
+    SELECT '{section}' AS section, CAST(1 AS BIGINT) AS part, key, least_path, '== ' || title || ' ==' || chr(10) || 'title_only:' || chr(10) || a || chr(10) || 'has_content:' || chr(10) || b || chr(10) AS line FROM g
+    UNION ALL SELECT '{section}', 0, '', '', {head} || chr(10) || chr(10) || '候选组数：' || (SELECT count(*) FROM g) || chr(10))"""
+
+
+STEM_SQL = "regexp_replace(string_split(path, '/')[-1], '\\.[^.]*$', '')"
+HEAD_SQL = {k: f"'{v}'" for k, v in jobs.DUPES_HEAD.items()}
+
+
+@query(section_sql("A", "'topic' || (doc_id % 173)", "title", f"'{jobs.DUPES_TITLE}' || chr(10) || chr(10) || {HEAD_SQL['A']}") + " UNION ALL " + section_sql("B", "'t' || (doc_id % 211)", STEM_SQL, f"chr(10) || {HEAD_SQL['B']}"))
+def dupes_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longs(jobs.duplicate_report(titled(spark, sf_dir)), "part")
 
 
 KEYS = [("**战 斗**：Ａ", "战斗a", "**战斗**a"), ("<b>Core</b> `Rules`!", "corerules", "<b>core</b>rules"), ("①　ﾊﾟ_x_", "1パx", "1パ_x_"), (" A·B • C ", "abc", "abc")]
 
 
-@query(literal(KEYS, "title", "dupes_key", "toc_key"))
+@query(f"SELECT n_nationkey, title || n_name AS title, dupes_key || replace(lower(n_name), '_', '') AS dupes_key, toc_key || lower(n_name) AS toc_key FROM ({per_nation_sql(KEYS, 'title', 'dupes_key', 'toc_key')}) JOIN (SELECT n_nationkey, n_name FROM nation) USING (n_nationkey)")
 def title_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(k[0],) for k in KEYS], "title string")
-    return rows.select("title", md.title_key(F.col("title")).alias("dupes_key"), md.toc_key(F.col("title")).alias("toc_key"))
+    rows = per_nation(spark, sf_dir, [(k[0] + "@",) for k in KEYS], "title")
+    return rows.select("n_nationkey", "title", md.title_key(F.col("title")).alias("dupes_key"), md.toc_key(F.col("title")).alias("toc_key"))
 
 
 @query(f"SELECT path FROM ({TITLED_SQL}) WHERE doc_id % 11 = 0")
@@ -246,7 +317,7 @@ def audit_html_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TOC_SQL = """toc AS (SELECT row_number() OVER (ORDER BY n_regionkey, n_nationkey) AS toc_idx, 1 + n_nationkey % 3 AS level,
     CASE WHEN n_nationkey % 4 = 3 THEN n_name ELSE CASE n_nationkey % 4 WHEN 0 THEN '1' WHEN 1 THEN '2.' || n_regionkey ELSE '3.1.' END || ' ' || n_name END AS title, 10 + n_nationkey AS page FROM nation),
-    docs AS (SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'docs/' WHEN s_suppkey % 3 = 1 THEN 'docs/核心规则/' ELSE 'other/' END || 's' || s_suppkey || '.md' AS path, 's' || s_suppkey AS stem, CASE WHEN s_suppkey % 10 = 0 THEN '1 ' || n_name ELSE lower(n_name) || '!' END AS title FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_nationkey % 6 <> 5),
+    docs AS (SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'docs/' WHEN s_suppkey % 3 = 1 THEN 'docs/核心规则/' ELSE 'other/' END || 's' || s_suppkey || '.md' AS path, 's' || s_suppkey AS stem, CASE WHEN s_suppkey % 10 = 0 THEN '1 ' || n_name ELSE lower(n_name) || '!' END || CASE WHEN s_nationkey % 6 = 5 THEN ' other' ELSE '' END AS title FROM supplier JOIN nation ON s_nationkey = n_nationkey),
     keys AS (SELECT path, regexp_replace(lower(title), '[\\s!.]+', '', 'g') AS key FROM docs UNION SELECT path, stem FROM docs),
     asked AS (SELECT toc_idx, 0 AS priority, title, regexp_replace(lower(regexp_replace(title, '^\\d+(\\.\\d+)*\\.?\\s+', '')), '[\\s!.]+', '', 'g') AS key FROM toc UNION ALL SELECT toc_idx, 1, title, regexp_replace(lower(title), '[\\s!.]+', '', 'g') FROM toc),
     hits AS (SELECT toc_idx, path, priority, title, min(priority) OVER (PARTITION BY toc_idx) AS least FROM asked JOIN keys USING (key)),
@@ -267,8 +338,9 @@ def toc_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     toc = nation.select(F.row_number().over(Window.orderBy("n_regionkey", "n_nationkey")).alias("toc_idx"), (F.col("n_nationkey") % 3 + 1).alias("level"), title.alias("title"), (F.col("n_nationkey") + 10).alias("page"))
     s = F.col("s_suppkey")
     folder = F.when(s % 3 == 0, "docs/").when(s % 3 == 1, "docs/核心规则/").otherwise("other/")
-    joined = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).where("s_nationkey % 6 <> 5")
-    docs = joined.select(F.concat(folder, F.lit("s"), s.cast("string"), F.lit(".md")).alias("path"), F.when(s % 10 == 0, F.concat(F.lit("1 "), "n_name")).otherwise(F.concat(F.lower("n_name"), F.lit("!"))).alias("title"))
+    joined = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    title = F.concat(F.when(s % 10 == 0, F.concat(F.lit("1 "), "n_name")).otherwise(F.concat(F.lower("n_name"), F.lit("!"))), F.when(F.col("s_nationkey") % 6 == 5, " other").otherwise(""))
+    docs = joined.select(F.concat(folder, F.lit("s"), s.cast("string"), F.lit(".md")).alias("path"), title.alias("title"))
     return toc, docs
 
 
@@ -311,22 +383,22 @@ def table_to_pipe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SPANS = [
-    (1, '<table><tr><th>A</th><th>B</th></tr><tr><td rowspan="2">x</td><td>1</td></tr><tr><td>2</td></tr></table>', "| A | B |\n| --- | --- |\n| x | 1 |\n| x | 2 |\n"),
+    (1, '<table><tr><th>A</th><th>B</th></tr><tr><td rowspan="2">x@</td><td>1</td></tr><tr><td>2</td></tr></table>', "| A | B |\n| --- | --- |\n| x@ | 1 |\n| x@ | 2 |\n"),
     (2, '<table><tr><th>a</th><th>b</th><th>c</th></tr><tr><td>1</td><td>2</td><td rowspan="2">S</td></tr><tr><td>3</td></tr><tr><td>4</td><td>5</td></tr></table>', "**3**\n\n| a | b | c |\n| --- | --- | --- |\n| 1 | 2 | S |\n| 4 | 5 | S |\n"),
     (3, '<TABLE border=1><tr><td colspan="2">T</td></tr><tr><td>a<br>b</td><td> c|d </td></tr></TABLE >', "**T**\n\n| a<br>b | c\\|d |\n| --- | --- |\n"),
     (4, '<table><tr><td colspan="2">T</td></tr><tr><td>U<td></table>', "**T**\n\n**U**\n"),
     (5, '<table><tr><td rowspan="2" colspan="2">M</td><td>1</td></tr><tr><td>2</td></tr><tr><td colspan="x">p<td>q<td>r</table>', "| M | M | 1 |\n| --- | --- | --- |\n| M | M | 2 |\n| p | q | r |\n"),
-    (6, "no table", "no table"),
+    (6, "no table @", "no table @"),
 ]
 
 
-@query(literal([(i, t) for i, _, t in SPANS], "case_id", "text"))
+@query(per_nation_sql([(i, t) for i, _, t in SPANS], "case_id", "text"))
 def table_span_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.replace_tables(spark.createDataFrame([(i, h) for i, h, _ in SPANS], "case_id long, text string")).select("case_id", "text")
+    return longs(tables.replace_tables(per_nation(spark, sf_dir, [(i, h) for i, h, _ in SPANS], "case_id", "text")).select("n_nationkey", "case_id", "text"), "case_id")
 
 
 STRICT = [
-    (1, "<table><tr><td></td><td></td></tr><tr><td>h<br>1</td><td>a|b</td></tr><tr><td><strong>z</strong></td></tr></table>", "| h<br>1 | a\\|b |\n| --- | --- |\n| **z** |   |\n"),
+    (1, "<table><tr><td></td><td></td></tr><tr><td>h<br>1</td><td>a|b</td></tr><tr><td><strong>z @</strong></td></tr></table>", "| h<br>1 | a\\|b |\n| --- | --- |\n| **z @** |   |\n"),
     (2, "<table><tr><td>a</tr></table>", "<table><tr><td>a</tr></table>"),
     (3, '<table class="x"><tr><td>a</td></tr></table>', '<table class="x"><tr><td>a</td></tr></table>'),
     (4, "<TABLE><tr><td>a</td></tr></TABLE>", "<TABLE><tr><td>a</td></tr></TABLE>"),
@@ -334,9 +406,9 @@ STRICT = [
 ]
 
 
-@query(literal([(i, t) for i, _, t in STRICT], "case_id", "text"))
+@query(per_nation_sql([(i, t) for i, _, t in STRICT], "case_id", "text"))
 def table_strict_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.replace_tables(spark.createDataFrame([(i, h) for i, h, _ in STRICT], "case_id long, text string"), strict=True).select("case_id", "text")
+    return longs(tables.replace_tables(per_nation(spark, sf_dir, [(i, h) for i, h, _ in STRICT], "case_id", "text"), strict=True).select("n_nationkey", "case_id", "text"), "case_id")
 
 
 @query(
@@ -350,19 +422,26 @@ def level_table_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.joined(repair.level_tables(repair.numbered(docs), compat=True))
 
 
-TIER_IN = "前\n**期望** **攻击** **招架**\n**传闻** 6.5 +1光\n**怪谈** 12 x50% 升半阶\n\n**期望** **攻击** 1"
-TIER_OUT = "前\n|期望|攻击|招架|\n|---|---|---|\n|传闻|6.5|1|+1光|\n|怪谈|12|50|x50%|升半阶|\n\n**期望** **攻击** 1"
+TIER_IN = "前 @\n**期望** **攻击** **招架**\n**传闻** 6.5 +1光\n**怪谈** 12 x50% 升半阶\n\n**期望** **攻击** 1"
+TIER_OUT = "前 @\n|期望|攻击|招架|\n|---|---|---|\n|传闻|6.5|1|+1光|\n|怪谈|12|50|x50%|升半阶|\n\n**期望** **攻击** 1"
 
 
-@query(literal([("a", TIER_OUT)], "path", "text"))
+@query(f"SELECT path, text FROM ({per_nation_sql([('@.md', TIER_OUT)], 'path', 'text')})")
 def tier_table_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repair.joined(repair.tier_tables(repair.numbered(spark.createDataFrame([("a", TIER_IN)], "path string, text string")), compat=True))
+    docs = per_nation(spark, sf_dir, [("@.md", TIER_IN)], "path", "text")
+    return repair.joined(repair.tier_tables(repair.numbered(docs), compat=True))
+
+
+REPAIRED = {"NATION_1.md": "level", "NATION_2.md": "tier", "NATION_3.md": "level", "NOWHERE.md": "tier"}
 
 
-@query(literal([("a.md", "|**等级**|**1**|**2**|\n|---|---|---|\n|**经历点**|1|2|", "ok"), ("b.md", "x", "unchanged"), ("c.md", None, "missing")], "path", "text", "status"))
+@query(
+    """SELECT n_name || '.md' AS path, CASE n_name WHEN 'NATION_1' THEN '|**等级**|**1**|**2**|' || chr(10) || '|------|---|' || chr(10) || '|**经历点**|' || n_nationkey || '|2|' WHEN 'NATION_3' THEN n_name ELSE '**等级**' || chr(10) || '**经历点** ' || n_nationkey || ' 2' END AS text,
+    CASE n_name WHEN 'NATION_1' THEN 'ok' ELSE 'unchanged' END AS status FROM nation WHERE n_name IN ('NATION_1', 'NATION_2', 'NATION_3') UNION ALL SELECT 'NOWHERE.md', NULL, 'missing'"""
+)
 def repair_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.createDataFrame([("a.md", "**等级**\n**经历点** 1 2"), ("b.md", "x"), ("d.md", "y")], "path string, text string")
-    return repair.repaired(docs, {"a.md": "level", "b.md": "tier", "c.md": "tier"})
+    text = F.when(F.col("n_name") == "NATION_3", F.col("n_name")).otherwise(F.concat(F.lit("**等级**\n**经历点** "), F.col("n_nationkey").cast("string"), F.lit(" 2")))
+    return repair.repaired(table(spark, sf_dir, "nation").select(F.concat("n_name", F.lit(".md")).alias("path"), text.alias("text")), REPAIRED)
 
 
 # --- work lists, renames, assets
@@ -377,10 +456,10 @@ def checklist_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 DONE = [(1, "# L\n- [ ] `docs/a.md`\n", "# L\n- [x] `docs/a.md`\n\n### 已完成\n\n- `docs/a.md`：N\n"), (2, "- [ ] `docs/a.md`\n- [ ] `docs/a.md`\n### 已完成\n\n- x", "- [x] `docs/a.md`\n- [ ] `docs/a.md`\n### 已完成\n\n- x\n\n- `docs/a.md`：N\n"), (3, "", "\n### 已完成\n\n- `docs/a.md`：N\n")]
 
 
-@query(literal([(i, t) for i, _, t in DONE], "case_id", "text"))
+@query(per_nation_sql([(i, t.replace("a.md", "@.md")) for i, _, t in DONE], "case_id", "text"))
 def checklist_mark_done(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(i, t) for i, t, _ in DONE], "case_id long, text string")
-    return rows.select("case_id", checklist.mark_done(F.col("text"), F.lit("docs/a.md"), F.lit("N")).alias("text"))
+    rows = per_nation(spark, sf_dir, [(i, t.replace("a.md", "@.md"), "docs/@.md") for i, t, _ in DONE], "case_id", "text", "path")
+    return longs(rows.select("n_nationkey", "case_id", checklist.mark_done(F.col("text"), F.col("path"), F.lit("N")).alias("text")), "case_id")
 
 
 @query(
@@ -454,9 +533,135 @@ def asset_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assets.rewrite_links(pages, assets.copy_plan(pages, listing))
 
 
-@query("SELECT count(*) AS documents, CAST(sum(len(string_split(html, '<p>')) - 1) AS BIGINT) AS paragraphs, CAST(count(*) FILTER (WHERE contains(url, 'page')) AS BIGINT) AS paged FROM pages")
+@query("SELECT count(*) AS documents, CAST(sum(CASE page_id % 3 WHEN 0 THEN 0 ELSE page_id % 3 END) AS BIGINT) AS tables_found, CAST(sum(CASE page_id % 3 WHEN 0 THEN 0 ELSE page_id % 3 END) AS BIGINT) AS tables_converted, count(*) FILTER (WHERE page_id % 3 > 0) AS changed FROM pages")
 def etl_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.regexp_count("html", F.lit("<p>"))).cast("long").alias("paragraphs"), F.count_if(F.col("url").contains("page")).alias("paged"))
+    found = F.repeat(F.concat(F.lit("<TABLE a=b><tr><td>"), "url", F.lit("<td>y</table>\n")), (F.col("page_id") % 3).cast("int"))
+    return jobs.metrics(table(spark, sf_dir, "pages").select(F.col("url").alias("path"), F.concat(F.regexp_replace("html", "(?i)<table", "<x"), found).alias("text")))
+
+
+# --- files: written to a small tree and read back
+
+
+def tree(spark: SparkSession, sf_dir: str) -> str:
+    """A tree of files by nation: docs/<region>/<name>.md with a faulty byte and mixed line ends, a readme and another file beside it."""
+    root = work_folder(spark)
+    n = table(spark, sf_dir, "nation")
+    folder = F.concat(F.lit("docs/"), F.col("n_regionkey").cast("string"), F.lit("/"))
+    body = F.concat(F.encode(F.concat("n_name", F.lit("\r\n")), "UTF-8"), F.when(F.col("n_nationkey") % 2 == 0, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit(""))), F.encode(F.lit("\rx"), "UTF-8"))
+    for name, suffix in (("n_name", ".md"), ("n_name", ".txt"), (F.concat(F.lit("x"), F.col("n_nationkey").cast("string"), F.lit("/README")), ".md")):
+        sinks.write_tree(n.select(F.concat(folder, name, F.lit(suffix)).alias("path"), body.alias("text")), root)
+    return root
+
+
+TREE_SQL = "SELECT 'docs/' || n_regionkey || '/' || n_name || '.md' AS path, n_name || chr(10) || CASE WHEN n_nationkey % 2 = 0 THEN {} ELSE '' END || chr(10) || 'x' AS text FROM nation"
+
+
+@query(TREE_SQL.format("'�'"))
+def tree_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.markdown(spark, tree(spark, sf_dir), only="docs/", without=["README.md"])
+
+
+@query(TREE_SQL.format("''"))
+def tree_markdown_ignoring_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.markdown(spark, tree(spark, sf_dir), "ignore", without=["README.md"])
+
+
+@query("SELECT 'docs/' || n_regionkey || '/' || CASE k WHEN 0 THEN n_name || '.md' WHEN 1 THEN n_name || '.txt' ELSE 'x' || n_nationkey || '/README.md' END AS path FROM nation, range(3) r(k)")
+def tree_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.listing(spark, tree(spark, sf_dir))
+
+
+@query("SELECT n_name || '.md' AS path, CASE WHEN n_nationkey % 2 = 0 THEN n_name ELSE lower(n_name) END AS text FROM nation")
+def tree_strict_and_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts written, every other one changed and written again, read strictly."""
+    root, n = work_folder(spark), table(spark, sf_dir, "nation")
+    path = F.concat("n_name", F.lit(".md")).alias("path")
+    sinks.write_tree(n.select(path, F.col("n_name").alias("text")), root)
+    sinks.write_changed(n.select(path, F.col("n_name").alias("old"), F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).otherwise(F.lower("n_name")).alias("text")), root)
+    return files.markdown(spark, root, "strict")
+
+
+@query("""SELECT 'a/' || n_name || '.md' AS path, '中' || n_name || chr(10) || chr(10) || '![](../assets/chm/a/i/' || n_name || '.PNG)' || chr(10) AS text FROM nation UNION ALL SELECT 'assets/chm/a/i/' || n_name || '.PNG', CASE WHEN n_nationkey = 3 THEN 'there before' ELSE 'png ' || n_name END FROM nation""")
+def tree_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export in another charset imported, with its images but for one that is there already."""
+    root, n = work_folder(spark), table(spark, sf_dir, "nation")
+    page = F.concat(F.lit("<html><head><meta charset=gb2312></head><body><p>"), F.lit("@"), "n_name", F.lit('</p><p><img src="i/'), "n_name", F.lit('.PNG"></p></body></html>'))
+    # the sign in gbk
+    cut = F.split(page, "@")
+    made = F.concat(F.encode(F.get(cut, F.lit(0)), "UTF-8"), F.unhex(F.lit("D6D0")), F.encode(F.get(cut, F.lit(1)), "UTF-8"))
+    image = F.concat(F.lit("i/"), "n_name", F.lit(".PNG"))
+    sinks.write_tree(n.select(F.concat(F.lit("a/"), "n_name", F.lit(".htm")).alias("path"), made.alias("text")), f"{root}/in")
+    sinks.write_tree(n.select(F.concat(F.lit("a/"), image).alias("path"), F.concat(F.lit("png "), "n_name").alias("text")), f"{root}/in")
+    sinks.write_tree(n.select(F.lit("template/t.htm").alias("path"), F.lit("no page").alias("text")).limit(1), f"{root}/in")
+    sinks.write_tree(n.where("n_nationkey = 3").select(F.concat(F.lit("assets/chm/a/"), image).alias("path"), F.lit("there before").alias("text")), f"{root}/out")
+    jobs.import_tree(spark, f"{root}/in", f"{root}/out", "assets/chm")
+    return files.scan(spark, f"{root}/out").select("path", files.text_of(F.col("content")).alias("text"))
+
+
+@query("SELECT 'report.txt' AS path, string_agg(n_name, chr(10) ORDER BY n_regionkey, n_nationkey) || chr(10) AS text FROM nation UNION ALL SELECT 'new/' || n_name || '.md', n_name FROM nation WHERE n_nationkey % 3 = 0 UNION ALL SELECT 'old/' || n_name || '.md', n_name FROM nation WHERE n_nationkey % 3 <> 0")
+def tree_report_and_renames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cleaned tree with a report in order, and some files renamed."""
+    root, n = work_folder(spark), table(spark, sf_dir, "nation")
+    sinks.write_tree(n.select(F.lit("gone.md").alias("path"), F.col("n_name").alias("text")).limit(1), root)
+    sinks.clean(root)
+    sinks.write_tree(n.select(F.concat(F.lit("old/"), "n_name", F.lit(".md")).alias("path"), F.col("n_name").alias("text")), root)
+    sinks.write_report(n.select("n_regionkey", "n_nationkey", F.col("n_name").alias("line")), f"{root}/report.txt", ["n_regionkey", "n_nationkey"])
+    wish = n.where("n_nationkey % 3 = 0").select(F.concat(F.lit("old/"), "n_name", F.lit(".md")).alias("src"), F.concat(F.lit("new/"), "n_name", F.lit(".md")).alias("dst"))
+    sinks.apply_renames(assets.rename_plan(wish, files.listing(spark, root)), root)
+    return files.scan(spark, root).select("path", files.text_of(F.col("content")).alias("text"))
+
+
+@query(
+    f"""SELECT 'docs/' || n_name || '.md' AS path, CASE WHEN n_nationkey % 2 = 0 THEN '| ' || n_name || ' | 1 |' || chr(10) || '| --- | --- |' || chr(10) ELSE n_name END AS text FROM nation UNION ALL
+    SELECT 'todo.md', string_agg('- [x] `docs/' || n_name || '.md`', chr(10) ORDER BY n_name) || chr(10) || chr(10) || '### 已完成' || chr(10) || chr(10) || string_agg('- `docs/' || n_name || '.md`：' || CASE WHEN n_nationkey % 2 = 0 THEN '{jobs.REBUILT.format(1)}' ELSE '{jobs.NOTHING}' END, chr(10) || chr(10) ORDER BY n_name) || chr(10) FROM nation"""
+)
+def rebuild_checklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents on a work list rebuilt in place, and the list ticked."""
+    root, n = work_folder(spark), table(spark, sf_dir, "nation")
+    text = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("<table><tr><td>"), "n_name", F.lit("<td>1</table>"))).otherwise(F.col("n_name"))
+    path = F.concat(F.lit("docs/"), "n_name", F.lit(".md"))
+    sinks.write_tree(n.select(path.alias("path"), text.alias("text")), root)
+    items = F.transform(F.array_sort(F.collect_list(path)), lambda p: F.concat(F.lit("- [ ] `"), p, F.lit("`")))
+    sinks.write_tree(n.agg(F.array_join(items, "\n").alias("text")).select(F.lit("todo.md").alias("path"), F.concat("text", F.lit("\n")).alias("text")), root)
+    jobs.rebuild_checklist(spark, root, "todo.md")
+    return files.markdown(spark, root)
+
+
+@query("SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, 'see `docs/new/' || n_name || '.md`, not docs/old/' || n_name || '.md' AS text FROM nation")
+def renamed_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation")
+    pairs = tuple((f"docs/old/{r.n_name}.md", f"docs/new/{r.n_name}.md") for r in n.select("n_name").collect())  # 25 at any scale
+    text = F.concat(F.lit("see `docs/old/"), "n_name", F.lit(".md`, not docs/old/"), "n_name", F.lit(".md"))
+    return n.select(F.col("n_nationkey").cast("long").alias("n_nationkey"), assets.renamed_references(text, pairs).alias("text"))
+
+
+@query("SELECT p_partkey, CAST(page AS BIGINT) AS page, CAST(idx AS BIGINT) AS idx, 'i' || idx AS image FROM (SELECT p_partkey, unnest(range(1, p_size % 4 + 1)) AS page FROM part), range(1, 3) r(idx)")
+def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    numbered = files.page_numbers(table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") % 4).alias("n_pages")))
+    rows = files.page_images(numbered.select("p_partkey", "page", F.array(F.lit("i1"), F.lit("i2")).alias("images")))
+    return longs(rows, "page", "idx")
+
+
+def lines_sql(section: int, lines: tuple[str, ...], source: str = "") -> str:
+    return " UNION ALL ".join(f"SELECT {section} AS section, {i - len(lines)} AS idx, '{x.format(source)}' AS line" for i, x in enumerate(lines))
+
+
+@query(
+    f"""WITH {TOC_SQL}, links AS (SELECT toc_idx, level, title, page, string_agg('[`docs/' || regexp_replace(path, '^docs/', '') || '`](' || regexp_replace(path, '^docs/', '') || ')', ', ' ORDER BY rank) AS links FROM matched GROUP BY ALL),
+    p AS (SELECT *, '**（[P' || printf('%03d', page) || '](../assets/pdf_pages_small/page_' || printf('%03d', page) || '.jpg)）' AS place FROM links),
+    r AS (SELECT 1 AS section, toc_idx AS idx, repeat('  ', greatest(level - 1, 0)) || '- **' || title || place || ' → ' || coalesce(links, '（未匹配）') AS line FROM p UNION ALL SELECT 2, toc_idx, '- **' || title || place FROM p WHERE links IS NULL
+    UNION ALL {lines_sql(1, jobs.MAP_HEAD, 'x.pdf')} UNION ALL SELECT * FROM ({lines_sql(2, jobs.MAP_MISSING)}) WHERE EXISTS (SELECT 1 FROM p WHERE links IS NULL))
+    SELECT CAST(section AS BIGINT) AS section, CAST(idx AS BIGINT) AS idx, line FROM r"""
+)
+def chapter_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    toc, docs = toc_inputs(spark, sf_dir)
+    return longs(jobs.chapter_map(toc, docs.select("path", F.concat(F.lit("\n# "), "title", F.lit("\ntext")).alias("text")), "x.pdf"), "section", "idx")
+
+
+@query(f"WITH {TOC_SQL} SELECT (SELECT count(*) FROM toc) AS toc_items, (SELECT count(*) FROM docs) AS md_files, (SELECT count(*) FROM matched WHERE path IS NULL) AS unmatched")
+def chapter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    toc, docs = toc_inputs(spark, sf_dir)
+    return jobs.chapter_counts(toc, docs.select("path", F.concat(F.lit("# "), "title").alias("text")))
 
 
 @query(f"SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(list_filter(l, lambda x: regexp_replace(x, '^{WS}+|{WS}+$', '', 'g') NOT IN ('', '---', '***', '___'))) AS BIGINT) AS n_kept FROM (SELECT doc_id, {LINES_SQL} AS l FROM documents)")
@@ -468,6 +673,6 @@ def doc_line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 ESCAPED = [("战 a", "\\u6218 a"), ("�\t", "\\ufffd\\t")]
 
 
-@query(literal(ESCAPED, "title", "escaped"))
+@query(per_nation_sql([(f"{t}@", f"{e}@") for t, e in ESCAPED], "title", "escaped"))
 def escape_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(t,) for t, _ in ESCAPED], "title string").select("title", files.escape_unicode(F.col("title")).alias("escaped"))
+    return per_nation(spark, sf_dir, [(f"{t}@",) for t, _ in ESCAPED], "title").select("n_nationkey", "title", files.escape_unicode(F.col("title")).alias("escaped"))

@@ -104,11 +104,12 @@ def test_pending_and_done(spark):
 
 def test_rebuild_listed(spark):
     docs = spark.createDataFrame([("docs/a.md", "x <table><tr><td>1<td>2</table> y"), ("docs/c.md", "plain"), ("docs/z.md", "other")], "path string, text string")
-    out, todo = jobs.rebuild_listed(docs, "- [ ] `docs/a.md`\n- [ ] `docs/c.md`\n", spark)
+    out, ticked = jobs.rebuild_listed(docs, "- [ ] `docs/a.md`\n- [ ] `docs/c.md`\n")
+    todo = ticked.first().text
     assert {r.path: r.text for r in out.collect()} == {"docs/a.md": "x | 1 | 2 |\n| --- | --- |\n y"}
-    assert todo.startswith("- [x] `docs/a.md`\n- [x] `docs/c.md`\n\n### 已完成\n\n- `docs/a.md`：") and todo.endswith("：无表格\n")
+    assert todo.startswith("- [x] `docs/a.md`\n- [x] `docs/c.md`\n\n### 已完成\n\n- `docs/a.md`：") and todo.endswith(f"：{jobs.NOTHING}\n")
     with pytest.raises(ValueError, match="docs/q.md"):
-        jobs.rebuild_listed(docs, "- [ ] `docs/q.md`\n", spark)
+        jobs.rebuild_listed(docs, "- [ ] `docs/q.md`\n")
     assert jobs.metrics(docs).first().asDict() == {"documents": 3, "tables_found": 1, "tables_converted": 1, "changed": 1}
 
 
@@ -184,3 +185,35 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_repair_files(spark, tmp_path):
+    for name, text in (("a.md", "**等级**\n**经历点** 1 2"), ("b.md", "x"), ("c.md", "**等级**\n**经历点** 3 4")):
+        (tmp_path / name).write_text(text)
+    kinds = {"a.md": "level", "b.md": "tier", "no.md": "tier", "c.md": "level"}
+    got = {r.path: r.status for r in jobs.repair_files(spark, str(tmp_path), kinds).collect()}
+    assert got == {"a.md": "ok", "b.md": "unchanged", "no.md": "missing", "c.md": "ok"}
+    assert (tmp_path / "a.md").read_text() == "|**等级**|**1**|**2**|\n|------|---|\n|**经历点**|1|2|"
+    # a file that can't be written fails alone
+    rows = spark.createDataFrame([("d/x.md", "1", "ok"), ("a.md/x.md", "2", "ok"), ("e.md", None, "missing")], "path string, text string, status string")
+    found = {r.path: (r.status, bool(r.error)) for r in sinks.write_each(rows, str(tmp_path), status_col="status").collect()}
+    assert found == {"d/x.md": ("ok", False), "a.md/x.md": ("failed", True), "e.md": ("missing", False)}
+
+
+def test_rename_files(spark, tmp_path):
+    sinks.write_tree(spark.createDataFrame([("docs/a.md", "A"), ("docs/c.md", "C"), ("todo.md", "- [ ] `docs/a.md`\n- [ ] `docs/b.md`\n")], "path string, text string"), str(tmp_path))
+    log = jobs.rename_files(spark, str(tmp_path), "todo.md", [("docs/a.md", "docs/n/a.md"), ("docs/b.md", "docs/n/b.md")])
+    assert log == ["renamed: docs/a.md -> docs/n/a.md", "missing: docs/b.md"]
+    assert (tmp_path / "docs/n/a.md").read_text() == "A" and (tmp_path / "todo.md").read_text() == "- [ ] `docs/n/a.md`\n- [ ] `docs/n/b.md`\n"
+
+
+def test_reports_as_files(spark, tmp_path):
+    docs = spark.createDataFrame([("x/a.md", "# T\n"), ("y/a.md", "# T\nbody\n")], "path string, text string")
+    jobs.write_duplicate_report(docs, str(tmp_path / "r.txt"))
+    group = "title_only:\n- x/a.md\nhas_content:\n- y/a.md  (body_lines=1, body_chars=4)\n"
+    assert (tmp_path / "r.txt").read_text() == f"{jobs.DUPES_TITLE}\n\n{jobs.DUPES_HEAD['A']}\n\n候选组数：1\n\n== T ==\n{group}\n\n{jobs.DUPES_HEAD['B']}\n\n候选组数：1\n\n== a ==\n{group}\n"
+    toc = spark.createDataFrame([(0, 1, "T", 3), (1, 2, "no", 4)], "toc_idx int, level int, title string, page int")
+    jobs.write_chapter_map(toc, docs, str(tmp_path / "m.md"), "b.pdf")
+    made = (tmp_path / "m.md").read_text()
+    assert made.startswith("#### ") and "来源：`b.pdf`\n" in made and made.endswith("- **no**（[P004](../assets/pdf_pages_small/page_004.jpg)）\n")
+    assert tuple(jobs.chapter_counts(toc, docs).first()) == (2, 2, 1)
