@@ -41,7 +41,7 @@ from folio.llm.textnum import U64, Words, chunked, mix, span_hashes
 BANDS, ROWS = 36, 5
 BINS = BANDS * ROWS
 #: Members of a centre that meet in one task, from either side.
-BLOCK = 1024
+BLOCK = 256
 ELEMENTS = 4096
 
 
