@@ -78,7 +78,7 @@ def test_sets_of_twins(spark):
 
 def test_counts_and_features_of_twins():
     a, b = twins(10)
-    u = lm_score.Unit([a, b, a])
+    u = lm_score.Unit([a, b, a], np.zeros(3, bool))
     assert len(np.unique(u.token)) == 3
     m = quality.Measures([f"{a} {b}", f"{a} {a}"])
     assert m.same.tolist() == [0, 1]

@@ -16,39 +16,48 @@ def tokens(t):
     return [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)), None]
 
 
-def brute(docs):
-    """(held_out, n_tokens, n_known, N, base, score) for each (id, text)."""
-    texts = [tokens(t) for _, t in docs]
+def brute(docs, order):
+    """(held_out, n_tokens, n_known, N, base, score) for each (id, text): probabilities by the recursion itself."""
+    texts = [["<start>", *tokens(t)] for _, t in docs]
     out = [zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1 for i, _ in docs]
-    pairs = [list(zip(["<start>", *t[:-1]], t)) for t in texts]
-    c = Counter(w for t, h in zip(texts, out) if not h for w in t)
-    c2 = Counter(p for ps, h in zip(pairs, out) if not h for p in ps)
-    n, v = sum(c.values()), len(c)
-    state = Counter(c)
-    state["<start>"] = len(docs) - sum(out)
+    c = Counter()
+    for t, h in zip(texts, out):
+        for i in range(1, len(t)) if not h else ():
+            c.update(tuple(t[i - m : i + 1]) for m in range(min(order, i + 1)))
+    n, v = sum(k for g, k in c.items() if len(g) == 1), sum(len(g) == 1 for g in c)
+    c["<start>",] = len(docs) - sum(out)
     once, all_ = Counter(), Counter()
-    for ps, h in zip(pairs, out):
-        for p in ps if not h else ():
-            b = state[p[0]].bit_length()
-            all_[b] += 1
-            once[b] += c2[p] == 1
-    for t, ps, h in zip(texts, pairs, out):
-        base = [(c[w] + 0.5) / (n + 0.5 * (v + 1)) for w in t]
-        score = 0.0
-        for (ctx, w), p in zip(ps, base):
-            k = state.get(ctx, 0)
-            b = k.bit_length()
-            l = (once[b] + 1) / (all_[b] + 2) if all_[b] else 0.5
-            score += math.log10((1 - l) * c2[ctx, w] / k + l * p) if k else math.log10(p)
-        yield h, len(t), sum(c[w] > 0 for w in t), n, sum(map(math.log10, base)), score
-
-
-def test_scores(spark, monkeypatch):
+    for g, k in c.items():
+        if len(g) > 1:
+            b = len(g), c[g[:-1]].bit_length()
+            all_[b] += k
+            once[b] += k == 1
+
+    def base(w):
+        return ((c[w,] if w != "<start>" else 0) + 0.5) / (n + 0.5 * (v + 1))
+
+    def p(g):
+        if len(g) == 1:
+            return base(g[0])
+        k = c[g[:-1]]
+        if not k:
+            return p(g[1:])
+        b = len(g), k.bit_length()
+        rate = (once[b] + 1) / (all_[b] + 2) if all_[b] else 0.5
+        return (1 - rate) * c[g] / k + rate * p(g[1:])
+
+    for t, h in zip(texts, out):
+        score = sum(math.log10(p(tuple(t[max(0, i - order + 1) : i + 1]))) for i in range(1, len(t)))
+        yield h, len(t) - 1, sum(c[w,] > 0 for w in t[1:]), n, sum(math.log10(base(w)) for w in t[1:]), score
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_scores(spark, monkeypatch, order):
     monkeypatch.setattr(lm_score, "SHARD_CHARS", 20_000)
     monkeypatch.setattr(lm_score, "UNIT_CHARS", 9_000)
     docs = [(r[0], r[1]) for r in rows()]
-    got = sorted(lm_score.score(table(spark)).collect(), key=lambda r: (repr(r.doc_id), r.n_tokens))
-    want = sorted(((i, *b) for (i, _), b in zip(docs, brute(docs), strict=True)), key=lambda r: (repr(r[0]), r[2]))
+    got = sorted(lm_score.score(table(spark), order=order).collect(), key=lambda r: (repr(r.doc_id), r.n_tokens))
+    want = sorted(((i, *b) for (i, _), b in zip(docs, brute(docs, order), strict=True)), key=lambda r: (repr(r[0]), r[2]))
     assert len(got) == len(want)
     for g, w in zip(got, want, strict=True):
         assert tuple(g)[:5] == w[:5]
