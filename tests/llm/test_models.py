@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from folio.llm import html_extract, license_scan, lm_score, quality
@@ -117,6 +118,49 @@ def test_estimate_finds_accuracies():
     assert right > 0.97 * 4000 and abs(share - 0.8) < 0.05 and (accuracy[:, 1] > 0.95).all()
 
 
+def test_estimate_against_loops():
+    import random
+
+    rnd = random.Random(5)
+    k = len(quality.LABELLERS)
+    counts = Counter(sum(rnd.choice((0, 1, 2, 2, 2, 2)) * 3**i for i in range(k)) for _ in range(300))
+    votes = {p: [p // 3**i % 3 for i in range(k)] for p in counts}
+    post = {p: [0.0 if 0 in v else 1.0, *((x == 0) / max(1, v.count(0)) for x in v)] for p, v in votes.items()}
+    told = []
+    for i in range(k):
+        no, yes = (sum(n for p, n in counts.items() if votes[p][i] == o) + 0.5 for o in (0, 2))
+        told.append({0: no / (no + yes), 2: yes / (no + yes)})
+    for _ in range(7):
+        share = [(sum(n * post[p][c] for p, n in counts.items()) + 1) / (sum(counts.values()) + k + 1) for c in range(k + 1)]
+        rate = []
+        for c in range(k + 1):
+            one = []
+            for i in range(k):
+                no, yes = (sum(n * post[p][c] for p, n in counts.items() if votes[p][i] == o) + told[i][o] for o in (0, 2))
+                one.append({0: no / (no + yes), 1: 1.0, 2: yes / (no + yes)})
+            rate.append(one)
+        for p, v in votes.items():
+            joint = [share[c] * math.prod(rate[c][i][x] for i, x in enumerate(v)) for c in range(k + 1)]
+            post[p] = [j / sum(joint) for j in joint]
+    got, accuracy, good = quality.estimate(counts, 7)
+    assert got == pytest.approx({p: x[0] for p, x in post.items()}, abs=1e-9) and good == pytest.approx(share[0])
+    on_bad = [sum(share[c] * rate[c][i][0] for c in range(1, k + 1)) / sum(share[1:]) for i in range(k)]
+    assert accuracy[:, 0] == pytest.approx(on_bad) and accuracy[:, 1] == pytest.approx([rate[0][i][2] for i in range(k)])
+
+
+def test_cut_has_the_fewest_errors():
+    import random
+
+    rnd = random.Random(1)
+    for _ in range(50):
+        score = np.array([rnd.choice((0.1, 0.2, 0.3, 0.4, 0.5)) for _ in range(12)])
+        good = np.array([rnd.random() for _ in range(12)])
+        least = quality.cut(score, good)
+        errors = lambda t: sum(g if s < t else 1 - g for s, g in zip(score, good))
+        assert errors(least) == pytest.approx(min(map(errors, (0, 0.15, 0.25, 0.35, 0.45, 0.6))))
+    assert quality.cut(np.array([0.2, 0.3]), np.array([1.0, 1.0])) == 0.0 and quality.cut(np.array([0.2]), np.array([0.0])) > 0.2
+
+
 @pytest.fixture(scope="module")
 def model():
     return license_scan.fit()
