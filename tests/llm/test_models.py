@@ -137,7 +137,7 @@ def test_estimate_against_loops():
             one = []
             for i in range(k):
                 no, yes = (sum(n * post[p][c] for p, n in counts.items() if votes[p][i] == o) + told[i][o] for o in (0, 2))
-                one.append({0: no / (no + yes), 1: 1.0, 2: yes / (no + yes)})
+                one.append({0: no / (no + yes), 1: 1.0, 2: yes / (no + yes)} if c != i + 1 else {0: 1.0, 1: 1.0, 2: quality.NEVER})
             rate.append(one)
         for p, v in votes.items():
             joint = [share[c] * math.prod(rate[c][i][x] for i, x in enumerate(v)) for c in range(k + 1)]
