@@ -2,17 +2,21 @@
 
 A page becomes a list of blocks (runs of text between block-level tags) with their length,
 the share of their text in links, their share of stop words, and where they stand.
-First pass: blocks of page furniture (by element, role or class) are out; blocks of an
-article or main element are in, unless they are lists of links; others are judged by
-link density, then by length and stop-word density, and short ones stay undecided.
+First pass: every block is judged by link density, then by length and stop-word density; short
+ones and those between the bounds stay undecided. Tags are evidence that is heard after this: blocks of page
+furniture (by element, role or class) are out, and in an article or main element only a list of
+links stays out by its density, other blocks there become undecided.
+Second pass: an undecided block takes the label of its nearest decided neighbours in its region
+(the article or main elements, or the rest): the label that both sides share, else the nearer side's, else the one
+before; a heading takes the label of what follows it. In an article lists of links do not speak
+for their neighbours, and where nothing is decided the blocks are in; elsewhere they are out then.
+
 Names like no-sidebar or has-header tell of a layout and mark nothing; those like
 sidebar-left mark nothing either, but many links put their blocks out. An article or main
 element in marked wrappers is no furniture, unless it stands in an element of FIRM or in
 another article or main element; an article element in a list of comments or teasers
 (ASIDE_NAMES) stays furniture. A form or a marked wrapper with over half of the page's text
 is judged by its blocks, if none outside of it is in.
-Second pass: an undecided block takes the label of its nearest decided neighbours: the
-label that both sides share, else the nearer side's, else the one before.
 
 Defined results: a null or empty page has an empty text. Broken markup is read as far as it
 goes: an unclosed comment, script or style runs to the end; unknown references stay as
@@ -76,6 +80,7 @@ class Block:
     doubtful: bool = False
     article: bool = False
     item: bool = False
+    heading: bool = False
     text: str = ""
 
 
@@ -118,7 +123,7 @@ def blocks(page: str) -> list[Block]:
             if silent:
                 continue
             if now is None:
-                now = Block(article=article, item=item, doubtful=doubtful)
+                now = Block(article=article, item=item, doubtful=doubtful, heading=any(HEADING.match(s[0]) for s in stack[-3:]))
                 out.append(now)
             now.parts.append(t)
             if not t.isspace():
@@ -191,20 +196,17 @@ def _mark_furniture(found: list[Block], roots: list[Root]) -> None:
     wide = {r for r, x in enumerate(roots) if x.chars > half and x.name not in FIRM}
     # wrappers of over half of the text lie in one another: from the outermost on
     for r in sorted(wide):
-        if not any(r not in (b.roots or ()) and first_pass(b) == GOOD for b in found):
+        if not any(r not in (b.roots or ()) and first_pass(b) >= (UNSURE if b.article else GOOD) for b in found):
             for b in found:
                 if b.roots and r in b.roots:
                     b.roots = tuple(x for x in b.roots if x != r)
                     b.furniture, b.doubtful = bool(b.roots), True
 
 
-def first_pass(b: Block) -> int:
+def density(b: Block) -> int:
+    """By the share of links, then by length and the share of stop words."""
     n = len(b.text)
     links = b.linked / n
-    if b.furniture:
-        return BAD
-    if b.article:
-        return BAD if b.item and links > 0.9 or b.doubtful and links > LINKS else GOOD
     if links > LINKS:
         return BAD
     if n < SHORT:
@@ -216,22 +218,35 @@ def first_pass(b: Block) -> int:
     return UNSURE if stop >= STOP_LOW else BAD
 
 
-def second_pass(labels: list[int]) -> list[int]:
-    """Undecided labels from the nearest decided ones; without any decided block all are out."""
+def first_pass(b: Block) -> int:
+    label = density(b)
+    if b.furniture:
+        return BAD
+    if b.article and label == BAD:
+        links = b.linked / len(b.text)
+        return BAD if b.item and links > 0.9 or b.doubtful and links > LINKS else UNSURE
+    return label
+
+
+def second_pass(labels: list[int], headings: list[bool] | None = None, article: bool = False) -> list[int]:
+    """A region's labels, the undecided ones from the nearest decided ones; without any, all are in an article and out elsewhere."""
     n = len(labels)
+    heard = [GOOD if x == GOOD else UNSURE if article else x for x in labels]
     before, after = [-1] * n, [n] * n
     for i in range(n):
-        before[i] = i if labels[i] else (before[i - 1] if i else -1)
+        before[i] = i if heard[i] else (before[i - 1] if i else -1)
     for i in range(n - 1, -1, -1):
-        after[i] = i if labels[i] else (after[i + 1] if i + 1 < n else n)
+        after[i] = i if heard[i] else (after[i + 1] if i + 1 < n else n)
     out = []
     for i, x in enumerate(labels):
         if not x:
             a, b = before[i], after[i]
-            if a < 0:
-                x = labels[b] if b < n else BAD
+            if a < 0 and b == n:
+                x = GOOD if article else BAD
+            elif a < 0 or b < n and (headings is not None and headings[i] or b - i < i - a):
+                x = heard[b]
             else:
-                x = labels[a] if b == n or i - a <= b - i else labels[b]
+                x = heard[a]
         out.append(x)
     return out
 
@@ -239,7 +254,11 @@ def second_pass(labels: list[int]) -> list[int]:
 def extract(page: str | None) -> str:
     """The page's main text: its blocks, one a line."""
     found = blocks(page or "")
-    labels = second_pass([first_pass(b) for b in found])
+    labels = [first_pass(b) for b in found]
+    for article in (True, False):
+        some = [i for i, b in enumerate(found) if b.article == article]
+        for i, x in zip(some, second_pass([labels[i] for i in some], [found[i].heading for i in some], article), strict=True):
+            labels[i] = x
     return "\n".join(b.text for b, x in zip(found, labels, strict=True) if x == GOOD)
 
 

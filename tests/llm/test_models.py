@@ -327,6 +327,82 @@ def test_second_pass():
     assert html_extract.second_pass([0, 0]) == [-1, -1] and html_extract.second_pass([]) == [] and html_extract.second_pass([0, 1]) == [1, 1]
 
 
+def test_second_pass_in_an_article_and_with_headings():
+    assert html_extract.second_pass([0, -1, 0], article=True) == [1, -1, 1]
+    assert html_extract.second_pass([-1, 0, 1], [False, True, False]) == [-1, 1, 1] and html_extract.second_pass([-1, 0, 1]) == [-1, -1, 1]
+
+
+STOP_WORDS = ("the", "of", "and", "in", "la", "der")
+
+
+def plain_page(rnd):
+    """A page without article, class or furniture elements: its blocks as (text, characters in links, is heading), and its HTML."""
+    found, html = [], []
+    for _ in range(rnd.randint(0, 14)):
+        n = rnd.choice((1, 3, 8, 14, 20, 45, 60))
+        often = rnd.choice((0.0, 0.15, 0.2, 0.3, 0.5))
+        words = [rnd.choice(STOP_WORDS) if rnd.random() < often else rnd.choice(("onther", "erwhat", "stion", "haveon", "lichke")) for _ in range(n)]
+        k = rnd.choice((0, 0, 0, n // 4, n // 2, n))
+        link, rest = " ".join(words[:k]), " ".join(words[k:])
+        tag = rnd.choice(("p", "div", "h2", "li", "td"))
+        found.append((" ".join(words), len(link), tag == "h2"))
+        html.append(f"<{tag}>{f'<a href=x>{link}</a> ' if k else ''}{rest}</{tag}>" + rnd.choice(("", "\n", "<hr>", "<!-- x -->")))
+    return found, "".join(html)
+
+
+def plain_rules(found):
+    """The two passes again, one block after the other, every neighbour looked at."""
+    label = []
+    for text, linked, _ in found:
+        words, size = text.split(), len(text)
+        often = sum(w in STOP_WORDS for w in words) / len(words)
+        if linked * 3 > size * 0.99:
+            label.append("out")
+        elif size < 70:
+            label.append("out" if linked else "?")
+        elif often >= 0.25 or often >= 0.12 and size >= 200:
+            label.append("in")
+        else:
+            label.append("?" if often >= 0.12 else "out")
+    kept = []
+    for i, (text, _, heading) in enumerate(found):
+        got = label[i]
+        if got == "?":
+            left = next((label[j] for j in range(i - 1, -1, -1) if label[j] != "?"), None)
+            right = next((label[j] for j in range(i + 1, len(found)) if label[j] != "?"), None)
+            far = [next((d for d in range(1, len(found) + 1) if 0 <= i + s * d < len(found) and label[i + s * d] != "?"), 99) for s in (-1, 1)]
+            if left is None or right is None:
+                got = left or right or "out"
+            else:
+                got = right if heading or far[1] < far[0] else left
+        if got == "in":
+            kept.append(text)
+    return "\n".join(kept)
+
+
+def test_pages_without_marks():
+    import random
+
+    rnd, undecided, some = random.Random(7), 0, 0
+    for _ in range(600):
+        found, page = plain_page(rnd)
+        assert html_extract.extract(page) == plain_rules(found)
+        labels = [html_extract.first_pass(b) for b in html_extract.blocks(page)]
+        undecided += labels.count(html_extract.UNSURE)
+        some += bool(plain_rules(found))
+    assert undecided > 500 and some > 200
+
+
+def test_long_and_repeated_pages(spark):
+    long = "<nav><a href=x>no</a></nav>" + f"<p>{PROSE}</p>" * 3000
+    rows_ = [(1, "u", long), (1, "u", long), (2, None, None), (None, "v", ""), (3, "w", "<p>x")]
+    df = spark.createDataFrame(rows_, "page_id long, url string, html string")
+    got = sorted(((r.page_id or 0, r.url, r.n_chars) for r in html_extract.main_text(df).collect()), key=repr)
+    n = (len(PROSE) + 1) * 3000 - 1
+    assert got == sorted([(1, "u", n), (1, "u", n), (2, None, 0), (0, "v", 0), (3, "w", 0)], key=repr)
+    assert html_extract.main_text(df.limit(0)).count() == 0
+
+
 def test_main_text_of_tables(spark):
     df = spark.createDataFrame([(i, "u", p, "t") for i, (p, _) in enumerate(PAGES)], "page_id long, url string, html string, text string")
     assert {r.page_id: (r.text, r.n_chars) for r in html_extract.main_text(df).collect()} == {i: (t, len(t)) for i, (_, t) in enumerate(PAGES)}
