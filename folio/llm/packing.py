@@ -1,11 +1,13 @@
 """Best-fit packing of token sequences by a grouping genetic algorithm on islands.
 
 Texts are tokenised once and cut; only (id, piece, length, checksum) rows go on. Pieces
-that fill a sequence stand alone. The rest is dealt by hash to groups of about
-GROUP_ITEMS pieces. For each group several islands evolve a population of packings: a
-child takes whole well-filled bins of one parent, drops the other parent's bins that
-hold any of these pieces, and best-fits what was displaced. Then the islands' elites
-migrate to one last population for the group, which evolves on. Pieces in bins that
+that fill a sequence stand alone. The rest is dealt by row number to groups of about
+GROUP_ITEMS pieces, so copies of one row are spread too. For each group several islands evolve a
+population of packings: a child takes whole well-filled bins of one parent, drops the other
+parent's bins that hold any of these pieces and its own least filled ones, puts displaced pieces into bins in
+place of smaller ones where they fill them better, and best-fits what is left. After every EPOCH
+generations each island's elite migrates to the next island; at last the elites meet in one
+population for the group, which evolves on. Pieces in bins that
 stay poorly filled are pooled across groups, dealt as whole bins, and packed again the
 same way; each population has these bins as they stand, so that none is lost to the search.
 
@@ -18,7 +20,8 @@ from __future__ import annotations
 
 import random
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_right, insort
+from collections.abc import Callable, Iterator
 from math import ceil
 
 import numpy as np
@@ -31,7 +34,9 @@ from folio.llm.bpe import load
 from folio.llm.shared import stored
 
 GROUP_ITEMS = 40_000
-ISLANDS, POPULATION, GENERATIONS = 2, 3, 4
+ISLANDS, POPULATION, GENERATIONS = 2, 3, 2
+#: Times that islands evolve and send their elites on, and the share of least filled bins that a child gives up.
+EPOCHS, GIVEN_UP = 2, 0.03
 #: Bins with more free places than this share go to the pool.
 POOR = 0.004
 
@@ -108,24 +113,50 @@ class Bins:
         return out
 
 
+def refill(bins: list[list[int]], loose: list[int], size: list[int], capacity: int) -> tuple[list[list[int]], list[int]]:
+    """Bins in which loose items stand in place of smaller ones wherever that fills a bin better, and the items that are loose then.
+
+    What is left loose is smaller, so it fits more easily.
+    """
+    stock = sorted((size[i], i) for i in loose)
+    out = []
+    for items in bins:
+        items = list(items)
+        free = capacity - sum(map(size.__getitem__, items))
+        for k, i in enumerate(items):
+            if not free or not stock:
+                break
+            # the largest loose item that still fits in place of this one
+            at = bisect_right(stock, (size[i] + free, len(size))) - 1
+            if at >= 0 and stock[at][0] > size[i]:
+                n, items[k] = stock.pop(at)
+                insort(stock, (size[i], i))
+                free -= n - size[i]
+        out.append(items)
+    return out, [i for _, i in stock]
+
+
 def crossover(a: Bins, b: Bins, rnd: random.Random) -> Bins:
-    """Whole well-filled bins of b go into a; a's bins that hold their items dissolve, the displaced are best-fitted."""
+    """Whole well-filled bins of b go into a; a's bins that hold their items dissolve, and some of its least filled; the displaced are refilled and best-fitted."""
     order = sorted(range(len(b.bins)), key=b.free.__getitem__)
     top = order[: max(1, len(order) // 2)]
     taken = [b.bins[k] for k in top if rnd.random() < 0.5] or [b.bins[order[0]]]
     inside = bytearray(len(a.size))
-    child = Bins(a.size, a.capacity)
     for items in taken:
-        child.add(items)
         for i in items:
             inside[i] = 1
-    displaced = []
-    for items in a.bins:
+    worst = set(sorted(range(len(a.bins)), key=a.free.__getitem__, reverse=True)[: max(2, int(len(a.bins) * GIVEN_UP))])
+    kept, displaced = [], []
+    for k, items in enumerate(a.bins):
         hit = sum(map(inside.__getitem__, items))
-        if not hit:
-            child.add(items)
+        if not hit and k not in worst:
+            kept.append(items)
         elif hit < len(items):
             displaced += [i for i in items if not inside[i]]
+    kept, displaced = refill(kept, displaced, a.size, a.capacity)
+    child = Bins(a.size, a.capacity)
+    for items in (*taken, *kept):
+        child.add(items)
     displaced.sort(key=a.size.__getitem__, reverse=True)
     child.best_fit(displaced)
     return child
@@ -159,53 +190,68 @@ def from_labels(size: list[int], capacity: int, labels: np.ndarray) -> Bins:
     return out
 
 
-def _evolve_groups(items: DataFrame, groups: int, capacity: int, id_col: str) -> DataFrame:
-    """items with group, bin and free (the bin's free places). Items that have these are dealt by bin, and their packing is in each population."""
-    columns = [id_col, "piece", "start", "length", "ids_crc32"]
-    # repeated rows are alike, so any order among them serves
-    by = ["length", id_col, "piece", "ids_crc32"]
-    fields = ", ".join(f"`{c}` {k}" for c, k in items.select(*columns).dtypes)
+COLUMNS = ["row", "length"]
+
+
+def _evolve_groups(items: DataFrame, groups: int, capacity: int) -> DataFrame:
+    """(row, group, bin, free) of items (row, length): their bins, and the bins' free places. Items that have a group and bin are dealt by these, and their packing is in each population."""
     packed = {"group", "bin", "free"} <= set(items.columns)
-    key = ["group", "bin"] if packed else [id_col, "piece", "ids_crc32"]
+    key = ["group", "bin"] if packed else ["row"]
     stand = (F.col("group") * (1 << 24) + F.col("bin")) if packed else F.lit(-1).cast("long")
-    dealt = items.select(*columns, F.pmod(F.xxhash64(*key), F.lit(groups)).alias("group"), stand.alias("stand"))
-
-    def island(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        group, no = map(int, key)
-        pdf = pdf.sort_values(by, kind="stable").reset_index(drop=True)
-        rnd, size = random.Random(group * 1000 + no), pdf.length.tolist()
-        population = [seed_packing(size, capacity, rnd, 0.0 if not (no or k) else 0.02 * k + 0.01 * no) for k in range(POPULATION)]
-        if packed:
-            population.append(from_labels(size, capacity, pdf.stand.to_numpy()))
-        return pdf.drop(columns="stand").assign(bin=evolve(population, rnd).labels())
-
-    def migrate(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [p.sort_values(by, kind="stable").reset_index(drop=True) for _, p in pdf.groupby("island")]
-        size = parts[0].length.tolist()
-        best = evolve([from_labels(size, capacity, p.bin.to_numpy()) for p in parts], random.Random(int(key[0])))
+    dealt = items.select(*COLUMNS, F.pmod(F.xxhash64(*key), F.lit(groups)).alias("group"), stand.alias("stand"))
+    # an island's row has its item's bins in the packings that came by sea
+    sent = F.array(F.when(F.col("stand") >= 0, F.col("stand")).otherwise(F.lit(-1).cast("long")))
+    islands = dealt.select(*COLUMNS, "group", sent.alias("sent"), F.explode(F.array(*[F.lit(k) for k in range(ISLANDS)])).alias("island"))
+
+    def settlers(pdf: pd.DataFrame) -> tuple[pd.DataFrame, list[int], list[Bins]]:
+        pdf = pdf.sort_values(["length", "row"], kind="stable").reset_index(drop=True)
+        size = pdf.length.tolist()
+        came = np.stack(pdf.sent.to_numpy())
+        return pdf, size, [from_labels(size, capacity, came[:, k]) for k in range(came.shape[1]) if came[0, k] >= 0]
+
+    def epoch(first: bool) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
+        def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            group, no = map(int, key)
+            pdf, size, population = settlers(pdf)
+            rnd = random.Random(group * 1000 + no * 10 + first)
+            wanted = POPULATION if first else POPULATION - 1
+            population += [seed_packing(size, capacity, rnd, 0.0 if first and not (no or k) else 0.02 * k + 0.01 * no) for k in range(wanted)]
+            return pdf[[*COLUMNS, "group", "island"]].assign(bin=evolve(population, rnd).labels())
+
+        return run
+
+    def landing(pdf: pd.DataFrame) -> pd.DataFrame:
+        rnd = random.Random(int(pdf.group.iat[0]))
+        pdf, size, population = settlers(pdf)
+        best = evolve(population, rnd)
         labels = best.labels()
-        return parts[0].assign(bin=labels, free=np.array(best.free, np.int64)[labels])[[*columns, "group", "bin", "free"]]
+        return pdf[["row", "group"]].assign(bin=labels, free=np.array(best.free, np.int64)[labels])
 
-    islands = dealt.withColumn("island", F.explode(F.array(*[F.lit(k) for k in range(ISLANDS)])))
-    evolved = islands.groupBy("group", "island").applyInPandas(island, f"{fields}, group long, island int, bin long")
-    return evolved.groupBy("group").applyInPandas(migrate, f"{fields}, group long, bin long, free long")
+    fields = "row long, length long, group long, island int, bin long"
+    for k in range(EPOCHS):
+        evolved = islands.groupBy("group", "island").applyInPandas(epoch(k == 0), fields)
+        if k < EPOCHS - 1:
+            # an island keeps its elite and gets that of the one before
+            to = F.explode(F.array(F.col("island"), (F.col("island") + 1) % ISLANDS))
+            both = evolved.select(*COLUMNS, "group", F.col("island").alias("from"), "bin", to.alias("island"))
+            islands = both.groupBy("group", "island", *COLUMNS).agg(F.array_sort(F.collect_list(F.struct("from", "bin")))["bin"].alias("sent"))
+    met = evolved.groupBy("group", *COLUMNS).agg(F.array_sort(F.collect_list(F.struct("island", "bin")))["bin"].alias("sent"))
+    return met.groupBy("group").applyInPandas(landing, "row long, group long, bin long, free long")
 
 
 def pack(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document's pieces with sequence_id and offset (gapless from 0); no sequence has over `capacity` tokens."""
-    cut = stored(pieces(docs, path, capacity, end_id, id_col, text_col), "pieces")
-    full = cut.where(F.col("length") == capacity).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
-    rest = cut.where(F.col("length") < capacity)
-    n = rest.count()
-    first = stored(_evolve_groups(rest, max(1, ceil(n / GROUP_ITEMS)), capacity, id_col), "packed")
+    cut = stored(pieces(docs, path, capacity, end_id, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "pieces")
+    full = cut.where(F.col("length") == capacity).withColumn("sequence_id", -1 - F.col("row")).withColumn("offset", F.lit(0).cast("long"))
+    rest = cut.where(F.col("length") < capacity).select(*COLUMNS)
+    first = stored(_evolve_groups(rest, max(1, ceil(rest.count() / GROUP_ITEMS)), capacity), "packed")
     poor = F.col("free") > F.lit(int(capacity * POOR))
-    pool = first.where(poor)
-    again = _evolve_groups(pool, max(1, ceil(pool.count() / GROUP_ITEMS)), capacity, id_col)
-    packed = first.where(~poor).select("*", F.lit(0).alias("_round")).unionByName(again.select("*", F.lit(1).alias("_round")))
-    seq = (F.col("group") * 2 + F.col("_round")) * (1 << 24) + F.col("bin")
-    packed = packed.withColumn("sequence_id", seq)
+    pool = rest.join(first.where(poor), "row")
+    again = _evolve_groups(pool, max(1, ceil(first.where(poor).count() / GROUP_ITEMS)), capacity)
+    bins = first.where(~poor).select("*", F.lit(0).alias("_round")).unionByName(again.select("*", F.lit(1).alias("_round")))
+    bins = bins.select("row", ((F.col("group") * 2 + F.col("_round")) * (1 << 24) + F.col("bin")).alias("sequence_id"))
     out = [id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
-    w = Window.partitionBy("sequence_id").orderBy(F.desc("length"), F.col(id_col), "piece").rowsBetween(Window.unboundedPreceding, -1)
-    placed = packed.withColumn("offset", F.coalesce(F.sum("length").over(w), F.lit(0).cast("long")))
+    w = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "row").rowsBetween(Window.unboundedPreceding, -1)
+    placed = cut.join(bins, "row").withColumn("offset", F.coalesce(F.sum("length").over(w), F.lit(0).cast("long")))
     return placed.select(*out).unionByName(full.select(*out))

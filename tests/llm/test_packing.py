@@ -44,17 +44,54 @@ def test_genetic_steps_keep_every_item_once():
     assert again.fitness() == child.fitness()
 
 
+def triplets(rnd, n):
+    """Items that fill n bins of 1000 by threes, in no order."""
+    out = []
+    for _ in range(n):
+        a = rnd.randint(380, 490)
+        b = rnd.randint(200, 1000 - a - 200)
+        out += [a, b, 1000 - a - b]
+    rnd.shuffle(out)
+    return out
+
+
+def test_evolution_beats_its_seeds():
+    better = 0
+    for k in range(6):
+        rnd = random.Random(k)
+        size = triplets(rnd, 80)
+        seeds = [packing.seed_packing(size, 1000, rnd, 0.02 * j) for j in range(4)]
+        least = min(len(x.bins) for x in seeds)
+        got = packing.evolve(seeds, rnd, generations=30)
+        assert sorted(i for x in got.bins for i in x) == list(range(240)) and all(sum(size[i] for i in x) <= 1000 for x in got.bins)
+        assert len(got.bins) <= least
+        better += len(got.bins) < least
+    assert better >= 5
+
+
+def test_refill_fills_better():
+    bins, loose = packing.refill([[0, 1], [2]], [3, 4], [40, 30, 90, 55, 35], 100)
+    assert sorted(sum(bins, loose)) == [0, 1, 2, 3, 4] and bins[0] == [3, 0]
+
+
 def test_packed_bins_are_not_lost(spark):
     rnd, items = random.Random(3), []
     for k in range(60):
         a, b = sorted(rnd.sample(range(1, 1000), 2))
-        items += [(3 * k + i, 0, 0, n, i, 0, k, 0) for i, n in enumerate((a, b - a, 1000 - b))]
-    pool = spark.createDataFrame(items, "doc_id long, piece int, start long, length long, ids_crc32 long, group long, bin long, free long")
+        items += [(3 * k + i, n, 0, k, 0) for i, n in enumerate((a, b - a, 1000 - b))]
+    pool = spark.createDataFrame(items, "row long, length long, group long, bin long, free long")
     for groups in (1, 3):
-        got = packing._evolve_groups(pool, groups, 1000, "doc_id").collect()
-        assert sorted(r.doc_id for r in got) == list(range(180))
+        got = packing._evolve_groups(pool, groups, 1000).collect()
+        assert sorted(r.row for r in got) == list(range(180))
         assert len({(r.group, r.bin) for r in got}) == 60
 
 
+def test_copies_of_one_row_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ITEMS", 20)
+    df = spark.createDataFrame([(1, "the same text again and again")] * 200 + [(2, "another")], "doc_id long, text string")
+    got = packing.pack(df, tokenizer_path(), capacity=64).collect()
+    assert len(got) == 201 and len({r.sequence_id for r in got}) <= ceil(sum(r.length for r in got) / 64) + 12
+
+
 def test_no_items():
     assert packing.evolve([packing.Bins([], 10)], random.Random(1)).bins == []
