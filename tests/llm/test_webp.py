@@ -192,7 +192,6 @@ def test_palette(colours):
     im.entropy([("argb", p) for p in packed], main=True)
     assert argb(webp.decode_bits(im.data())) == [table_[i] for i in indices]
     # such an image also goes through the reader of many
-    assert webp.decode_streams([im.data()])[0] == bytes(table_[i] >> 8 & 255 for i in indices)
 
 
 def test_near_pixels():
@@ -200,16 +199,60 @@ def test_near_pixels():
     assert webp.NEAR[:6] == [(0, 1), (1, 0), (1, 1), (-1, 1), (0, 2), (2, 0)] and webp.NEAR[-1] == (8, 7)
 
 
+def awkward():
+    rnd = random.Random(3)
+    texts = [None, "", "a", "same " * 500, "x" * 5000, "ab" * 40, "abcd" * 400, "".join(rnd.choice("abcdefgh ") for _ in range(9000))]
+    texts += ["line of sixty four characters, so it is found right above it. \n" * 60, " ".join(rnd.choice(("the", "word", "of", "a", "house")) for _ in range(4000))]
+    payloads = [webp.payload_of(t)[1] for t in texts]
+    payloads += [bytes(rnd.randrange(256) for _ in range(64 * n)) for n in (1, 2, 50)]
+    # grey pixels, and steps from pixel to pixel
+    payloads += [bytes(x for v in (rnd.randrange(256) for _ in range(640)) for x in (v, v, v, 255)), bytes((k * 3 + c) % 256 for k in range(1600) for c in range(4))]
+    return payloads
+
+
 def test_payload_round_trip():
-    rnd = random.Random(9)
-    payloads = [bytes(64), bytes(range(256)), bytes(rnd.getrandbits(8) for _ in range(64 * 700)), b"the quick brown fox, " * 64 * 40]
+    payloads = awkward()
     media = webp.encode_payloads(payloads)
     assert webp.decode_payloads(media) == payloads
-    for p, m in zip(payloads, media):
-        first = webp.decode_image(m)
-        assert first[:, :, 1].tobytes() == p[: webp.TILE] and first.shape[1] == 64 and (first[:, :, 3] == 255).all()
-        assert m[:4] == b"RIFF" and len(webp.streams(m)) == -(-len(p) // webp.TILE)
-    assert len(media[3]) < 0.75 * len(payloads[3])
+    for m, p in zip(media, payloads):
+        image = webp.decode_image(m)
+        assert image.tobytes() == p and image.shape == (len(p) // 64, 16, 4)
+        assert m[:4] == b"RIFF" and list(webp.chunks(m)) == [b"VP8L"] and len(m) % 2 == 0
+
+
+def test_every_step_of_the_decoder_is_used(monkeypatch):
+    """What the writer stores takes the reader through palettes, predictors, cross-colour, cache and back-references."""
+    used = set()
+    for name in ("undo_palette", "undo_predictor", "undo_cross_colour", "_extent"):
+        step = getattr(webp, name)
+        monkeypatch.setattr(webp, name, lambda *a, f=step, n=name: used.add(n) or f(*a))
+    cached = []
+    coded = webp._coded
+
+    def seen(form, pixels, count):
+        out = coded(form, pixels, count)
+        if form.cache:
+            codes, sizes = form.channels[0]
+            at = set(zip(codes[280:].tolist(), sizes[280:].tolist()))
+            cached.append(sum(x in at for x in zip(out[0].tolist(), out[1].tolist())))
+        return out
+
+    monkeypatch.setattr(webp, "_coded", seen)
+    assert webp.decode_payloads(webp.encode_payloads(awkward())) == awkward()
+    assert used == {"undo_palette", "undo_predictor", "undo_cross_colour", "_extent"} and sum(cached) > 100
+
+
+def test_a_payload_that_is_too_high_is_one_wider_image():
+    rnd = random.Random(9)
+    payload = bytes(rnd.randrange(97, 105) for _ in range(64 * 600)) * 28
+    media = webp.encode_payloads([payload, b"ab" * 32])
+    assert webp.decode_payloads(media) == [payload, b"ab" * 32]
+    assert webp.decode_image(media[0]).shape[1] == 32 and webp.LENGTH_CHUNK in webp.chunks(media[0])
+
+
+def test_features_by_hand():
+    assert webp.feature(bytes(64)) == "rows=1 distinct=1 mean=0.0000 entropy=0.0000 step=0.0000"
+    assert webp.feature(bytes([0, 2] * 32)) == "rows=1 distinct=2 mean=1.0000 entropy=1.0000 step=2.0000"
 
 
 def test_table(spark):
