@@ -1,9 +1,11 @@
-"""Document fingerprints: a Merkle tree over words runs, paragraphs and sections, in DataFrame functions only.
+"""Document fingerprints: a Merkle tree over word runs, paragraphs and sections, in DataFrame functions only.
 
-A paragraph (a line) has its digest, a section's is over its SECTION paragraphs' digests,
-the root over the sections'; below a paragraph, leaves are runs of up to LEAF_WORDS words.
+Leaves are runs of up to LEAF_WORDS words of a paragraph (a line), with the digest of their text;
+a paragraph's digest is over its leaves' digests, a section's over its paragraphs', the root over the
+sections'. A section begins where a paragraph's digest begins with one of OPENS (one in eight), so
+a paragraph that is put in or taken out changes its own section and no other's borders.
 The fingerprint is the root in hex, then for each section "/" and eight digits of its
-digest, for each paragraph ";" and eight digits, and "." and a short hash for each leaf. Equal roots mean equal
+digest, for each paragraph ";" and eight digits, and "." and eight digits for each leaf. Equal roots mean equal
 texts; where roots differ, the sections, then paragraphs, then leaves that differ locate
 the edit. Likeness is the share of common leaves (2 * common / all, distinct ones).
 
@@ -14,44 +16,55 @@ order and get equal results. Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.llm.shared import stored
 
-LEAF_WORDS, SECTION = 6, 8
+LEAF_WORDS = 6
+#: First hex digits of the digests of paragraphs that begin a section.
+OPENS = ("0", "8")
 #: Hex digits that are printed of the digests below the root.
 SHORT = 8
 
 
-def _leaf_digest(leaf: Column) -> Column:
-    """32 bits of a fast hash in hex: leaves only locate and compare, equality is the root's."""
-    low = F.xxhash64(leaf).bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(1 << 32))
-    return F.substring(F.lower(F.hex(low)), 2, SHORT)
-
-
 def fingerprint(text: Column) -> Column:
     """The fingerprint string of a text column (not null)."""
     leaf = rf"[^ ]*+(?: ++[^ ]++){{0,{LEAF_WORDS - 1}}}+ *+"
 
-    def printed(line: Column) -> Column:
+    # each array is named once, as the argument of a lambda, so that nothing is worked out twice
+    def node(parts: Column, body: Column) -> Column:
+        """digest over the digests of parts, and what is printed: eight digits of it, and body."""
+        return F.struct(F.sha2(F.array_join(parts, ""), 256).alias("d"), body.alias("p"))
+
+    def paragraph(leaves_: Column) -> Column:
+        return node(leaves_, F.array_join(F.transform(leaves_, lambda d: F.concat(F.lit("."), F.substring(d, 1, SHORT))), ""))
+
+    def paragraphs(line: Column) -> Column:
         found = F.filter(F.regexp_extract_all(line, F.lit(leaf), F.lit(0)), lambda x: x != "")
-        return F.when(line == "", "").otherwise(F.concat(F.lit("."), F.array_join(F.transform(found, _leaf_digest), ".")))
+        return F.element_at(F.transform(F.array(F.transform(found, lambda x: F.sha2(x, 256))), paragraph), 1)
 
-    lines = F.transform(F.split(text, "\n"), lambda x: F.struct(F.sha2(x, 256).alias("d"), printed(x).alias("p")))
-    lines = F.transform(lines, lambda s: F.struct(s["d"].alias("d"), F.concat(F.lit(";"), F.substring(s["d"], 1, SHORT), s["p"]).alias("p")))
+    def printed(sign: str) -> Callable[[Column], Column]:
+        return lambda s: F.concat(F.lit(sign), F.substring(s["d"], 1, SHORT), s["p"])
 
-    # each array is named once, as the argument of a lambda, so that nothing is worked out twice
-    def grouped(ls: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(ls), F.lit(SECTION))
-        return F.transform(starts, lambda i: F.struct(F.sha2(F.array_join(F.slice(ls["d"], i, SECTION), ""), 256).alias("d"), F.array_join(F.slice(ls["p"], i, SECTION), "").alias("p")))
+    def section(part: Column) -> Column:
+        return node(part["d"], F.array_join(F.transform(part, printed(";")), ""))
+
+    def sections(found: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(1), F.size(found)), lambda i: (i == 1) | F.substring(F.element_at(found, i)["d"], 1, 1).isin(*OPENS))
+        return F.element_at(F.transform(F.array(F.struct(found.alias("ls"), first.alias("first"))), cut), 1)
+
+    def cut(s: Column) -> Column:
+        stop = lambda k: F.coalesce(F.get(s["first"], k + 1), F.size(s["ls"]) + 1)
+        return F.transform(s["first"], lambda i, k: F.element_at(F.transform(F.array(F.slice(s["ls"], i, stop(k) - i)), section), 1))
 
-    def whole(ss: Column) -> Column:
-        body = F.array_join(F.transform(ss, lambda s: F.concat(F.lit("/"), F.substring(s["d"], 1, SHORT), s["p"])), "")
-        return F.concat(F.sha2(F.array_join(ss["d"], ""), 256), body)
+    def whole(found: Column) -> Column:
+        return F.concat(F.sha2(F.array_join(found["d"], ""), 256), F.array_join(F.transform(found, printed("/")), ""))
 
-    sections = F.element_at(F.transform(F.array(lines), grouped), 1)
-    return F.element_at(F.transform(F.array(sections), whole), 1)
+    lines = F.transform(F.split(text, "\n"), paragraphs)
+    return F.element_at(F.transform(F.transform(F.array(lines), sections), whole), 1)
 
 
 def root(print_: Column) -> Column:
@@ -69,10 +82,10 @@ def likeness(one: Column, two: Column) -> Column:
 
 
 def differing(one: Column, two: Column) -> Column:
-    """Numbers (from 0) of the sections of fingerprint one whose digests differ from two's at the same place: where edits lie."""
+    """Numbers (from 0) of the sections of fingerprint one that two does not hold anywhere: where edits lie."""
     a = F.regexp_extract_all(one, F.lit(r"/([0-9a-f]{8})"), F.lit(1))
     b = F.regexp_extract_all(two, F.lit(r"/([0-9a-f]{8})"), F.lit(1))
-    places = F.transform(a, lambda x, i: F.when(x.eqNullSafe(F.get(b, i)), F.lit(-1)).otherwise(i))
+    places = F.transform(a, lambda x, i: F.when(F.array_contains(b, x), F.lit(-1)).otherwise(i))
     return F.when(root(one) == root(two), F.array().cast("array<int>")).otherwise(F.filter(places, lambda i: i >= 0))
 
 

@@ -2,7 +2,6 @@ import hashlib
 import re
 
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 from folio.llm import fingerprint
@@ -15,16 +14,15 @@ def sha(x):
 
 def plain(text):
     """The same tree in plain Python."""
-    low = lambda w: f"{xxhash.xxh64(w.encode(), seed=42).intdigest() & 0xFFFFFFFF:08x}"
-    lines = []
-    for line in text.split("\n"):
-        words = [x for x in re.findall(r"[^ ]*(?: +[^ ]+){0,5} *", line) if x]
-        lines.append((sha(line), ";" + sha(line)[:8] + ("" if line == "" else "." + ".".join(map(low, words)))))
     sections = []
-    for i in range(0, len(lines), fingerprint.SECTION):
-        part = lines[i : i + fingerprint.SECTION]
-        sections.append((sha("".join(d for d, _ in part)), "".join(p for _, p in part)))
-    return sha("".join(d for d, _ in sections)) + "".join(f"/{d[:8]}{p}" for d, p in sections)
+    for line in text.split("\n"):
+        leaves = [sha(x) for x in re.findall(r"[^ ]*(?: +[^ ]+){0,5} *", line) if x]
+        digest = sha("".join(leaves))
+        if not sections or digest[0] in "08":
+            sections.append([])
+        sections[-1].append((digest, ";" + digest[:8] + "".join(f".{x[:8]}" for x in leaves)))
+    found = [(sha("".join(d for d, _ in part)), "".join(p for _, p in part)) for part in sections]
+    return sha("".join(d for d, _ in found)) + "".join(f"/{d[:8]}{p}" for d, p in found)
 
 
 def likeness(a, b):
@@ -75,7 +73,19 @@ def test_no_python_in_the_plan(spark):
 
 
 def test_differing_sections(spark):
-    a = "\n".join(f"line {i} of the text" for i in range(30))
-    b = a.replace("line 17", "LINE 17")
-    df = spark.createDataFrame([(a, b), (a, a), (a, "")], "a string, b string").select(fingerprint.fingerprint(F.col("a")).alias("x"), fingerprint.fingerprint(F.col("b")).alias("y"))
-    assert [r[0] for r in df.select(fingerprint.differing(F.col("x"), F.col("y"))).collect()] == [[2], [], [0, 1, 2, 3]]
+    lines = [f"line {i} of the text" for i in range(60)]
+    a = "\n".join(lines)
+    edits = [a.replace("line 17", "LINE 17"), "\n".join([*lines[:30], "a new line", *lines[30:]]), "\n".join(lines[:40] + lines[41:]), a, ""]
+    df = spark.createDataFrame([(a, b) for b in edits], "a string, b string").select(fingerprint.fingerprint(F.col("a")).alias("x"), fingerprint.fingerprint(F.col("b")).alias("y"))
+    got = [r[0] for r in df.select(fingerprint.differing(F.col("x"), F.col("y"))).collect()]
+    n = plain(a).count("/")
+    assert n > 3 and got[3] == [] and got[4] == list(range(n))
+    # an edit is found in its section, or where it moves a border in the two beside it
+    assert all(1 <= len(g) <= 2 for g in got[:3])
+
+
+def test_paragraphs_are_over_leaves(spark):
+    text = "one two three four five six seven eight\n\nlast  line "
+    got = spark.createDataFrame([(text,)], "t string").select(fingerprint.fingerprint(F.col("t"))).first()[0]
+    leaves = ["one two three four five six ", "seven eight", "last  line "]
+    assert got == plain(text) and re.findall(r"\.([0-9a-f]{8})", got) == [sha(x)[:8] for x in leaves]
