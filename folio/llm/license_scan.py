@@ -9,9 +9,10 @@ joined paragraphs of one family that overlap, the first is reported.
 The features of a paragraph are the presence of word unigrams and
 bigrams that occur in the licence templates and have a telling word in them. A
 multinomial logistic regression over them, fitted on the driver on variants of the
-templates and on mixtures of their words, tells the families and an unknown class; its
-logits are divided by a temperature fitted on variants held back, which calibrates the
-probabilities. A prediction stands only if a template of the family confirms it: a share
+templates, on mixtures of their words and on ordinary sentences with such words (OTHER), tells the
+families and an unknown class. Its logits are divided by a temperature, which calibrates the
+probabilities: it is fitted on templates and ordinary sentences that a first model, fitted on the
+others only, has not seen. A prediction stands only if a template of the family confirms it: a share
 of the template's features must be in the paragraph, or all features of a title or SPDX
 form of the family in a short one.
 
@@ -46,33 +47,77 @@ TEMPLATES = {
     "mit": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so",
     ),
+    "isc": ("Licensed under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "You should have received a copy of the GNU General Public License along with this program.",
+    ),
+    "lgpl": (
+        "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software: you can redistribute it under the terms of the GNU Lesser General Public License",
+        "You should have received a copy of the GNU Lesser General Public License along with this library.",
+    ),
+    "agpl": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
     ),
-    "lgpl": ("This library is licensed under the GNU Lesser General Public License, version 2.1.", "This library is free software: you can redistribute it under the terms of the GNU Lesser General Public License"),
     "bsd": (
         "Redistributed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     ),
-    "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
+    "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "If a copy of the MPL was not distributed with this file, You can obtain one at"),
+    "epl": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "Licensed under the Eclipse Public License, version 2.0."),
+    "unlicense": ("This is free and unencumbered software released into the public domain.", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary"),
     "cc-by": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "cc-by-sa": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     "cc-by-nc": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "cc-by-nd": ("Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    "cc-by-nc-sa": ("Licensed under CC BY-NC-SA 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    "cc-by-nc-nd": ("Licensed under CC BY-NC-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
     "cc0": ("Released under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
 }
+#: Ordinary sentences with words of licences, which state none.
+OTHER = (
+    "Visitors need the owner's permission to enter the old foundation of the mill.",
+    "The software was distributed on floppy disks together with a printed copy of the manual.",
+    "Her driving license was granted in the spring, without any further conditions.",
+    "The general public was free to use the library, and the rights of readers were respected.",
+    "A person may obtain a copy of the file at the office, free of charge.",
+    "The work was published under a false name and sold in many copies.",
+    "The committee agreed to modify the terms of the contract in writing.",
+    "Creative people often see the commons as a source of ideas for their work.",
+    "International law and copyright were the subject of the first lecture.",
+    "The program gives students a grant for their documentation of rare dialects.",
+    "Apache helicopters were on display, and so was an eclipse of the sun on film.",
+    "The binary form of a number is permitted in this notation, as is the usual one.",
+    "The author has the right to merge two chapters and to publish them again.",
+    "He was known as a liberal and as a dealer in rare products without warranty.",
+    "All rights to the name of the product belong to the holder of the trade mark.",
+    "The Berkeley campus is licensed to serve food, subject to local rules.",
+)
 #: Titles and SPDX forms; they count in paragraphs of at most TITLE_WORDS words.
 TITLES = {
     "apache-2.0": ("Apache License", "SPDX-License-Identifier: Apache-2.0"),
     "mit": ("MIT License", "SPDX-License-Identifier: MIT"),
+    "isc": ("ISC License", "SPDX-License-Identifier: ISC"),
     "gpl": ("GNU General Public License", "SPDX-License-Identifier: GPL"),
     "lgpl": ("GNU Lesser General Public License", "SPDX-License-Identifier: LGPL"),
+    "agpl": ("GNU Affero General Public License", "SPDX-License-Identifier: AGPL"),
     "bsd": ("BSD 2-Clause License", "BSD 3-Clause License", "SPDX-License-Identifier: BSD-2-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
     "mpl": ("Mozilla Public License", "SPDX-License-Identifier: MPL-2.0"),
+    "epl": ("Eclipse Public License", "SPDX-License-Identifier: EPL-2.0"),
+    "unlicense": ("The Unlicense", "SPDX-License-Identifier: Unlicense"),
     "cc-by": ("Creative Commons Attribution 4.0 International", "SPDX-License-Identifier: CC-BY-4.0"),
     "cc-by-sa": ("Creative Commons Attribution-ShareAlike 4.0 International", "SPDX-License-Identifier: CC-BY-SA-4.0"),
     "cc-by-nc": ("Creative Commons Attribution-NonCommercial 4.0 International", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+    "cc-by-nd": ("Creative Commons Attribution-NoDerivatives 4.0 International", "SPDX-License-Identifier: CC-BY-ND-4.0"),
+    "cc-by-nc-sa": ("Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International", "SPDX-License-Identifier: CC-BY-NC-SA-4.0"),
+    "cc-by-nc-nd": ("Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International", "SPDX-License-Identifier: CC-BY-NC-ND-4.0"),
     "cc0": ("CC0 1.0 Universal", "SPDX-License-Identifier: CC0-1.0"),
 }
 TITLE_WORDS = 10
@@ -111,51 +156,68 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(seed: int = 11) -> Model:
-    """The classifier, fitted on the templates' variants; a fifth of them is held back for the temperature. Same seed, same model."""
-    rnd = random.Random(seed)
-    classes = [*TEMPLATES, UNKNOWN]
-    features = sorted({g for ts in (*TEMPLATES.values(), *TITLES.values()) for t in ts for g in grams_of(t)})
-    index = {g: i for i, g in enumerate(features)}
-    told = sorted({w for g in features for w in g.split() if telling(w)})
+def _examples(templates: dict[str, tuple[str, ...]], titles: dict[str, tuple[str, ...]], other: tuple[str, ...], told: list[str], rnd: random.Random) -> list[tuple[str, int]]:
+    """Texts with the number of their class: variants of the templates, titles among plain words, other sentences, and mixtures of words, which are unknown."""
     texts: list[tuple[str, int]] = []
-    for k, ts in enumerate(TEMPLATES.values()):
-        for t in ts:
-            words = t.split()
-            for i in range(VARIANTS):
-                # whole first, then with words lost, as in broken or edited notices
-                kept = [w for w in words if i == 0 or rnd.random() > 0.25 * rnd.random()]
-                texts.append((" ".join(kept), k))
-    for k, ts in enumerate(TITLES.values()):
-        # titles only whole, among plain words
-        for t in ts:
+    unknown = len(TEMPLATES)
+
+    def variants(t: str) -> list[str]:
+        # whole first, then with words lost, as in broken or edited notices
+        return [" ".join(w for w in t.split() if i == 0 or rnd.random() > 0.25 * rnd.random()) for i in range(VARIANTS)]
+
+    for k, family in enumerate(TEMPLATES):
+        texts += [(v, k) for t in templates[family] for v in variants(t)]
+        for t in titles[family]:
+            # titles only whole, among plain words
             for i in range(VARIANTS):
                 noise = [rnd.choice(sorted(PLAIN)) for _ in range(i % 4)]
                 cut = rnd.randint(0, len(noise))
                 texts.append((" ".join([*noise[:cut], t, *noise[cut:]]), k))
-    everything = [w for ts in TEMPLATES.values() for t in ts for w in t.split()]
-    texts += [(w, len(classes) - 1) for w in told] + [("", len(classes) - 1)] * VARIANTS
+    texts += [(v, unknown) for t in other for v in variants(t)[: VARIANTS // 3]]
+    texts += [(w, unknown) for w in told] + [("", unknown)] * VARIANTS
+    everything = [w for ts in templates.values() for t in ts for w in t.split()]
     for _ in range(VARIANTS * 12):
         # telling words apart from their phrases, among plain ones
-        picked = [rnd.choice(everything) for _ in range(rnd.randint(1, 6))]
-        noise = [rnd.choice(sorted(PLAIN)) for _ in range(rnd.randint(0, 6))]
-        mixed = picked + noise
+        mixed = [rnd.choice(everything) for _ in range(rnd.randint(1, 6))] + [rnd.choice(sorted(PLAIN)) for _ in range(rnd.randint(0, 6))]
         rnd.shuffle(mixed)
-        texts.append((" ".join(mixed), len(classes) - 1))
-    x = np.zeros((len(texts), len(features)))
-    y = np.array([k for _, k in texts])
-    for i, (t, _) in enumerate(texts):
-        x[i, [index[g] for g in grams_of(t) if g in index]] = 1
-    back = np.arange(len(texts)) % 5 == 4
-    target = np.eye(len(classes))[y]
-    w, b = np.zeros((len(features), len(classes))), np.zeros(len(classes))
-    a, target_a = x[~back], target[~back]
-    for _ in range(STEPS):
-        g = (_softmax(a @ w + b) - target_a) / len(a)
-        w -= RATE * (a.T @ g + DECAY * w) * 5
-        b -= RATE * g.sum(axis=0)
-    z = x[back] @ w + b
-    loss = {t: -np.log(_softmax(z / t)[np.arange(back.sum()), y[back]] + 1e-12).mean() for t in (k / 20 for k in range(4, 61))}
+        texts.append((" ".join(mixed), unknown))
+    return texts
+
+
+def fit(seed: int = 11) -> Model:
+    """The classifier, fitted on the templates' variants; the temperature on those that a model of the others has not seen. Same seed, same model."""
+    rnd = random.Random(seed)
+    classes = [*TEMPLATES, UNKNOWN]
+    features = sorted({g for ts in (*TEMPLATES.values(), *TITLES.values()) for t in ts for g in grams_of(t)})
+    index = {g: i for i, g in enumerate(features)}
+    told = sorted({w for g in features for w in g.split() if telling(w)})
+
+    def matrix(texts: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
+        x = np.zeros((len(texts), len(features)), np.float32)
+        for i, (t, _) in enumerate(texts):
+            x[i, [index[g] for g in grams_of(t) if g in index]] = 1
+        return x, np.array([k for _, k in texts])
+
+    def fitted(texts: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
+        x, y = matrix(texts)
+        # equal rows count together
+        x, at = np.unique(np.concatenate((x, y[:, None].astype(np.float32)), axis=1), axis=0, return_counts=True)
+        x, target, share = x[:, :-1], np.eye(len(classes), dtype=np.float32)[x[:, -1].astype(int)], (at / at.sum()).astype(np.float32)[:, None]
+        w, b = np.zeros((len(features), len(classes)), np.float32), np.zeros(len(classes), np.float32)
+        for _ in range(STEPS):
+            g = (_softmax(x @ w + b) - target) * share
+            w -= RATE * (x.T @ g + DECAY * w) * 5
+            b -= RATE * g.sum(axis=0)
+        return w, b
+
+    def part(of: dict[str, tuple[str, ...]], odd: int) -> dict[str, tuple[str, ...]]:
+        return {k: tuple(t for i, t in enumerate(ts) if i % 2 == odd) for k, ts in of.items()}
+
+    w, b = fitted(_examples(part(TEMPLATES, 0), part(TITLES, 0), OTHER[::2], told, rnd))
+    x, y = matrix([e for e in _examples(part(TEMPLATES, 1), part(TITLES, 1), OTHER[1::2], [], rnd) if e[0]])
+    z = x @ w + b
+    loss = {t: -np.log(_softmax(z / t)[np.arange(len(y)), y] + 1e-12).mean() for t in (k / 20 for k in range(4, 101))}
+    w, b = fitted(_examples(TEMPLATES, TITLES, OTHER, told, rnd))
     return Model(classes, {g: [round(v, 6) for v in w[i].tolist()] for g, i in index.items()}, [round(v, 6) for v in b.tolist()], min(loss, key=loss.get), told)
 
 

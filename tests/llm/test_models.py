@@ -242,6 +242,18 @@ furnished to do so, subject to the following conditions:""",
     ("# SPDX-License-Identifier: BSD-3-Clause", [(0, "bsd")]),
     ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", [(0, "gpl")]),
     ("The MIT License (MIT)", [(0, "mit")]),
+    (
+        "This program is free software: you can redistribute it and/or modify it under\nthe terms of the GNU Affero General Public License as published by the\nFree Software Foundation, either version 3 of the License, or later.",
+        [(1, "agpl")],  # the line that names it says enough alone
+    ),
+    ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", [(0, "cc-by-nd")]),
+    ("Licensed under CC BY-ND 4.0", [(0, "cc-by-nd")]),
+    ("Licensed under CC BY-NC-SA 4.0", [(0, "cc-by-nc-sa")]),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.", [(0, "isc")]),
+    ("# SPDX-License-Identifier: AGPL-3.0-only", [(0, "agpl")]),
+    ("The licence fee is paid by the public, and the rights of the software firm are protected by law.", []),
+    ("Permission was granted to a person who dealt in copies of rare documentation.", []),
+    ("Free commons near the foundation, general works on the program of the year.", []),
     ("Permission is hereby granted, free of charge, to any person\n\nobtaining a book of the public library", []),
     ("mit dem Wort\nlicense und version", []),
     ("the software of a public library\nis free of charge for any person\nand the law of the work", []),
