@@ -16,8 +16,8 @@ others only, has not seen. A prediction stands only if a template of the family
 of the template's features must be in the paragraph, or all features of a title or SPDX
 form of the family in a short one.
 
-The scan is native: lines without a telling word have no feature, hence the same score as
-an empty line, whose class is unknown, so a pattern passes them over; the others are
+The scan is native: lines without a telling word have no feature, or a few words (SLIGHT) that no
+template can be confirmed by, so their class is unknown and a pattern passes them over; the others are
 scored in the row with array functions. No shuffle, no Python on the executors. Model and
 templates are constants of some hundred entries.
 
@@ -122,7 +122,12 @@ TITLES = {
 }
 TITLE_WORDS = 10
 #: Words that tell nothing by themselves.
-PLAIN = frozenset("a all an and any are as at be by can except extent following for form forms free from in is it kind may met not of on or possible person published related that the this to under unless use v with without work you your".split())
+PLAIN = frozenset(
+    "a above all along an and any anyone are as at be by can do either except extent following for form forms free from has have if in into is it its kind made may met name names neither nor not of on one or possible person published related"
+    " should so that the this to under unless use used v was whom with without work you your".split()
+)
+#: Words of features that are common in other languages. No template or title can be confirmed by these and plain words alone.
+SLIGHT = frozenset("mit nc nd sa".split())
 WORD = r"[a-z0-9]+"
 #: Variants that the model is fitted on, for each template, and as many mixtures.
 VARIANTS = 60
@@ -218,7 +223,7 @@ def fit(seed: int = 11) -> Model:
     z = x @ w + b
     loss = {t: -np.log(_softmax(z / t)[np.arange(len(y)), y] + 1e-12).mean() for t in (k / 20 for k in range(4, 101))}
     w, b = fitted(_examples(TEMPLATES, TITLES, OTHER, told, rnd))
-    return Model(classes, {g: [round(v, 6) for v in w[i].tolist()] for g, i in index.items()}, [round(v, 6) for v in b.tolist()], min(loss, key=loss.get), told)
+    return Model(classes, {g: [round(v, 6) for v in w[i].tolist()] for g, i in index.items()}, [round(v, 6) for v in b.tolist()], min(loss, key=loss.get), [w for w in told if w not in SLIGHT])
 
 
 def _paragraph(line: Column, model: Model) -> Column:

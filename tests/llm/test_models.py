@@ -192,6 +192,17 @@ def test_licences(spark, model):
         assert "Python" not in plan and "Exchange" not in plan
 
 
+def test_lines_that_are_passed_over_cannot_match(model):
+    words = set(model.words)
+    for family in license_scan.TEMPLATES:
+        for t in license_scan.TEMPLATES[family]:
+            grams = set(license_scan.grams_of(t))
+            slight = [g for g in grams if not words & set(g.split())]
+            assert len(slight) < license_scan.MIN_TEMPLATE * len(grams), t
+        for t in license_scan.TITLES[family]:
+            assert any(words & set(g.split()) for g in license_scan.grams_of(t)), t
+
+
 def test_licence_cases(spark, model):
     got = license_scan.scan(table(spark), model=model).collect()
     assert len(got) == len(rows())
