@@ -2,6 +2,11 @@
 
 Each stage takes what its predecessor kept, as a table read from Parquet. The first three
 return the columns of `documents`; the last returns the pieces of the packed sequences.
+
+Defined results: null, empty and blank texts are rejected by the first stage. Rows that repeat
+an id and a text leave one; those with an id and different texts are different documents, and a null id is
+an id like others. Texts of equal words are near-duplicates. Extra columns stay up to the last stage,
+whatever their names. No documents give no pieces.
 """
 
 from __future__ import annotations
