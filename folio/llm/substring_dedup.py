@@ -38,9 +38,9 @@ from folio.llm.textnum import U64, Words, chunked, expand, mix, numbered, span_h
 
 PHRASE = 8
 #: Distinct blocks of a shard, about: bounds an automaton. Windows of a shard of windows.
-SHARD_BLOCKS, SHARD_WINDOWS = 500, 8000
+SHARD_BLOCKS, SHARD_WINDOWS = 300, 5000
 #: Blocks of an anchor that go to one shard, at most, and windows of one hash.
-HEAVY_BLOCKS = 250
+HEAVY_BLOCKS = 150
 
 
 class Blocks:

@@ -118,6 +118,19 @@ def test_a_large_group_of_near_copies(spark, monkeypatch):
     assert got == sorted(near(list(range(120)), texts, 85))
 
 
+def test_small_sets(spark):
+    """Texts of a few shingles fill few bins: none of their links is lost."""
+    import random
+
+    rnd, texts = random.Random(8), []
+    for k in range(60):
+        w = [f"k{k}w{i}" for i in range(rnd.randint(1, 40))]
+        texts += [" ".join(w), " ".join([*w, "more"]), " ".join(w[: max(1, len(w) - 1)]), " ".join(["first", *w])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = sorted(tuple(r) for r in near_dedup.near_duplicates(df, percent=85).collect())
+    assert got == sorted(near(list(range(len(texts))), texts, 85))
+
+
 def test_keep_one(spark):
     got = near_dedup.keep_one(table(spark))
     assert got.columns == table(spark).columns

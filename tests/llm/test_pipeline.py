@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 from folio.llm import bpe, quality
 from folio.llm.queries import queries, tokenizer_path
+from tests.llm.cases import empty, rows, table
 from tests.llm.test_dedup import near, removed, words
 
 SF = "/root/testdata/sf0.001"
@@ -46,3 +47,20 @@ def test_stages_against_brute_force(spark):
 def test_run_is_registered(spark):
     assert queries()["pipeline"](spark, SF).count() > 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "minhash_near_dedup", "substring_dedup", "best_fit_packing"]
+
+
+def test_awkward_documents(spark, tmp_path):
+    """Nulls, blanks, very long and repeated texts, columns with clashing names, and no documents at all."""
+    table(spark).write.parquet(str(tmp_path / "a" / "documents.parquet"))
+    empty(spark).write.parquet(str(tmp_path / "b" / "documents.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path / "a")).collect()
+    assert corpus_pipeline.run(spark, str(tmp_path / "b")).count() == 0
+    docs = rows()
+    good = {r.doc_id for r in quality.classify(table(spark)).collect() if r.keep}
+    assert {p.doc_id for p in got} <= good & {r[0] for r in docs if words(r[1])}
+    # the copies and near copies of one text leave one document
+    alike = [r[0] for r in docs if r[1] and r[1] in (docs[6][1], docs[8][1])]
+    assert len({p.doc_id for p in got} & set(alike)) == min(1, len(good & set(alike)))
+    assert len({(p.doc_id, p.piece) for p in got}) == len(got)
+    for stage in (corpus_pipeline.quality_classifier, corpus_pipeline.minhash_near_dedup, corpus_pipeline.substring_removal):
+        assert stage(spark, table(spark), "").columns == table(spark).columns
