@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from folio.llm.batches import lean
 from folio.llm.textnum import byte_hashes, chunked, expand, numbered, unlike
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
@@ -257,7 +258,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for b in batches:
+        for b in lean(batches):
             texts = [t or "" for t in b.column(1).to_pylist()]
             at = 0
             for _, part in chunked(texts, 4 << 20):  # so that ids of long batches don't pile up
@@ -279,7 +280,7 @@ def digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for b in batches:
+        for b in lean(batches):
             n, a, d = [], [], []
             for ids in bpe.encode_batch([t or "" for t in b.column(1).to_pylist()]):
                 n.append(len(ids))

@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folio.llm.batches import lean
 from folio.llm.components import components
 from folio.llm.shared import bit_filter, drop, passes, stored
 from folio.llm.textnum import U64, Words, chunked, mix, span_hashes
@@ -111,7 +112,7 @@ def sketch(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame
     """id, n_shingles, node (128-bit hash of the set, null if empty), bands (bucket keys)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
                 sets = shingle_sets([t or "" for t in part.column(1).to_pylist()], width)
@@ -136,7 +137,7 @@ def _sets_of(docs: DataFrame, width: int, wanted: DataFrame, id_col: str, text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        for b in batches:
+        for b in lean(batches):
             b = b.filter(pa.array(passes(bits.value, b.column(1).to_numpy())))
             for at in range(0, b.num_rows, 1000):
                 sets = {node_of(s): s for s in shingle_sets([t or "" for t in b.column(0).slice(at, 1000).to_pylist()], width) if len(s)}

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from folio.llm.batches import lean, release
 from folio.llm.bpe import load
 from folio.llm.shared import stored
 
@@ -46,7 +47,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for b in batches:
+        for b in lean(batches):
             row, no, start, size, crc = [], [], [], [], []
             for i, ids in enumerate(bpe.encode_batch([t or "" for t in b.column(1).to_pylist()])):
                 data = np.append(ids, end_id).astype("<u4")
@@ -204,6 +205,7 @@ def _evolve_groups(items: DataFrame, groups: int, capacity: int) -> DataFrame:
     islands = dealt.select(*COLUMNS, "group", sent.alias("sent"), F.explode(F.array(*[F.lit(k) for k in range(ISLANDS)])).alias("island"))
 
     def settlers(pdf: pd.DataFrame) -> tuple[pd.DataFrame, list[int], list[Bins]]:
+        release()
         pdf = pdf.sort_values(["length", "row"], kind="stable").reset_index(drop=True)
         size = pdf.length.tolist()
         came = np.stack(pdf.sent.to_numpy())

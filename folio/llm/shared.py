@@ -15,6 +15,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folio.llm.batches import SLICE_BYTES
+
 #: Only where the session names no shared folder and has no cluster, as in tests on one machine.
 LOCAL_FOLDER = "/tmp/checkpoints"
 #: Bits of a filter over hashes: 4 MB for the driver and each worker, whatever the input.
@@ -31,7 +33,8 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings of the jobs that write or fetch intermediate tables: shuffle files go at once, and Arrow batches stay small on the JVM's side too.
+TIDY = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(SLICE_BYTES)}
 
 
 @contextlib.contextmanager
@@ -40,12 +43,14 @@ def tidy(spark: SparkSession) -> Iterator[None]:
 
     Else they would stay until the driver happens to collect its garbage, and disks fill meanwhile.
     """
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    before = {k: spark.conf.get(k, None) for k in TIDY}
+    for k, v in TIDY.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 #: Paths of stored tables that are still there.

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folio.llm.batches import lean, release
 from folio.llm.shared import bit_filter, drop, passes, stored
 from folio.llm.textnum import U64, Words, chunked, expand, mix, numbered, span_hashes
 
@@ -85,7 +86,7 @@ def _scan(rows: DataFrame, window: int, schema: str, emit: Callable[[Blocks, np.
     """emit()'s rows for the blocks of all texts; it gets the blocks and the keys of their documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             r1, r2 = b.column(1).to_numpy(), b.column(2).to_numpy()
             for at, texts in chunked(b.column(0).to_pylist()):
                 found = Blocks(Words(texts), window)
@@ -202,6 +203,7 @@ def recurring(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_co
     shards = max(1, -(-full.count() // SHARD_BLOCKS))
 
     def match(pdf: pd.DataFrame) -> pd.DataFrame:
+        release()
         found = locate(pdf.seg.tolist(), pdf.n.to_numpy(), window)
         some = [i for i, x in enumerate(found) if x]
         return pdf[BLOCK_ID].iloc[some].assign(spans=pd.Series([_merge(found[i], window) for i in some], index=pdf.index[some], dtype=object))
@@ -222,7 +224,7 @@ def _by_window(blocks: DataFrame, window: int) -> DataFrame:
     """(b1, b2, spans) of blocks (b1, b2, n, seg) whose anchors have very many: dealt by window, the windows of one hash to several tasks."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
                 words = Words(part.column(3).to_pylist())
@@ -286,7 +288,7 @@ def remove_recurring(docs: DataFrame, window: int = 35, id_col: str = "doc_id",
     last = "kept_sha256" if digest else "kept_text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             for at, texts in chunked(b.column(1).to_pylist()):
                 part = b.slice(at, len(texts))
                 n, removed, joined = _without(texts, part.column(2).to_pylist())
@@ -328,7 +330,7 @@ def rewrite(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col:
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             texts, found = b.column(at_text).to_pylist(), b.column(len(names)).to_pylist()
             some = [i for i, s in enumerate(found) if s]
             for at, part in chunked([texts[i] for i in some]):
