@@ -20,6 +20,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -102,19 +103,25 @@ class ByteBPE:
         self.word_at, self.word_n, self.cp_at, self.cp_n = (np.zeros(0, np.int64) for _ in range(4))
         self.ids, self.filled, self.cps, self.cp_filled = np.zeros(1 << 16, np.int32), 0, np.zeros(1 << 16, np.uint32), 0
 
+    def _ranks(self, sym: np.ndarray, word: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs that begin at the places `at`; a pair across words has none."""
+        out = np.full(len(at), _NO_RANK)
+        k = np.flatnonzero(at + 1 < len(sym))
+        k = k[word[at[k]] == word[at[k] + 1]]
+        key = sym[at[k]] * self.size + sym[at[k] + 1]
+        found = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        out[k] = np.where(self.pair_keys[found] == key, self.pair_rank[found], _NO_RANK)
+        return out
+
     def merge_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """ids of all words, one after the other, and how many each has. Words are not empty."""
         sizes = np.array([len(w) for w in words], np.int64)
         sym = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
         word = np.repeat(np.arange(len(words)), sizes)
         done_sym, done_word = [], []
+        rank = self._ranks(sym, word, np.arange(len(sym)))
         while len(sym):
-            same = word[1:] == word[:-1]
-            key = sym[:-1] * self.size + sym[1:]
-            at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-            rank = np.full(len(sym), _NO_RANK)
-            rank[:-1] = np.where(same & (self.pair_keys[at] == key), self.pair_rank[at], _NO_RANK)
-            head = np.flatnonzero(np.concatenate(([True], ~same)))
+            head = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
             best = np.minimum.reduceat(rank, head)
             count = np.diff(np.append(head, len(sym)))
             least = np.repeat(best, count)
@@ -135,7 +142,11 @@ class ByteBPE:
             sym = np.where(hit, self.merged[np.where(hit, rank, 0)], sym)
             keep = np.ones(len(sym), bool)
             keep[1:] = ~hit[:-1]
-            sym, word = sym[keep], word[keep]
+            sym, word, rank, fresh = sym[keep], word[keep], rank[keep], hit[keep]
+            # only pairs with a merged symbol are new
+            fresh[:-1] |= fresh[1:]
+            at = np.flatnonzero(fresh)
+            rank[at] = self._ranks(sym, word, at)
         sym = np.concatenate(done_sym) if done_sym else np.zeros(0, np.int64)
         word = np.concatenate(done_word) if done_word else np.zeros(0, np.int64)
         order = np.argsort(word, kind="stable")
@@ -190,7 +201,7 @@ class ByteBPE:
         first, which, keys = self.distinct(cp, start, end)
         if len(self.word_n) + len(keys) > CACHE_WORDS:
             self._reset()
-        slot = np.array([-1 if k is None else k for k in map(self.known.get, keys)], np.int64)
+        slot = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
         met = np.flatnonzero(slot >= 0)
         begin = self.cp_at[slot[met]]
         slot[met[unlike(cp, start[first[met]], end[first[met]], self.cps, begin, begin + self.cp_n[slot[met]])]] = -1
