@@ -26,7 +26,51 @@ SQL = {
         reach AS (SELECT rid, rid AS r FROM words UNION SELECT reach.rid, edge.b FROM reach JOIN edge ON reach.r = edge.a),
         low AS (SELECT reach.rid, min(o.doc_id) AS component_id FROM reach JOIN words o ON o.rid = reach.r GROUP BY reach.rid)
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM words LEFT JOIN n USING (rid) LEFT JOIN low USING (rid)""",
+    "op11_source_mixing": r"""WITH docs AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+        src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS nth FROM docs GROUP BY source),
+        wt AS (SELECT *, CASE nth % 3 WHEN 1 THEN 3 WHEN 2 THEN 1 ELSE 2 END AS weight, CAST(sum(source_size) OVER () AS BIGINT) * 3 AS asked FROM src),
+        filling AS (SELECT *, row_number() OVER (ORDER BY 2 * source_size / weight, nth) AS rk FROM wt),
+        lev AS (SELECT arg_min(level, rk) AS level FROM (
+            SELECT f.rk, any_value(2 * f.source_size / f.weight) AS full_at, (any_value(f.asked) - 4 * coalesce(sum(g.source_size) FILTER (g.rk < f.rk), 0)) / (2.0 * sum(g.weight) FILTER (g.rk >= f.rk)) AS level FROM filling f, filling g GROUP BY f.rk) WHERE level <= full_at),
+        tg AS (SELECT source, source_size, CASE WHEN weight * level > 2 * source_size OR level IS NULL THEN CAST(2 * source_size AS DOUBLE) ELSE weight * level END AS target FROM wt, lev),
+        plan AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(least(target / source_size, 2.0) * 16777216) AS BIGINT) ELSE 0 END AS units, CAST('0x' || substr(md5('11:' || coalesce('=' || source, '')), 1, 6) AS BIGINT) AS off FROM tg),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, doc_id NULLS FIRST) AS place FROM docs)
+        SELECT doc_id, size, source_size, target, size * (((place * units + off) >> 24) - (((place - 1) * units + off) >> 24)) AS taken FROM placed JOIN plan ON placed.source IS NOT DISTINCT FROM plan.source""",
+    "op12_ranked_search": r"""WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+        items AS (SELECT row_number() OVER () AS iid, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+        asked AS (SELECT DISTINCT iid, item_id, unnest(terms) AS term FROM items),
+        total AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM docs WHERE len(terms) > 0),
+        tokens AS (SELECT rid, doc_id, CAST(len(terms) AS BIGINT) AS n, unnest(terms) AS term FROM docs),
+        tf AS (SELECT rid, doc_id, n, term, count(*) AS tf FROM tokens GROUP BY rid, doc_id, n, term),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        hits AS (SELECT iid, item_id, rid, doc_id, CAST(sum(CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+            FROM asked JOIN tf USING (term) JOIN df USING (term), total GROUP BY iid, item_id, rid, doc_id),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM hits WHERE score > 0)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
+
+
+def _clustering_sql(rounds: int = 5) -> str:
+    """The rounds as one chain of relations; vectors are rows of components there."""
+    nearest = """SELECT rid, arg_min(cluster, d * 64 + cluster) AS cluster, min(d) AS d FROM (SELECT rid, cluster, sum((v.x - c.x) * (v.x - c.x)) AS d FROM parts v JOIN c{0} c USING (i) GROUP BY rid, cluster) GROUP BY rid"""
+    chain = """vecs AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+        parts AS (SELECT rid, unnest(range(1, 65)) AS i, unnest(v) AS x FROM vecs),
+        seeds AS (SELECT rid, row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, v) - 1 AS cluster FROM vecs),
+        c0 AS (SELECT cluster, i, x FROM seeds JOIN parts USING (rid) WHERE cluster < 40)"""
+    for k in range(rounds):
+        chain += f""",
+        a{k} AS ({nearest.format(k)}),
+        m{k} AS (SELECT cluster, i, sum(x) AS s, count(*) AS n FROM a{k} JOIN parts USING (rid) GROUP BY cluster, i),
+        c{k + 1} AS (SELECT cluster, i, CAST(coalesce((s - ((s % n) + n) % n) // n, x) AS BIGINT) AS x FROM c{k} LEFT JOIN m{k} USING (cluster, i))"""
+    return f"""WITH {chain},
+        a AS ({nearest.format(rounds)}),
+        sha AS (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)
+        SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+        FROM vecs JOIN a USING (rid) JOIN sha USING (cluster)"""
+
+
+SQL["op13_centroid_clustering"] = _clustering_sql()
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -100,6 +144,24 @@ def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_next(table(spark, sf_dir, "documents"))
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm import mixing
+
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm import ranked_search
+
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm import clustering
+
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 

@@ -12,9 +12,10 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_matches_sql(spark, name):
-    path = f"{SF}/documents.parquet"
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from read_parquet('{path}{'/*.parquet' if os.path.isdir(path) else ''}')")
+    for t in ("documents", "benchmark", "embeddings"):
+        path = f"{SF}/{t}.parquet"
+        con.execute(f"create view {t} as select * from read_parquet('{path}{'/*.parquet' if os.path.isdir(path) else ''}')")
     want = con.execute(queries.oracle_sql()[name])
     names = [d[0] for d in want.description]
     got = queries.queries()[name](spark, SF).select(*names)
