@@ -676,3 +676,7 @@ ESCAPED = [("战 a", "\\u6218 a"), ("�\t", "\\ufffd\\t")]
 @query(per_nation_sql([(f"{t}@", f"{e}@") for t, e in ESCAPED], "title", "escaped"))
 def escape_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_nation(spark, sf_dir, [(f"{t}@",) for t, _ in ESCAPED], "title").select("n_nationkey", "title", files.escape_unicode(F.col("title")).alias("escaped"))
+
+
+# queries of other modules, which register themselves
+from folio.plans import table_cases  # noqa: E402, F401
