@@ -79,11 +79,6 @@ def copy_plan(pages: DataFrame, listing: DataFrame, assets: str = "assets/chm")
     return found.withColumn("link", relative_to(F.col("destination"), F.col("folder"))).select("path", "pos", "src", "file", "destination", "link")
 
 
-def to_copy(plan: DataFrame, existing: DataFrame) -> DataFrame:
-    """(file, destination) once each, without those whose destination exists."""
-    return plan.select("file", "destination").distinct().join(existing.select(F.col("path").alias("destination")), "destination", "left_anti").select("file", "destination")
-
-
 def rewrite_links(pages: DataFrame, plan: DataFrame) -> DataFrame:
     """pages with the links of the plan put in: cut at the links, which come back in order."""
     marked = F.regexp_replace("html", r'(?i)(<img\b[^>]*?\bsrc\s*=\s*")([^"]+)(")', "$1\u0001$2\u0001$3")

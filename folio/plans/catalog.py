@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +13,7 @@ from folio.functions import text as tx
 from folio.functions.charset import decode_as
 from folio.operators import assets, checklist, contents, documents, repair, tables
 from folio.plans import jobs
-from folio.sources import files, sinks
+from folio.sources import files, scratch, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,11 +62,8 @@ def per_nation_sql(rows: list[tuple], *names: str) -> str:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A new folder for the files that a query writes and reads back: in the shared folder of a cluster, in a temporary one on a single machine."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return f"{re.sub('^file:/+', '/', shared)}/files-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp()
+    """A new folder for the files that a query writes and reads back; it goes with the driver's process."""
+    return scratch.folder(spark, "files")
 
 
 # --- HTML clean-up
@@ -603,7 +597,7 @@ def tree_report_and_renames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cleaned tree with a report in order, and some files renamed."""
     root, n = work_folder(spark), table(spark, sf_dir, "nation")
     sinks.write_tree(n.select(F.lit("gone.md").alias("path"), F.col("n_name").alias("text")).limit(1), root)
-    sinks.clean(root)
+    sinks.clean(spark, root)
     sinks.write_tree(n.select(F.concat(F.lit("old/"), "n_name", F.lit(".md")).alias("path"), F.col("n_name").alias("text")), root)
     sinks.write_report(n.select("n_regionkey", "n_nationkey", F.col("n_name").alias("line")), f"{root}/report.txt", ["n_regionkey", "n_nationkey"])
     wish = n.where("n_nationkey % 3 = 0").select(F.concat(F.lit("old/"), "n_name", F.lit(".md")).alias("src"), F.concat(F.lit("new/"), "n_name", F.lit(".md")).alias("dst"))

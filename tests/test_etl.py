@@ -153,7 +153,7 @@ def test_files(spark, tmp_path):
     assert {r.src: r.outcome for r in plan.collect()} == {"a/p.md": "renamed", "no.md": "missing", "r.txt": "exists"}
     sinks.apply_renames(plan, str(out))
     assert (out / "c/p.md").read_text() == "new"
-    sinks.clean(str(out))
+    sinks.clean(spark, str(out))
     assert not out.exists()
 
 
