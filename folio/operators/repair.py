@@ -1,17 +1,22 @@
-"""Repairs of tables that lost their markup: level tables and tier tables, line by line.
+"""Repairs of tables that lost their markup: level tables and tier tables.
 
-Lines are rows (path, line_no, line); windows look ahead within a document and find runs,
-so a document's lines are together but no two documents need be. compat=True, the default
-of whole jobs, gives the tables with the irregularities that readers of the older output rely on
+A table's lines are found by one pattern over the whole text, written anew as columns, and put back between what
+stands around them. All of it happens within the row: nothing is exploded, shuffled or put in a window, however
+long a document is. Patterns have no nested repetition that could backtrack.
+
+compat=True, the default of whole jobs, gives the tables with the irregularities that readers of the older output rely on
 (a separator one column short, signs' digits twice); without it tables are regular.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.functions.text import strip
+from folio.functions.text import BLANK, strip
 
 #: The labels of the tables.
 LEVEL, POINTS = "**等级**", "**经历点**"
@@ -23,15 +28,24 @@ SECOND_FROM = 11
 LISTED = {"核心规则/基本规则/等级.md": "level", "创作指南/战技平衡.md": "tier", "核心规则/速查图表/经历与晋升一览表.md": "level"}
 
 
-def numbered(docs: DataFrame, path_col: str = "path", text_col: str = "text") -> DataFrame:
-    """(path, line_no, line) of documents, cut at LF."""
-    return docs.select(F.col(path_col).alias("path"), F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
+#: Patterns see Unicode's classes, and lines that end at LF only. EDGE: white space within a line.
+FLAGS = "(?Udm)"
+EDGE = rf"[{BLANK}&&[^\n]]*+"
+#: A level line and a line of points with two numbers at least; at most two pairs that touch are one find.
+PAIR = rf"^{EDGE}{re.escape(LEVEL)}{EDGE}\n{EDGE}{re.escape(POINTS)}(?=[^\n\d]*+\d++[^\n\d]++\d)[^\n]*+"
+PAIRS = rf"{FLAGS}{PAIR}(?:\n{PAIR})?+"
+#: A line of a tier, or one of expectations with four pairs of signs; never with a pipe.
+TIER_LINE = rf"(?![^\n]*\|)(?:(?=[^\n]*?\*\*(?:{'|'.join(TIERS)})\*\*)|(?={EDGE}{re.escape(EXPECTED)}(?:[^\n]*?\*\*){{2}}))[^\n]*+"
+#: The first line that holds both labels, and the tier lines right after it.
+TIER_RUN = rf"{FLAGS}^(?=[^\n]*?{re.escape(EXPECTED)})(?=[^\n]*?{re.escape(ATTACK)}){TIER_LINE}(?:\n{TIER_LINE})++"
 
 
-def joined(lines: DataFrame) -> DataFrame:
-    """(path, text) from (path, line_no, line)."""
-    g = lines.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("l"))
-    return g.select("path", F.array_join("l.line", "\n").alias("text"))
+def rewritten(text: Column, pattern: str, table: Callable[[Column], Column]) -> Column:
+    """text with each find of the pattern as table() makes it."""
+    made = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), table)
+    between = F.split(text, pattern, -1)
+    joined = F.array_join(F.flatten(F.zip_with(between, made, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
+    return F.when(text.rlike(pattern), joined).otherwise(text)
 
 
 def _row(label: str, cells: Column) -> Column:
@@ -47,25 +61,18 @@ def _level_table(numbers: Column, first: Column, compat: bool) -> Column:
     return F.concat_ws("\n", _row(LEVEL, heads), rule, _row(POINTS, numbers))
 
 
-def level_tables(lines: DataFrame, compat: bool = False) -> DataFrame:
-    """Lines with each pair of a level line and a line of points (two numbers at least) as a pipe table.
+def level_tables(text: Column, compat: bool = False) -> Column:
+    """A text with each pair of a level line and a line of points (two numbers at least) as a pipe table.
 
     A second pair right after a first is numbered from SECOND_FROM on, after an empty line; a third begins anew.
     """
-    w = Window.partitionBy("path").orderBy("line_no")
-    bare = strip(F.col("line"))
-    numbers = F.regexp_extract_all(F.lead(bare).over(w), F.lit(r"(?U)\d+"), F.lit(0))
-    opens = (bare == LEVEL) & F.coalesce(F.lead(bare).over(w).startswith(POINTS), F.lit(False)) & (F.size(numbers) >= 2)
-    marked = lines.withColumn("opens", opens).withColumn("numbers", F.when(F.col("opens"), numbers))
-    # pairs that touch form a chain; its even ones continue the odd ones
-    marked = marked.withColumn("joins", F.col("opens") & F.coalesce(F.lag("opens", 2).over(w), F.lit(False)))
-    chain = F.sum(F.when(F.col("opens") & ~F.col("joins"), 1).otherwise(0)).over(w)
-    marked = marked.withColumn("chain", chain)
-    place = F.count_if("opens").over(Window.partitionBy("path", "chain").orderBy("line_no"))
-    marked = marked.withColumn("second", F.col("opens") & (place % 2 == 0)).withColumn("data", F.coalesce(F.lag("opens").over(w), F.lit(False)))
-    table = _level_table(F.col("numbers"), F.when(F.col("second"), F.lit(SECOND_FROM)).otherwise(F.lit(1)), compat)
-    line = F.when(F.col("opens"), F.concat(F.when(F.col("second"), F.lit("\n")).otherwise(""), table)).otherwise(F.col("line"))
-    return marked.where(~F.col("data")).select("path", "line_no", line.alias("line"))
+
+    def table(found: Column) -> Column:
+        numbers = F.transform(F.split(found, "\n", -1), lambda x: F.regexp_extract_all(x, F.lit(r"(?U)\d+"), F.lit(0)))
+        made = F.transform(F.filter(numbers, lambda n, i: i % 2 == 1), lambda n, i: _level_table(n, F.when(i == 0, F.lit(1)).otherwise(F.lit(SECOND_FROM)), compat))
+        return F.array_join(made, "\n\n")
+
+    return rewritten(text, PAIRS, table)
 
 
 def tier_cells(line: Column, compat: bool = False) -> Column:
@@ -79,34 +86,29 @@ def tier_cells(line: Column, compat: bool = False) -> Column:
     return F.filter(cells, lambda c: c != "")
 
 
-def tier_tables(lines: DataFrame, compat: bool = False) -> DataFrame:
-    """Lines with each run of tier lines that starts at an expectation line (two lines at least) as a pipe table.
+def tier_tables(text: Column, compat: bool = False) -> Column:
+    """A text with each run of tier lines that starts at an expectation line (two lines at least) as a pipe table.
 
-    Runs are islands between lines that break them: blank ones, ones with a pipe, and ones of no tier. A run is cut
-    at its first line that holds both labels; what stands before that stays as it is.
+    A run begins at its first line that holds both labels; what stands before that stays as it is. Lines with fewer
+    than two cells go.
     """
-    w = Window.partitionBy("path").orderBy("line_no")
-    bare = strip(F.col("line"))
-    is_row = (bare != "") & ~bare.contains("|") & (bare.rlike(rf"\*\*({'|'.join(TIERS)})\*\*") | (bare.startswith(EXPECTED) & (F.regexp_count(bare, F.lit(r"\*\*")) >= 4)))
-    marked = lines.withColumn("is_row", is_row).withColumn("starts", bare.contains(EXPECTED) & bare.contains(ATTACK))
-    marked = marked.withColumn("island", F.count_if(~F.col("is_row")).over(w))
-    island = Window.partitionBy("path", "island", "is_row").orderBy("line_no")
-    marked = marked.withColumn("begun", F.col("is_row") & (F.count_if("starts").over(island) > 0))
-    run = Window.partitionBy("path", "island", "begun")
-    marked = marked.withColumn("long", F.count(F.lit(1)).over(run)).withColumn("place", F.row_number().over(run.orderBy("line_no")))
-    cells = tier_cells(bare, compat)
-    marked = marked.withColumn("in_table", F.col("begun") & (F.col("long") >= 2)).withColumn("cells", cells)
-    rule = F.when(F.col("place") == 1, F.concat(F.lit("\n|"), F.array_join(F.array_repeat(F.lit("---"), F.size("cells")), "|"), F.lit("|"))).otherwise("")
-    line = F.when(F.col("in_table"), F.concat(F.lit("|"), F.array_join("cells", "|"), F.lit("|"), rule)).otherwise(F.col("line"))
-    return marked.where(~F.col("in_table") | (F.size("cells") >= 2)).select("path", "line_no", line.alias("line"))
+
+    def line(cells: Column, i: Column) -> Column:
+        rule = F.when(i == 0, F.concat(F.lit("\n|"), F.array_join(F.array_repeat(F.lit("---"), F.size(cells)), "|"), F.lit("|"))).otherwise("")
+        return F.when(F.size(cells) >= 2, F.concat(F.lit("|"), F.array_join(cells, "|"), F.lit("|"), rule))
+
+    def table(found: Column) -> Column:
+        cells = F.transform(F.split(found, "\n", -1), lambda x: tier_cells(strip(x), compat))
+        return F.array_join(F.transform(cells, line), "\n")
+
+    return rewritten(text, TIER_RUN, table)
 
 
 def repaired(docs: DataFrame, kinds: dict[str, str] = LISTED, compat: bool = True) -> DataFrame:
     """(path, text, status) for each wished path: kinds maps a path to "level" or "tier". status: ok, unchanged or missing."""
     wished = docs.sparkSession.createDataFrame(sorted(kinds.items()), "path string, kind string")
-    found = wished.join(docs.select("path", "text"), "path", "left")
-    lines = numbered(found.where("text is not null"))
-    both = [joined(f(lines.join(wished.where(F.col("kind") == k), "path", "left_semi"), compat)).withColumnRenamed("text", "new") for k, f in (("level", level_tables), ("tier", tier_tables))]
-    out = found.join(both[0].unionByName(both[1]), "path", "left")
+    found = wished.join(docs.where(F.col("path").isin(*kinds)).select("path", "text"), "path", "left")
+    new = F.when(F.col("kind") == "level", level_tables(F.col("text"), compat)).otherwise(tier_tables(F.col("text"), compat))
+    out = found.withColumn("new", new)
     status = F.when(F.col("text").isNull(), "missing").when(F.col("new") == F.col("text"), "unchanged").otherwise("ok")
-    return out.select("path", F.coalesce("new", "text").alias("text"), status.alias("status"))
+    return out.select("path", F.col("new").alias("text"), status.alias("status"))

@@ -413,7 +413,7 @@ def level_table_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, r = F.col("n_nationkey").cast("string"), F.col("n_regionkey").cast("string")
     text = F.concat("n_name", F.lit("\n **等级** \n**经历点** "), k, F.lit(" 1 2"), F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("\n**等级**\n**经历点** 7 "), r)).otherwise(""), F.lit("\n**等级**\n**经历点** 5"))
     docs = table(spark, sf_dir, "nation").select(F.concat(F.lit("n"), k).alias("path"), text.alias("text"))
-    return repair.joined(repair.level_tables(repair.numbered(docs), compat=True))
+    return docs.withColumn("text", repair.level_tables(F.col("text"), compat=True))
 
 
 TIER_IN = "前 @\n**期望** **攻击** **招架**\n**传闻** 6.5 +1光\n**怪谈** 12 x50% 升半阶\n\n**期望** **攻击** 1"
@@ -423,7 +423,19 @@ TIER_OUT = "前 @\n|期望|攻击|招架|\n|---|---|---|\n|传闻|6.5|1|+1光|\n
 @query(f"SELECT path, text FROM ({per_nation_sql([('@.md', TIER_OUT)], 'path', 'text')})")
 def tier_table_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = per_nation(spark, sf_dir, [("@.md", TIER_IN)], "path", "text")
-    return repair.joined(repair.tier_tables(repair.numbered(docs), compat=True))
+    return docs.select("path", repair.tier_tables(F.col("text"), compat=True).alias("text"))
+
+
+#: Lines that lost their tables, behind every document's text; @ is its number.
+LOST = "\n **等级** \n**经历点** @ 1 2\n**等级**\n**经历点** 7 @\n**等级**\n**经历点** 3 @ 5\n**经历点** 5\n前 **期望**\n**期望** **攻击** **招架** @\n**传闻** 6.5 +@光\n**传闻**\n\n**期望** **攻击** 1"
+MADE = "\n|**等级**|**1**|**2**|**3**|\n|------|---|---|\n|**经历点**|@|1|2|\n\n|**等级**|**11**|**12**|\n|------|---|\n|**经历点**|7|@|\n|**等级**|**1**|**2**|**3**|\n|------|---|---|\n|**经历点**|3|@|5|\n**经历点** 5\n前 **期望**\n|期望|攻击|招架|@|\n|---|---|---|---|\n|传闻|6.5|@|+@光|\n\n**期望** **攻击** 1"
+
+
+@query(f"SELECT doc_id, text || replace('{MADE}', '@', CAST(doc_id AS VARCHAR)) AS text FROM documents")
+def repairs_in_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lost = F.replace(F.lit(LOST), F.lit("@"), F.col("doc_id").cast("string"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat("text", lost).alias("text"))
+    return docs.select("doc_id", repair.tier_tables(repair.level_tables(F.col("text"), compat=True), compat=True).alias("text"))
 
 
 REPAIRED = {"NATION_1.md": "level", "NATION_2.md": "tier", "NATION_3.md": "level", "NOWHERE.md": "tier"}

@@ -1,6 +1,7 @@
 """Operators on crafted inputs and on real files."""
 
 import os
+import random
 import re
 
 import pytest
@@ -115,10 +116,62 @@ def test_rebuild_listed(spark):
 
 def test_regular_repairs(spark):
     docs = spark.createDataFrame([("a", "**期望** **攻击** **招架**\n**传闻** 6.5 +1光\n**传说** x")], "path string, text string")
-    got = repair.joined(repair.tier_tables(repair.numbered(docs))).first().text
+    got = docs.select(repair.tier_tables(F.col("text"))).first()[0]
     assert got == "|期望|攻击|招架|\n|---|---|---|\n|传闻|6.5|+1光|"
 
 
+LINES = ["**等级**", " **等级**　", "**经历点** 1 2", "\x1c**经历点** 3, 4 5 ", "**经历点** 7", "**经历点** 12", "x", "", "**期望** **攻击** **招架**", "**期望** 攻 ** 1", "**传闻** 6.5 +1光", "**怪谈** 12 x50% 升半阶", " **星辰**", "a **期望** **攻击** b", "|**传闻** 1", "**传闻** **期望** **攻击**", "\r", "**等级**\r"]
+
+
+def level_by_lines(text):
+    """The rule as it is told, line by line."""
+    lines, out, again = text.split("\n"), [], False
+    while lines:
+        numbers = re.findall(r"\d+", lines[1]) if len(lines) > 1 and lines[0].strip() == repair.LEVEL and lines[1].strip().startswith(repair.POINTS) else []
+        if len(numbers) < 2:
+            out.append(lines.pop(0))
+            again = False
+            continue
+        first = repair.SECOND_FROM if again else 1
+        out += [""] * again + [f"|{repair.LEVEL}|" + "".join(f"**{first + i}**|" for i in range(len(numbers))), "|------|" + "---|" * (len(numbers) - 1), f"|{repair.POINTS}|{'|'.join(numbers)}|"]
+        lines, again = lines[2:], not again
+    return "\n".join(out)
+
+
+def tiers_by_lines(text):
+    lines, out = text.split("\n"), []
+
+    def fits(x):
+        x = x.strip()
+        return x != "" and "|" not in x and (re.search(rf"\*\*({'|'.join(repair.TIERS)})\*\*", x) or x.startswith(repair.EXPECTED) and x.count("**") >= 4)
+
+    while lines:
+        n = next((i for i, x in enumerate(lines) if not fits(x)), len(lines))
+        if repair.EXPECTED not in lines[0] or repair.ATTACK not in lines[0] or n < 2:
+            out.append(lines.pop(0))
+            continue
+        for k, x in enumerate(y.strip() for y in lines[:n]):
+            cells = re.findall(r"\*\*([^*]+)\*\*", x) + re.findall(r"\d+\.?\d*", re.sub(r"\*\*[^*]+\*\*", "", x)) + re.findall(r"[+\-]?\d+光|x\d+%|升[半\d]+阶", x)
+            if len(cells) > 1:
+                out += [f"|{'|'.join(cells)}|"] + [f"|{'|'.join(['---'] * len(cells))}|"] * (k == 0)
+        lines = lines[n:]
+    return "\n".join(out)
+
+
+def test_repairs_line_by_line(spark):
+    rnd = random.Random(4)
+    texts = ["\n".join(rnd.choice(LINES) for _ in range(rnd.randint(0, 14))) for _ in range(3000)]
+    texts += ["\n".join(["**期望** **攻击**"] + ["**传闻** 1 2"] * 50_000), "\n".join(["**等级**", "**经历点** 1 2 3"] * 20_000), "**等级**\n**经历点**" + " 1" * 50_000]
+    assert column(spark, texts, lambda t: repair.level_tables(t, True)) == list(map(level_by_lines, texts))
+    assert column(spark, texts, lambda t: repair.tier_tables(t, True)) == list(map(tiers_by_lines, texts))
+
+
+def test_repairs_stay_in_their_row(spark):
+    docs = spark.createDataFrame([("a", "x")], "path string, text string")
+    plan = docs.select("path", repair.level_tables(F.col("text")), repair.tier_tables(F.col("text")))._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Exchange", "Window", "Generate", "Python"))
+
+
 def test_assets_by_hand(spark):
     rows = [(1, 1, b"aa"), (1, 2, b"bb"), (2, 1, b"aa"), (2, 2, b""), (3, 1, b"b"), (3, 2, None)]
     df = spark.createDataFrame(rows, "page int, idx int, content binary")
