@@ -24,6 +24,12 @@ def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
 
+def normalised(text: Column) -> Column:
+    """nfkc() of a text; plain ASCII, which stays as it is, is not sent to Python."""
+    plain = text.rlike(r"\A\p{ASCII}*+\z")
+    return F.when(plain, text).otherwise(nfkc(F.when(~plain, text)))
+
+
 def heading_level(line: Column) -> Column:
     return F.length(F.regexp_extract(line, HEADING, 1))
 
@@ -41,14 +47,14 @@ def _without_punctuation(text: Column) -> Column:
     return F.regexp_replace(text, rf"(?U)[{BLANK[1:-1]}{signs}]+", "")
 
 
-def toc_key(title: Column, normalised: bool = False) -> Column:
-    """A title for matching with a table of contents: no punctuation, white space or case. normalised: NFKC is done already."""
-    return _without_punctuation(F.lower(strip(title if normalised else nfkc(title))))
+def toc_key(title: Column, ready: bool = False) -> Column:
+    """A title for matching with a table of contents: no punctuation, white space or case. ready: NFKC is done already."""
+    return _without_punctuation(F.lower(strip(title if ready else normalised(title))))
 
 
-def title_key(title: Column, normalised: bool = False) -> Column:
+def title_key(title: Column, ready: bool = False) -> Column:
     """A title for finding duplicates: as toc_key, without tags and emphasis signs as well."""
-    text = F.lower(strip(title if normalised else nfkc(title)))
+    text = F.lower(strip(title if ready else normalised(title)))
     return _without_punctuation(F.regexp_replace(F.regexp_replace(text, r"</?[^>]+?>", ""), r"[*_~`]", ""))
 
 

@@ -20,25 +20,35 @@ def titles(docs: DataFrame) -> DataFrame:
     return docs.select("path", F.explode(keys).alias("key")).where("key <> ''")
 
 
+def candidates(docs: DataFrame, folders: list[str]) -> DataFrame:
+    """(key, folder, rank, path): the CANDIDATES first documents of each key, among all (folder empty) and within each of the folders.
+
+    Paths are distinct. A task sends on no more than CANDIDATES rows of a key and folder, so a title that a million documents
+    share is as small as any other before it meets an entry.
+    """
+    within = F.filter(F.array(*(F.lit(f) for f in folders)), lambda f: F.col("path").startswith(F.concat(f, F.lit("/"))))
+    rows = titles(docs).select("key", "path", F.explode(F.concat(F.array(F.lit("")), within)).alias("folder"))
+    first = Window.partitionBy("key", "folder").orderBy(F.length("path"), "path")
+    return rows.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= CANDIDATES)
+
+
 def match(toc: DataFrame, docs: DataFrame, folders: dict[str, str] | None = None) -> DataFrame:
     """(toc_idx, level, title, page, rank, path) for each entry and candidate; path null and rank 1 if there is none.
 
     toc: toc_idx, level, title, page. docs: path, title. The key without section number counts; only where it finds
-    nothing, the full title's does. Candidates under the section's folder win if there are any. Keys are joined by
-    equality and the folder is a column after it, so no prefix join is needed; a title that many entries and documents
-    share is left to the engine's skew handling.
+    nothing, the full title's does. Candidates under the section's folder win if there are any. An entry asks at most four
+    times, by key and folder, and gets at most CANDIDATES rows for each: all joins are by equality, of bounded groups.
     """
-    pairs = F.create_map(*(F.lit(x) for kv in (folders or SECTION_FOLDERS).items() for x in kv))
-    asked = toc.select("toc_idx", "title", F.posexplode(F.array(md.toc_key(md.without_number(F.col("title"))), md.toc_key(F.col("title")))).alias("priority", "key"))
-    hits = asked.join(titles(docs), "key")
-    per_entry = Window.partitionBy("toc_idx")
-    folder = F.try_element_at(pairs, F.split_part(md.section_number(F.col("title")), F.lit("."), F.lit(1)))
-    # a document may be found under both keys: once is enough
-    best = hits.withColumn("least", F.min("priority").over(per_entry)).where("priority = least").dropDuplicates(["toc_idx", "path"])
-    best = best.withColumn("inside", F.coalesce(F.col("path").startswith(F.concat(folder, F.lit("/"))), F.lit(False)))
-    best = best.withColumn("some", F.max("inside").over(per_entry)).where("inside or not some")
-    ranked = best.withColumn("rank", F.row_number().over(per_entry.orderBy(F.length("path"), "path"))).where(F.col("rank") <= CANDIDATES)
-    return toc.join(ranked.select("toc_idx", "rank", "path"), "toc_idx", "left").select("toc_idx", "level", "title", "page", F.coalesce("rank", F.lit(1)).alias("rank"), "path")
+    given = folders or SECTION_FOLDERS
+    pairs = F.create_map(*(F.lit(x) for kv in given.items() for x in kv))
+    own = F.try_element_at(pairs, F.split_part(md.section_number(F.col("title")), F.lit("."), F.lit(1)))
+    keyed = toc.select("toc_idx", own.alias("own"), F.posexplode(F.array(md.toc_key(md.without_number(F.col("title"))), md.toc_key(F.col("title")))).alias("priority", "key"))
+    places = F.filter(F.array(F.struct(F.lit(0).alias("outside"), F.col("own").alias("folder")), F.struct(F.lit(1).alias("outside"), F.lit("").alias("folder"))), lambda p: p["folder"].isNotNull())
+    asked = keyed.select("toc_idx", "priority", "key", F.inline(places))
+    hits = asked.join(candidates(docs, sorted(set(given.values()))), ["key", "folder"])
+    best = F.struct("priority", "outside")
+    kept = hits.withColumn("best", F.min(best).over(Window.partitionBy("toc_idx"))).where(best == F.col("best"))
+    return toc.join(kept.select("toc_idx", "rank", "path"), "toc_idx", "left").select("toc_idx", "level", "title", "page", F.coalesce("rank", F.lit(1)).alias("rank"), "path")
 
 
 def unmatched(toc: DataFrame, docs: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folio.functions import markdown as md
 from folio.functions.text import BLANK, lines, strip
+from folio.sources.scratch import stored
 
 #: Lines among which the first one with text is looked for; in a table of contents, the first heading.
 TITLE_WITHIN, HEADING_WITHIN = 120, 80
@@ -35,42 +36,54 @@ def stem(path: Column) -> Column:
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"(.)\.[^.]*\z", "$1")
 
 
-def duplicate_groups(info: DataFrame, key: Column) -> DataFrame:
-    """(key, path, title, kind, rank, body_nonempty_lines, body_chars) of groups with both title-only documents and ones with content.
+def keyed(info: DataFrame) -> DataFrame:
+    """described() documents with the keys of their title and of their stem, as a stored table: documents are read, and keys made, once."""
+    name = stem(F.col("path"))
+    return stored(info.withColumns({"stem": name, "title_key": md.title_key(F.col("title")), "stem_key": md.title_key(name)}), "keyed")
 
-    Groups are found by a map-side combined aggregate. Members with content, of which the TOP_CONTENT longest stay, go
-    through a window with a limit that cuts a group before it is shuffled; title-only ones need no window and no rank.
+
+def duplicate_groups(known: DataFrame, key: str) -> DataFrame:
+    """(key, path, title, stem, kind, rank, body_nonempty_lines, body_chars) of groups with both title-only documents and ones with content.
+
+    known: keyed() documents; key: one of its key columns. Groups are found by an aggregate of flags that is combined before
+    the shuffle. Of the documents with content only the TOP_CONTENT longest of a key go on, cut in each task
+    before they are shuffled; a key that most documents share sends no more than that from a task. Title-only
+    documents stay all; they meet the groups, which are distinct, in a join that the engine splits where it is hot.
     """
-    keyed = info.withColumn("key", key).where("key <> ''")
-    groups = keyed.groupBy("key").agg(F.bool_or("is_title_only").alias("some"), F.bool_and("is_title_only").alias("every"), F.count(F.lit(1)).alias("n")).where("n >= 2 and some and not every").select("key")
-    members = keyed.join(groups, "key", "left_semi")
-    ranked = members.where(~F.col("is_title_only")).withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("body_chars"), "path"))).where(F.col("rank") <= TOP_CONTENT)
-    content = ranked.withColumn("kind", F.lit("has_content"))
-    only = members.where("is_title_only").select("*", F.lit(None).cast("int").alias("rank"), F.lit("title_only").alias("kind"))
-    return content.unionByName(only).select("key", "path", "title", "kind", "rank", "body_nonempty_lines", "body_chars")
+    rows = known.withColumn("key", F.col(key)).where("key <> ''").select("key", "path", "title", "stem", "is_title_only", "body_nonempty_lines", "body_chars")
+    groups = rows.groupBy("key").agg(F.bool_or("is_title_only").alias("some"), F.bool_and("is_title_only").alias("every")).where("some and not every").select("key")
+    longest = Window.partitionBy("key").orderBy(F.desc("body_chars"), "path")
+    content = rows.where(~F.col("is_title_only")).withColumn("rank", F.row_number().over(longest)).where(F.col("rank") <= TOP_CONTENT).withColumn("kind", F.lit("has_content"))
+    only = rows.where("is_title_only").withColumns({"rank": F.lit(None).cast("int"), "kind": F.lit("title_only")})
+    return content.unionByName(only).join(groups, "key", "left_semi").select("key", "path", "title", "stem", "kind", "rank", "body_nonempty_lines", "body_chars")
 
 
-def by_title(info: DataFrame) -> DataFrame:
-    return duplicate_groups(info, md.title_key(F.col("title")))
+def by_title(known: DataFrame) -> DataFrame:
+    return duplicate_groups(known, "title_key")
 
 
-def by_stem(info: DataFrame) -> DataFrame:
-    return duplicate_groups(info, md.title_key(stem(F.col("path"))))
+def by_stem(known: DataFrame) -> DataFrame:
+    return duplicate_groups(known, "stem_key")
 
 
-def group_lines(groups: DataFrame, name: Column) -> DataFrame:
-    """(key, least_path, text): the report's section of each group; name heads it, taken from its first title-only member."""
-    item = F.concat(F.lit("- "), F.col("path"))
-    detail = F.when(F.col("kind") == "has_content", F.format_string("  (body_lines=%d, body_chars=%d)", "body_nonempty_lines", "body_chars")).otherwise("")
-    entry = F.struct("rank", F.concat(item, detail).alias("line"))
-    only, content = F.col("kind") == "title_only", F.col("kind") == "has_content"
-    g = groups.groupBy("key").agg(
-        F.min(F.when(only, F.struct("path", name.alias("name")))).alias("first"),
-        F.array_sort(F.collect_list(F.when(only, entry))).alias("a"),
-        F.array_sort(F.collect_list(F.when(content, entry))).alias("b"),
-    )
-    text = F.array_join(F.concat(F.array(F.concat(F.lit("== "), F.col("first.name"), F.lit(" ==")), F.lit("title_only:")), F.col("a.line"), F.array(F.lit("has_content:")), F.col("b.line"), F.array(F.lit(""))), "\n")
-    return g.select("key", F.col("first.path").alias("least_path"), text.alias("text"))
+def group_heads(groups: DataFrame, name: str) -> DataFrame:
+    """(key, least_path, name) of each group: its first title-only path, and that document's `name`."""
+    first = F.min(F.when(F.col("kind") == "title_only", F.struct("path", name)))
+    return groups.groupBy("key").agg(first.alias("first")).select("key", F.col("first.path").alias("least_path"), F.col(f"first.{name}").alias("name"))
+
+
+def group_lines(groups: DataFrame, heads: DataFrame) -> DataFrame:
+    """(key, least_path, block, place, path, line): the report's lines of each group, a row each; in the order of all but the last column they are the report.
+
+    Blocks: 0 the group's name and what stands before its title-only documents, 1 these by path, 2 what stands before those with
+    content, 3 these by rank, 4 an empty line.
+    """
+    fixed = [(0, 0, F.concat(F.lit("== "), "name", F.lit(" =="))), (0, 1, F.lit("title_only:")), (2, 0, F.lit("has_content:")), (4, 0, F.lit(""))]
+    around = heads.select("key", "least_path", F.inline(F.array(*(F.struct(F.lit(b).alias("block"), F.lit(p).alias("place"), F.lit("").alias("path"), x.alias("line")) for b, p, x in fixed))))
+    has = F.col("kind") == "has_content"
+    detail = F.when(has, F.format_string("  (body_lines=%d, body_chars=%d)", "body_nonempty_lines", "body_chars")).otherwise("")
+    members = groups.join(heads, "key").select("key", "least_path", F.when(has, 3).otherwise(1).alias("block"), F.coalesce("rank", F.lit(0)).alias("place"), "path", F.concat(F.lit("- "), F.col("path"), detail).alias("line"))
+    return around.unionByName(members)
 
 
 def first_heading(docs: DataFrame, path_col: str = "path", text_col: str = "text") -> DataFrame:

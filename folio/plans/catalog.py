@@ -263,28 +263,31 @@ def groups_sql(key: str) -> str:
 
 @query(groups_sql("'topic' || (doc_id % 173)"))
 def dupes_by_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return longs(documents.by_title(documents.described(titled(spark, sf_dir))), "rank", "body_nonempty_lines", "body_chars")
+    return longs(documents.by_title(documents.keyed(documents.described(titled(spark, sf_dir)))).drop("stem"), "rank", "body_nonempty_lines", "body_chars")
 
 
 @query(groups_sql("'t' || (doc_id % 211)"))
 def dupes_by_stem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return longs(documents.by_stem(documents.described(titled(spark, sf_dir))), "rank", "body_nonempty_lines", "body_chars")
+    return longs(documents.by_stem(documents.keyed(documents.described(titled(spark, sf_dir)))).drop("stem"), "rank", "body_nonempty_lines", "body_chars")
 
 
-def section_sql(section: str, key: str, name: str, head: str) -> str:
-    return f"""SELECT * FROM (WITH rows AS ({groups_sql(key)}), g AS (SELECT key, min(CASE WHEN kind = 'title_only' THEN path END) AS least_path, arg_min({name}, CASE WHEN kind = 'title_only' THEN path END) AS title,
-    string_agg('- ' || path, chr(10) ORDER BY path) FILTER (WHERE kind = 'title_only') AS a, string_agg('- ' || path || '  (body_lines=' || body_nonempty_lines || ', body_chars=' || body_chars || ')', chr(10) ORDER BY rank) FILTER (WHERE kind = 'has_content') AS b FROM rows GROUP BY key)
-    SELECT '{section}' AS section, CAST(1 AS BIGINT) AS part, key, least_path, '== ' || title || ' ==' || chr(10) || 'title_only:' || chr(10) || a || chr(10) || 'has_content:' || chr(10) || b || chr(10) AS line FROM g
-    UNION ALL SELECT '{section}', 0, '', '', {head} || chr(10) || chr(10) || '候选组数：' || (SELECT count(*) FROM g) || chr(10))"""
+def section_sql(section: str, key: str, name: str, head: list[str]) -> str:
+    tops = " UNION ALL ".join(f"SELECT '{section}' AS section, 0 AS part, '' AS key, '' AS least_path, 0 AS block, {i} AS place, '' AS path, {x} AS line" for i, x in enumerate([*(f"'{h}'" for h in head), "'候选组数：' || (SELECT count(*) FROM g)", "''"]))
+    return f"""SELECT * FROM (WITH rows AS ({groups_sql(key)}), g AS (SELECT key, min(CASE WHEN kind = 'title_only' THEN path END) AS least_path, arg_min({name}, CASE WHEN kind = 'title_only' THEN path END) AS name FROM rows GROUP BY key)
+    {tops}
+    UNION ALL SELECT '{section}', 1, key, least_path, b, p, '', CASE b + p WHEN 0 THEN '== ' || name || ' ==' WHEN 1 THEN 'title_only:' WHEN 2 THEN 'has_content:' ELSE '' END FROM g, (VALUES (0, 0), (0, 1), (2, 0), (4, 0)) f(b, p)
+    UNION ALL SELECT '{section}', 1, key, least_path, CASE kind WHEN 'title_only' THEN 1 ELSE 3 END, coalesce(rank, 0), path, '- ' || path || CASE kind WHEN 'title_only' THEN '' ELSE '  (body_lines=' || body_nonempty_lines || ', body_chars=' || body_chars || ')' END FROM rows JOIN g USING (key))"""
 
 
 STEM_SQL = "regexp_replace(string_split(path, '/')[-1], '\\.[^.]*$', '')"
-HEAD_SQL = {k: f"'{v}'" for k, v in jobs.DUPES_HEAD.items()}
 
 
-@query(section_sql("A", "'topic' || (doc_id % 173)", "title", f"'{jobs.DUPES_TITLE}' || chr(10) || chr(10) || {HEAD_SQL['A']}") + " UNION ALL " + section_sql("B", "'t' || (doc_id % 211)", STEM_SQL, f"chr(10) || {HEAD_SQL['B']}"))
+DUPES_SQL = section_sql("A", "'topic' || (doc_id % 173)", "title", [jobs.DUPES_TITLE, "", jobs.DUPES_HEAD["A"], ""]) + " UNION ALL " + section_sql("B", "'t' || (doc_id % 211)", STEM_SQL, ["", jobs.DUPES_HEAD["B"], ""])
+
+
+@query(f"SELECT section, CAST(part AS BIGINT) AS part, key, least_path, CAST(block AS BIGINT) AS block, CAST(place AS BIGINT) AS place, path, line FROM ({DUPES_SQL})")
 def dupes_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return longs(jobs.duplicate_report(titled(spark, sf_dir)), "part")
+    return longs(jobs.duplicate_report(titled(spark, sf_dir)), "part", "block", "place")
 
 
 KEYS = [("**战 斗**：Ａ", "战斗a", "**战斗**a"), ("<b>Core</b> `Rules`!", "corerules", "<b>core</b>rules"), ("①　ﾊﾟ_x_", "1パx", "1パ_x_"), (" A·B • C ", "abc", "abc")]
