@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import posixpath
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folio.functions import html
+from folio.functions import html, png
 from folio.functions.text import replace_all
 
 
@@ -50,6 +52,19 @@ def scale(width: Column, max_width: Column) -> Column:
     return F.when(width > 0, F.least(max_width / F.nullif(width, F.lit(0.0)), F.lit(4.0))).otherwise(F.lit(1.0))
 
 
+def thumbnails(images: DataFrame, max_width: int, content_col: str = "content") -> DataFrame:
+    """images with `thumbnail`: PNG images no wider than max_width, by box averages; null for other kinds, which nothing here can decode."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):  # an image at a time: its pixels are far larger than its bytes
+                row = b.slice(i, 1)
+                data = row.column(content_col)[0].as_py()
+                yield row.append_column("thumbnail", pa.array([None if data is None else png.thumbnail(data, max_width)], pa.binary()))
+
+    return images.mapInArrow(run, T.StructType([*images.schema.fields, T.StructField("thumbnail", T.BinaryType())]))
+
+
 def links(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """(path, pos, src) of every image link of pages (path, html)."""
     found = F.regexp_extract_all(F.col(html_col), F.lit(r'(?i)<img\b[^>]*?\bsrc\s*=\s*"([^"]+)"'), F.lit(1))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folio.functions import markdown as md
 from folio.operators.documents import stem
+from folio.sources.files import escape_unicode
 
 #: The folder of each main section.
 SECTION_FOLDERS = {"1": "docs", "2": "docs/核心规则", "4": "docs/资源目录", "5": "docs/创作指南", "6": "docs/都市箴言"}
@@ -67,5 +68,6 @@ def report_lines(matched: DataFrame) -> DataFrame:
 
 
 def sample(toc: DataFrame, n: int = 50) -> DataFrame:
-    """(toc_idx, line): the first n entries as tab-separated level, page and title. A limit is the feature."""
-    return toc.orderBy("toc_idx").limit(n).select("toc_idx", F.concat_ws("\t", F.col("level").cast("string"), F.col("page").cast("string"), "title").alias("line"))
+    """(toc_idx, line): the first n entries as tab-separated level, page, title, and the title with all but ASCII as escapes. A limit is the feature."""
+    first = toc.orderBy("toc_idx").limit(n)
+    return first.select("toc_idx", F.concat_ws("\t", F.col("level").cast("string"), F.col("page").cast("string"), "title", escape_unicode(F.col("title"))).alias("line"))

@@ -359,7 +359,7 @@ def toc_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return longs(contents.report_lines(contents.match(*toc_inputs(spark, sf_dir))), "toc_idx")
 
 
-@query("SELECT CAST(o_orderkey AS BIGINT) AS toc_idx, (o_orderkey % 4) || chr(9) || o_custkey || chr(9) || o_orderpriority AS line FROM orders ORDER BY o_orderkey LIMIT 50")
+@query("SELECT CAST(o_orderkey AS BIGINT) AS toc_idx, (o_orderkey % 4) || chr(9) || o_custkey || chr(9) || o_orderpriority || chr(9) || o_orderpriority AS line FROM orders ORDER BY o_orderkey LIMIT 50")
 def toc_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contents.sample(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("toc_idx"), (F.col("o_orderkey") % 4).alias("level"), F.col("o_custkey").alias("page"), F.col("o_orderpriority").alias("title")))
 
@@ -688,4 +688,4 @@ def escape_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # queries of other modules, which register themselves
-from folio.plans import table_cases  # noqa: E402, F401
+from folio.plans import pdf_cases, table_cases  # noqa: E402, F401
