@@ -287,7 +287,7 @@ DUPES_SQL = section_sql("A", "'topic' || (doc_id % 173)", "title", [jobs.DUPES_T
 
 @query(f"SELECT section, CAST(part AS BIGINT) AS part, key, least_path, CAST(block AS BIGINT) AS block, CAST(place AS BIGINT) AS place, path, line FROM ({DUPES_SQL})")
 def dupes_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return longs(jobs.duplicate_report(titled(spark, sf_dir)), "part", "block", "place")
+    return longs(jobs.duplicate_report(titled(spark, sf_dir))[0], "part", "block", "place")
 
 
 KEYS = [("**战 斗**：Ａ", "战斗a", "**战斗**a"), ("<b>Core</b> `Rules`!", "corerules", "<b>core</b>rules"), ("①　ﾊﾟ_x_", "1パx", "1パ_x_"), (" A·B • C ", "abc", "abc")]
@@ -620,6 +620,21 @@ def tree_report_and_renames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan(spark, root).select("path", files.text_of(F.col("content")).alias("text"))
 
 
+@query(
+    """WITH p AS (SELECT page_id, page_id % 3 AS k, 'p' || page_id || '.md' AS path FROM pages) SELECT path, 'x' || page_id || CASE k WHEN 0 THEN '' WHEN 1 THEN '| ' || page_id || ' |' || chr(10) || '| --- |' || chr(10) ELSE '<table><tr><td>1</tr></table>' END || chr(10) || 'y' AS text FROM p
+    UNION ALL SELECT 'counts', count(*) || ' ' || count(*) FILTER (WHERE k > 0) || ' ' || count(*) FILTER (WHERE k = 1) || ' ' || count(*) FILTER (WHERE k = 1) FROM p"""
+)
+def tree_tables_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for each page, their strict tables converted in place, and the counts of that job."""
+    root, pages = work_folder(spark), table(spark, sf_dir, "pages")
+    k, number = F.col("page_id") % 3, F.col("page_id").cast("string")
+    cell = F.when(k == 1, F.concat(F.lit("<table><tr><td>"), number, F.lit("</td></tr></table>"))).when(k == 2, "<table><tr><td>1</tr></table>").otherwise("")
+    sinks.write_tree(pages.select(F.concat(F.lit("p"), number, F.lit(".md")).alias("path"), F.concat(F.lit("x"), number, cell, F.lit("\r\ny")).alias("text")), root)
+    counts = jobs.convert_tables(spark, root)
+    told = " ".join(str(counts[c]) for c in ("documents", "tables_found", "tables_converted", "changed"))
+    return files.markdown(spark, root).unionByName(spark.createDataFrame([("counts", told)], "path string, text string"))
+
+
 @query(
     f"""SELECT 'docs/' || n_name || '.md' AS path, CASE WHEN n_nationkey % 2 = 0 THEN '| ' || n_name || ' | 1 |' || chr(10) || '| --- | --- |' || chr(10) ELSE n_name END AS text FROM nation UNION ALL
     SELECT 'todo.md', string_agg('- [x] `docs/' || n_name || '.md`', chr(10) ORDER BY n_name) || chr(10) || chr(10) || '### 已完成' || chr(10) || chr(10) || string_agg('- `docs/' || n_name || '.md`：' || CASE WHEN n_nationkey % 2 = 0 THEN '{jobs.REBUILT.format(1)}' ELSE '{jobs.NOTHING}' END, chr(10) || chr(10) ORDER BY n_name) || chr(10) FROM nation"""

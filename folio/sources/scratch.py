@@ -6,8 +6,10 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from folio.sources import storage
 
@@ -34,6 +36,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, **counters: Column) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """df with counters that are taken while it is written, and what gives them afterwards.
+
+    Rows that the planner knows to be none take the counters away with them: these are 0.
+    """
+    seen = Observation()
+
+    def counts() -> dict[str, int]:
+        try:
+            return {k: v or 0 for k, v in seen.get.items()}
+        except Py4JJavaError:
+            return dict.fromkeys(counters, 0)
+
+    return df.observe(seen, *(c.alias(k) for k, c in counters.items())), counts
+
+
 def drop(path: str) -> None:
     spark = _held.pop(path, None)
     if spark is not None:

@@ -6,6 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from folio.operators import contents
+from folio.plans import jobs
 
 FOLDERS = {"1": "docs", "2": "docs/a", "3": "docs/a/b"}
 
@@ -49,3 +50,13 @@ def test_a_title_of_most_documents(spark):
     assert "WindowGroupLimit" in plan
     got = out.collect()
     assert len(got) == 150 and {(r.rank, r.path) for r in got} == {(1, "docs/0.md"), (2, "docs/2.md"), (3, "docs/4.md")}
+
+
+def test_counts_of_nothing(spark):
+    docs = spark.createDataFrame([("x/a.md", "# T\n"), ("y/a.md", "# T\nbody\n")], "path string, text string")
+    toc = spark.createDataFrame([(0, 1, "T", 3), (1, 2, "no", 4)], "toc_idx int, level int, title string, page int")
+    for t, n in ((toc, 2), (toc.limit(0), 0), (toc.where("toc_idx > 5"), 0)):
+        for d, m in ((docs, 2), (docs.limit(0), 0), (docs.where("path = 'q'"), 0)):
+            found, counts = jobs.matched(t, d)
+            assert counts == {"toc_items": n, "md_files": m, "unmatched": min(n, 1) if m else n}
+            assert jobs.duplicate_report(d)[1] == {"A": m // 2, "B": m // 2}

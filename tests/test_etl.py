@@ -262,11 +262,11 @@ def test_rename_files(spark, tmp_path):
 
 def test_reports_as_files(spark, tmp_path):
     docs = spark.createDataFrame([("x/a.md", "# T\n"), ("y/a.md", "# T\nbody\n")], "path string, text string")
-    jobs.write_duplicate_report(docs, str(tmp_path / "r.txt"))
+    assert jobs.write_duplicate_report(docs, str(tmp_path / "r.txt")) == {"A": 1, "B": 1}
     group = "title_only:\n- x/a.md\nhas_content:\n- y/a.md  (body_lines=1, body_chars=4)\n"
     assert (tmp_path / "r.txt").read_text() == f"{jobs.DUPES_TITLE}\n\n{jobs.DUPES_HEAD['A']}\n\n候选组数：1\n\n== T ==\n{group}\n\n{jobs.DUPES_HEAD['B']}\n\n候选组数：1\n\n== a ==\n{group}\n"
     toc = spark.createDataFrame([(0, 1, "T", 3), (1, 2, "no", 4)], "toc_idx int, level int, title string, page int")
-    jobs.write_chapter_map(toc, docs, str(tmp_path / "m.md"), "b.pdf")
+    assert jobs.write_chapter_map(toc, docs, str(tmp_path / "m.md"), "b.pdf") == {"toc_items": 2, "md_files": 2, "unmatched": 1}
     made = (tmp_path / "m.md").read_text()
     assert made.startswith("#### ") and "来源：`b.pdf`\n" in made and made.endswith("- **no**（[P004](../assets/pdf_pages_small/page_004.jpg)）\n")
     assert tuple(jobs.chapter_counts(toc, docs).first()) == (2, 2, 1)
