@@ -11,6 +11,7 @@ from folio.functions import html
 from folio.functions import markdown as md
 from folio.functions import text as tx
 from folio.functions.charset import decode_as
+from folio.functions.convert import to_markdown
 from folio.operators import assets, checklist, contents, documents, repair, tables
 from folio.plans import jobs
 from folio.sources import files, scratch, sinks
@@ -163,7 +164,7 @@ TIDIED_SQL = chain_sql(
 
 @query(f"SELECT path, {TIDIED_SQL} || chr(10) AS text FROM (SELECT url AS path, {MARKDOWN_SQL} AS md FROM pages)")
 def html_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.import_pages(table(spark, sf_dir, "pages").select(F.col("url").alias("path"), "html"))
+    return jobs.import_pages(table(spark, sf_dir, "pages").select(F.col("url").alias("path"), "html"), convert=to_markdown)
 
 
 @query(
@@ -703,4 +704,4 @@ def escape_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # queries of other modules, which register themselves
-from folio.plans import pdf_cases, table_cases  # noqa: E402, F401
+from folio.plans import markdown_cases, pdf_cases, table_cases  # noqa: E402, F401
