@@ -704,4 +704,4 @@ def escape_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # queries of other modules, which register themselves
-from folio.plans import markdown_cases, pdf_cases, table_cases  # noqa: E402, F401
+from folio.plans import job_cases, markdown_cases, pdf_cases, table_cases  # noqa: E402, F401
