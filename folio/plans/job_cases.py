@@ -8,33 +8,35 @@ from pyspark.sql import functions as F
 from folio.operators import contents
 from folio.plans import jobs
 from folio.plans.catalog import query, table, work_folder
-from folio.sources import files, sinks
+from folio.sources import files, scratch, sinks
 
 
 @query(
-    """SELECT 'x/' || n_name || CASE n_nationkey % 3 WHEN 1 THEN '.md/y.md' ELSE '.md' END AS path, CASE n_nationkey % 3 WHEN 0 THEN 'ok' WHEN 1 THEN 'failed' ELSE 'missing' END AS status, n_nationkey % 3 = 1 AS has_error FROM nation
-    UNION ALL SELECT 'left: x/' || n_name || '.md', CASE n_nationkey % 3 WHEN 0 THEN 'new ' ELSE 'old ' END || n_name, false FROM nation"""
+    """WITH p AS (SELECT 'x/' || (page_id % 9) || '/' || page_id || '.md' AS path, url, page_id % 3 AS k FROM pages)
+    SELECT path || CASE k WHEN 1 THEN '/y.md' ELSE '' END AS path, CASE k WHEN 0 THEN 'ok' WHEN 1 THEN 'failed' ELSE 'missing' END AS status, k = 1 AS has_error FROM p
+    UNION ALL SELECT 'left: ' || path, CASE k WHEN 0 THEN 'new ' ELSE 'old ' END || url, false FROM p"""
 )
 def write_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of which every third can't be written, as a file stands where its folder should be: the others are written all the same."""
-    root, n = work_folder(spark), table(spark, sf_dir, "nation")
-    path, k = F.concat(F.lit("x/"), "n_name", F.lit(".md")), F.col("n_nationkey") % 3
-    sinks.write_tree(n.select(path.alias("path"), F.concat(F.lit("old "), "n_name").alias("text")), root)
-    rows = n.select(F.when(k == 1, F.concat(path, F.lit("/y.md"))).otherwise(path).alias("path"), F.concat(F.lit("new "), "n_name").alias("text"), F.when(k == 2, "missing").otherwise("ok").alias("status"))
-    done = spark.createDataFrame(sinks.write_each(rows, root, status_col="status").collect(), "path string, status string, error string")  # 25 at any scale
+    root, pages = work_folder(spark), table(spark, sf_dir, "pages")
+    number, k = F.col("page_id"), F.col("page_id") % 3
+    path = F.concat(F.lit("x/"), (number % 9).cast("string"), F.lit("/"), number.cast("string"), F.lit(".md"))
+    sinks.write_tree(pages.select(path.alias("path"), F.concat(F.lit("old "), "url").alias("text")), root)
+    rows = pages.select(F.when(k == 1, F.concat(path, F.lit("/y.md"))).otherwise(path).alias("path"), F.concat(F.lit("new "), "url").alias("text"), F.when(k == 2, "missing").otherwise("ok").alias("status"))
+    done = scratch.stored(sinks.write_each(rows, root, status_col="status"), "statuses")
     left = files.markdown(spark, root).select(F.concat(F.lit("left: "), "path"), "text", F.lit(False))
     return done.select("path", "status", F.col("error").isNotNull().alias("has_error")).union(left)
 
 
 @query(
-    """SELECT 'rebuild' AS job, 'missing, or with tables that are left: ' || string_agg('docs/' || n_name || '.md', ', ' ORDER BY 'docs/' || n_name || '.md') AS message FROM nation WHERE n_nationkey % 5 < 2
-    UNION ALL SELECT 'import', 'no pages' UNION ALL SELECT 'left', 'docs unchanged: ' || count(*) FROM nation WHERE n_nationkey % 5 > 0"""
+    """SELECT 'rebuild' AS job, 'missing, or with tables that are left: ' || string_agg(path, ', ' ORDER BY path) AS message FROM (SELECT 'docs/' || s_name || '.md' AS path FROM supplier WHERE s_suppkey % 5 < 2 ORDER BY path LIMIT 20)
+    UNION ALL SELECT 'import', 'no pages' UNION ALL SELECT 'left', 'docs unchanged: ' || count(*) FROM supplier WHERE s_suppkey % 5 > 0"""
 )
 def jobs_aborted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A rebuild with documents that are missing or keep a table, which changes nothing, and an import that finds no pages."""
-    root, n = work_folder(spark), table(spark, sf_dir, "nation")
-    path, k = F.concat(F.lit("docs/"), "n_name", F.lit(".md")), F.col("n_nationkey") % 5
-    text = F.concat(F.lit("<table><tr><td>"), "n_name", F.lit("<td>1</table>"), F.when(k == 1, "<table><tr>").otherwise(""))
+    """A rebuild with documents that are missing or keep a table, of which at most 20 are named and which changes nothing, and an import that finds no pages."""
+    root, n = work_folder(spark), table(spark, sf_dir, "supplier")
+    path, k = F.concat(F.lit("docs/"), "s_name", F.lit(".md")), F.col("s_suppkey") % 5
+    text = F.concat(F.lit("<table><tr><td>"), "s_name", F.lit("<td>1</table>"), F.when(k == 1, "<table><tr>").otherwise(""))
     docs = n.where(k > 0).select(path.alias("path"), text.alias("text"))
     sinks.write_tree(docs, root)
     todo = n.agg(F.array_join(F.array_sort(F.collect_list(F.concat(F.lit("- [ ] `"), path, F.lit("`")))), "\n").alias("text"))

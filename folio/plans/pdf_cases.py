@@ -1,4 +1,4 @@
-"""Queries over PDF files that are made from suppliers, written, and read back: bookmarks, page sizes, embedded images, thumbnails."""
+"""Queries over PDF files that are made from pages, written, and read back: bookmarks, page sizes, embedded images, thumbnails."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from folio.operators import assets
 from folio.plans.catalog import longs, query, table, work_folder
 from folio.sources import pdf, sinks
 
-#: Suppliers of a file; each is a page, a bookmark and an image.
+#: Pages of a file; each is a page there, a bookmark and an image.
 GROUP = 20
 
 
@@ -87,40 +87,40 @@ def document(entries: list[tuple[int, str]], images: list[tuple[bytes, bytes]],
     return bytes(out)
 
 
-def files_of_suppliers(spark: SparkSession, sf_dir: str) -> str:
-    """A tree of PDF files, one for GROUP suppliers each; every second image is a JPEG by name, the others are grey samples, four by two."""
+def files_of_pages(spark: SparkSession, sf_dir: str) -> str:
+    """A tree of PDF files, one for GROUP pages each; every second image is a JPEG by name, the others are grey samples, four by two."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             made = []
             for g, held in zip(b["g"], b["held"], strict=True):
                 entries, images = [], []
-                for i, s in enumerate(held):
-                    entries.append((1 + i % 3, s["s_name"] + (" 中(" if i % 2 else " (")))
-                    v, w = s["s_suppkey"] % 200, s["s_suppkey"] * 7 % 200
+                for i, page in enumerate(held):
+                    entries.append((1 + i % 3, page["url"] + (" 中(" if i % 2 else " (")))
+                    v, w = page["page_id"] % 200, page["page_id"] * 7 % 200
                     grey = bytes([v, v + 4, w, w + 4, v + 8, v + 12, w + 8, w + 12])
-                    jpeg = (b"/Width 4 /Height 2 /Filter /DCTDecode", f"jpeg {s['s_name']}".encode())
+                    jpeg = (b"/Width 4 /Height 2 /Filter /DCTDecode", f"jpeg {page['url']}".encode())
                     images.append((b"/Width 4 /Height 2 /BitsPerComponent 8 /ColorSpace /DeviceGray /Filter [/FlateDecode]", zlib.compress(grey)) if i % 2 else jpeg)
                 made.append(document(entries, images, g % 3))
             yield pd.DataFrame({"path": [f"g{g % 7}/b{g}.pdf" for g in b["g"]], "content": made})
 
-    groups = table(spark, sf_dir, "supplier").groupBy(F.expr("s_suppkey div 20").alias("g")).agg(F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name"))).alias("held"))
+    groups = table(spark, sf_dir, "pages").groupBy(F.expr(f"page_id div {GROUP}").alias("g")).agg(F.array_sort(F.collect_list(F.struct("page_id", "url"))).alias("held"))
     root = work_folder(spark)
     sinks.write_tree(groups.mapInPandas(run, "path string, content binary"), root, value_col="content")
     return root
 
 
-PLACED_SQL = f"placed AS (SELECT *, 'g' || ((s_suppkey // {GROUP}) % 7) || '/b' || (s_suppkey // {GROUP}) || '.pdf' AS path, row_number() OVER (PARTITION BY s_suppkey // {GROUP} ORDER BY s_suppkey) - 1 AS i, s_suppkey % 200 AS v, s_suppkey * 7 % 200 AS w FROM supplier)"
+PLACED_SQL = f"placed AS (SELECT *, 'g' || ((page_id // {GROUP}) % 7) || '/b' || (page_id // {GROUP}) || '.pdf' AS path, row_number() OVER (PARTITION BY page_id // {GROUP} ORDER BY page_id) - 1 AS i, page_id % 200 AS v, page_id * 7 % 200 AS w FROM pages)"
 
 
-@query(f"WITH {PLACED_SQL} SELECT path, i AS toc_idx, 1 + i % 3 AS level, s_name || CASE WHEN i % 2 = 1 THEN ' 中(' ELSE ' (' END AS title, i + 1 AS page FROM placed")
+@query(f"WITH {PLACED_SQL} SELECT path, i AS toc_idx, 1 + i % 3 AS level, url || CASE WHEN i % 2 = 1 THEN ' 中(' ELSE ' (' END AS title, i + 1 AS page FROM placed")
 def pdf_bookmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return longs(pdf.read(spark, files_of_suppliers(spark, sf_dir), "bookmarks"), "toc_idx", "level", "page")
+    return longs(pdf.read(spark, files_of_pages(spark, sf_dir), "bookmarks"), "toc_idx", "level", "page")
 
 
 @query(f"WITH {PLACED_SQL}, p AS (SELECT path, i + 1 AS page, CASE WHEN i % 2 = 1 THEN 100.0 + i ELSE 200.0 END AS width, CASE WHEN i % 2 = 1 THEN 100.0 ELSE 50.5 END AS height FROM placed) SELECT path, page, CAST(width AS DOUBLE) AS width, CAST(height AS DOUBLE) AS height, CAST(least(500.0 / CAST(width AS DOUBLE), 4.0) AS DOUBLE) AS scale FROM p")
 def pdf_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = pdf.read(spark, files_of_suppliers(spark, sf_dir), "pages")
+    pages = pdf.read(spark, files_of_pages(spark, sf_dir), "pages")
     return longs(pages.withColumn("scale", assets.scale(F.col("width"), F.lit(500.0))), "page")
 
 
@@ -139,15 +139,15 @@ def shown(content: pd.Series) -> pd.Series:
 
 @query(
     f"""WITH {PLACED_SQL} SELECT path, i + 1 AS page, 1 AS idx, CAST(4 AS BIGINT) AS width, printf('page_%03d_img_01.%s', i + 1, CASE WHEN i % 2 = 1 THEN 'png' ELSE 'jpg' END) AS name,
-    CASE WHEN i % 2 = 1 THEN concat_ws(',', v, v + 4, w, w + 4, v + 8, v + 12, w + 8, w + 12) ELSE 'jpeg ' || s_name END AS held FROM placed"""
+    CASE WHEN i % 2 = 1 THEN concat_ws(',', v, v + 4, w, w + 4, v + 8, v + 12, w + 8, w + 12) ELSE 'jpeg ' || url END AS held FROM placed"""
 )
 def pdf_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    images = pdf.read(spark, files_of_suppliers(spark, sf_dir), "images")
+    images = pdf.read(spark, files_of_pages(spark, sf_dir), "images")
     name = assets.image_name(F.col("page"), F.col("idx"), F.col("ext")).alias("name")
     return longs(images.select("path", "page", "idx", "width", name, shown("content").alias("held")), "page", "width").withColumn("idx", F.col("idx").cast("int"))
 
 
 @query(f"WITH {PLACED_SQL} SELECT path, i + 1 AS page, CASE WHEN i % 2 = 1 THEN concat_ws(',', v + 6, w + 6) END AS held FROM placed")
 def pdf_thumbnails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    images = assets.thumbnails(pdf.read(spark, files_of_suppliers(spark, sf_dir), "images"), max_width=2)
+    images = assets.thumbnails(pdf.read(spark, files_of_pages(spark, sf_dir), "images"), max_width=2)
     return longs(images.select("path", "page", shown("thumbnail").alias("held")), "page")
