@@ -3,14 +3,18 @@
 A page becomes a list of blocks (runs of text between block-level tags) with their length,
 the share of their text in links, their share of stop words, and where they stand.
 First pass: every block is judged by link density, then by length and stop-word density; short
-ones and those between the bounds stay undecided. Tags are evidence that is heard after this: blocks of page
-furniture (by element, role or class) are out, and in an article or main element only a list of
-links stays out by its density, other blocks there become undecided.
+ones and those between the bounds stay undecided. Where a page has hardly any word of the lists (other languages, other
+scripts) length alone decides; characters of scripts without blanks between words count for three. Tags shift the
+judgement: blocks of page furniture (by element, role or class, or after the heading of readers' comments) are out, and in an
+article or main element only a list of links stays out by its density, other blocks there become undecided.
 Second pass: an undecided block takes the label of its nearest decided neighbours in its region
 (the article or main elements, or the rest): the label that both sides share, else the nearer side's, else the one
 before; a heading takes the label of what follows it. In an article lists of links do not speak
-for their neighbours, and where nothing is decided the blocks are in; elsewhere they are out then.
+for their neighbours, and where nothing is decided the blocks are in; elsewhere they are out then, unless no
+block of the page is in: a page of a few short lines is these lines.
 
+A name marks furniture if, but for words of place and kind (GENERIC), nothing but words of furniture is in it: site-footer and
+cookie-notice do, notice-board does not.
 Names like no-sidebar or has-header tell of a layout and mark nothing; those like
 sidebar-left mark nothing either, but many links put their blocks out. An article or main
 element in marked wrappers is no furniture, unless it stands in an element of FIRM or in
@@ -33,17 +37,22 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from folio.llm.batches import lean
+
 #: Elements that begin and end blocks.
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 #: Elements whose content is no text of the page.
-SILENT = frozenset("head title noscript template svg math iframe object select button textarea canvas audio video map datalist".split())
+SILENT = frozenset("head title noscript template svg iframe object select button textarea canvas audio video map datalist".split())
 #: Elements of page furniture.
 FURNITURE = frozenset("nav header footer aside form menu dialog".split())
-#: Words of class, id and role names that mark furniture.
-FURNITURE_NAMES = re.compile(
-    r"(?:^|[^a-z])(?:nav|navbar|navigation|menu|header|masthead|footer|sidebar|aside|ad|ads|advert|advertisement|advertising|banner|sponsor|sponsored|promo|cookie|cookies|consent|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|signup|login|search|share|sharing|social|related|recommended|breadcrumb|breadcrumbs|pagination|pager|comment|comments|disqus|respond|contentinfo|complementary)(?:$|[^a-z])"
+#: Words of class, id and role names that mark furniture, and those that say nothing beside them.
+FURNITURE_WORDS = frozenset(
+    "nav navbar navigation menu header masthead footer sidebar aside ad ads advert advertisement advertising banner sponsor sponsored promo cookie cookies consent notice notices alert popup modal overlay newsletter subscribe signup login search share sharing social related recommended breadcrumb breadcrumbs pagination pager comment comments disqus respond contentinfo complementary".split()
+)
+GENERIC = frozenset(
+    "a all area article articles bar block body bottom box btn button buttons center col column container content count dialog entry fixed foot form global group head holder icon icons id info inner item items js left link links list local main media mini mobile module more nav news of outer page pages panel post posts primary region right row secondary section site slot small sticky stories story the thread title top ul unit us user view wide widget widgets wp wrap wrapper".split()
 )
 #: Names of a layout, with or without the furniture that they name.
 LAYOUT_NAMES = re.compile(r"^(?:no|has|with|without)[-_]")
@@ -65,9 +74,20 @@ STOP = frozenset(
 TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|[^<]+|<", re.S)
 RAW_END = {k: re.compile(rf"</{k}(?=[\s/>])[^>]*>?", re.I) for k in ("script", "style", "xmp", "noembed", "noframes", "textarea", "title")}
 NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: Headings over what readers have written.
+REPLIES = re.compile(r"(?:\d+\s+)?(?:(?:reader |readers' |user )?comments?|responses|leave a (?:reply|comment)|(?:leser)?kommentare?|commentaires?(?: des lecteurs)?|comentarios?|комментарии|コメント)(?:\s*\(?\d+\)?)?\s*:?", re.I)
+#: Characters of scripts that set no blanks between words.
+DENSE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
 GOOD, BAD, UNSURE = 1, -1, 0
 SHORT, LONG = 70, 200
 LINKS, STOP_LOW, STOP_HIGH = 0.33, 0.12, 0.25
+#: Below this share of stop words in all text that is not linked a page is in none of the languages.
+STRANGE = 0.06
+
+
+def marks_furniture(name: str) -> bool:
+    words = [w for w in re.split("[^a-z]+", name) if w]
+    return any(w in FURNITURE_WORDS for w in words) and all(w in FURNITURE_WORDS or w in GENERIC for w in words)
 
 
 @dataclass
@@ -80,8 +100,11 @@ class Block:
     doubtful: bool = False
     article: bool = False
     item: bool = False
-    heading: bool = False
+    # level, 0 for none
+    heading: int = 0
     text: str = ""
+    # whether the page is in a language with a list of stop words
+    known: bool = True
 
 
 @dataclass
@@ -123,7 +146,7 @@ def blocks(page: str) -> list[Block]:
             if silent:
                 continue
             if now is None:
-                now = Block(article=article, item=item, doubtful=doubtful, heading=any(HEADING.match(s[0]) for s in stack[-3:]))
+                now = Block(article=article, item=item, doubtful=doubtful, heading=max((int(s[0][1]) for s in stack[-3:] if HEADING.match(s[0])), default=0))
                 out.append(now)
             now.parts.append(t)
             if not t.isspace():
@@ -173,7 +196,7 @@ def blocks(page: str) -> list[Block]:
         if HEADING.match(name) and article:
             # an article's heading is its own, even in its header
             around = tuple(r for r in around if roots[r].name != "header")
-        marks = [] if own else [x for x in names if FURNITURE_NAMES.search(x)]
+        marks = [] if own else [x for x in names if marks_furniture(x)]
         sure = [x for x in marks if not SIDE_NAMES.search(x)]
         if (name in FURNITURE or sure) and len(around) < DEPTH:
             around = (*around, len(roots))
@@ -182,10 +205,30 @@ def blocks(page: str) -> list[Block]:
     for b in out:
         b.text = " ".join(html.unescape("".join(b.parts)).split())
     out = [b for b in out if b.text]
+    words = [w for b in out if not b.linked for w in _words(b.text)]
+    known = sum(w in STOP for w in words) >= STRANGE * len(words)
+    for b in out:
+        b.known = known
     _mark_furniture(out, roots)
+    _mark_replies(out)
     return out
 
 
+def _words(text: str) -> list[str]:
+    return [w.strip(".,;:!?\"'()") for w in text.lower().split()]
+
+
+def _mark_replies(found: list[Block]) -> None:
+    """What follows a heading of readers' comments in its region, up to a heading of its level, is furniture, and so is that heading."""
+    under: dict[bool, int] = {}
+    for i, b in enumerate(found):
+        if b.heading and b.heading <= under.get(b.article, 0):
+            del under[b.article]
+        if i and b.heading and b.article not in under and REPLIES.fullmatch(b.text):
+            under[b.article] = b.heading
+        b.furniture = b.furniture or b.article in under
+
+
 def _mark_furniture(found: list[Block], roots: list[Root]) -> None:
     """A block in a furniture element is furniture, unless that element is no more than a wrapper of the page."""
     for b in found:
@@ -209,10 +252,13 @@ def density(b: Block) -> int:
     links = b.linked / n
     if links > LINKS:
         return BAD
+    n += 2 * len(DENSE.findall(b.text))
     if n < SHORT:
         return BAD if links else UNSURE
-    words = b.text.lower().split()
-    stop = sum(w.strip(".,;:!?\"'()") in STOP for w in words) / len(words)
+    if not b.known:
+        return GOOD if n >= LONG else UNSURE
+    words = _words(b.text)
+    stop = sum(w in STOP for w in words) / len(words)
     if stop >= STOP_HIGH or stop >= STOP_LOW and n >= LONG:
         return GOOD
     return UNSURE if stop >= STOP_LOW else BAD
@@ -228,10 +274,11 @@ def first_pass(b: Block) -> int:
     return label
 
 
-def second_pass(labels: list[int], headings: list[bool] | None = None, article: bool = False) -> list[int]:
-    """A region's labels, the undecided ones from the nearest decided ones; without any, all are in an article and out elsewhere."""
+def second_pass(labels: list[int], headings: list[bool] | None = None, article: bool = False, alone: bool | None = None) -> list[int]:
+    """A region's labels, the undecided ones from the nearest decided ones; in an article, and where it is alone, only good ones speak, and without any the undecided are in; else out."""
     n = len(labels)
-    heard = [GOOD if x == GOOD else UNSURE if article else x for x in labels]
+    alone = article if alone is None else alone
+    heard = [GOOD if x == GOOD else UNSURE if alone else x for x in labels]
     before, after = [-1] * n, [n] * n
     for i in range(n):
         before[i] = i if heard[i] else (before[i - 1] if i else -1)
@@ -242,7 +289,7 @@ def second_pass(labels: list[int], headings: list[bool] | None = None, article:
         if not x:
             a, b = before[i], after[i]
             if a < 0 and b == n:
-                x = GOOD if article else BAD
+                x = GOOD if alone else BAD
             elif a < 0 or b < n and (headings is not None and headings[i] or b - i < i - a):
                 x = heard[b]
             else:
@@ -257,7 +304,12 @@ def extract(page: str | None) -> str:
     labels = [first_pass(b) for b in found]
     for article in (True, False):
         some = [i for i, b in enumerate(found) if b.article == article]
-        for i, x in zip(some, second_pass([labels[i] for i in some], [found[i].heading for i in some], article), strict=True):
+        # a page on which nothing is in so far is what it says in short, but for what a form or a marked wrapper says
+        alone = article or GOOD not in labels
+        if alone and not article:
+            for i in some:
+                labels[i] = BAD if found[i].doubtful else labels[i]
+        for i, x in zip(some, second_pass([labels[i] for i in some], [found[i].heading > 0 for i in some], article, alone), strict=True):
             labels[i] = x
     return "\n".join(b.text for b, x in zip(found, labels, strict=True) if x == GOOD)
 
@@ -266,7 +318,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """id, url, text, n_chars of every page. Narrow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             texts = [extract(h) for h in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[id_col, url_col, "text", "n_chars"])
 

@@ -345,6 +345,24 @@ def test_wrappers(page, text):
     assert html_extract.extract(page) == text
 
 
+JA = "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。何でも薄暗いじめじめした所でニャーニャー泣いていた事だけは記憶している。吾輩はここで始めて人間というものを見た。"
+RU = "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. Все смешалось в доме Облонских. Жена узнала, что муж был в связи с бывшею в их доме француженкою, и объявила мужу, что не может жить с ним в одном доме."
+NO_TAGS = [
+    *((f"<nav><a href=x>no</a></nav><div><p>{t}</p><p>{t[:30].strip()}</p><ul><li><a href=y>{t[:20]}</a></ul></div><div class='cookie-notice'>{t}</div>", f"{t}\n{t[:30].strip()}") for t in (JA, RU, PROSE, "der die das und ist in den von zu " * 7 + "Ende.", "le chat est dans la maison et les enfants sont avec elle " * 4 + "oui.", "el perro y los niños que no se fueron en la casa de su abuela " * 4 + "fin.")),
+    ("<div><p>Yes, it is so.</p></div>", "Yes, it is so."),
+    ("<div><p>Short.</p><ul><li><a href=x>no</a></ul></div><footer>no</footer>", "Short."),
+    ("<article><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p></article>", "So x=1 holds."),
+    ("<article><p class='notice-board'>Kept.</p><p class='site-notice'>no</p><div class='search-results'>Found.</div><div class='post-footer'>no</div></article>", "Kept.\nFound."),
+    ("<article><h1>T</h1><p>One.</p><h2>Comments (3)</h2><p>no</p><h3>no</h3><p>no</p><h2>More</h2><p>Two.</p></article>", "T\nOne.\nMore\nTwo."),
+    ("<article><h1>Comments</h1><p>On comments.</p></article>", "Comments\nOn comments."),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), NO_TAGS)
+def test_pages_in_six_languages_and_short_ones(page, text):
+    assert html_extract.extract(page) == text
+
+
 def test_second_pass():
     assert html_extract.second_pass([1, 0, 0, -1, 0, 1]) == [1, 1, -1, -1, -1, 1]
     assert html_extract.second_pass([0, 0]) == [-1, -1] and html_extract.second_pass([]) == [] and html_extract.second_pass([0, 1]) == [1, 1]
@@ -376,10 +394,14 @@ def plain_page(rnd):
 def plain_rules(found):
     """The two passes again, one block after the other, every neighbour looked at."""
     label = []
+    told = [w for text, linked, _ in found if not linked for w in text.split()]
+    strange = sum(w in STOP_WORDS for w in told) < 0.06 * len(told)
     for text, linked, _ in found:
         words, size = text.split(), len(text)
         often = sum(w in STOP_WORDS for w in words) / len(words)
-        if linked * 3 > size * 0.99:
+        if strange and linked * 3 <= size * 0.99 and size >= 70:
+            label.append("in" if size >= 200 else "?")
+        elif linked * 3 > size * 0.99:
             label.append("out")
         elif size < 70:
             label.append("out" if linked else "?")
@@ -387,9 +409,9 @@ def plain_rules(found):
             label.append("in")
         else:
             label.append("?" if often >= 0.12 else "out")
-    kept = []
+    kept, short = [], "in" not in label
     for i, (text, _, heading) in enumerate(found):
-        got = label[i]
+        got = "in" if short and label[i] == "?" else label[i]
         if got == "?":
             left = next((label[j] for j in range(i - 1, -1, -1) if label[j] != "?"), None)
             right = next((label[j] for j in range(i + 1, len(found)) if label[j] != "?"), None)
