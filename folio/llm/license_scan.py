@@ -2,9 +2,11 @@
 
 A paragraph is known by the number of its first line. Lines are scored one by one, for
 notices on one line; then each line with a telling word that matched nothing is scored
-joined with the lines that follow it, up to a blank line, a matched line or SPAN_CHARS,
-for hard-wrapped notices. A line whose only signs are those of a comment is blank. Of
-joined paragraphs of one family that overlap, the first is reported.
+joined with the lines that follow it, up to a blank line, a matched line or SPAN_WORDS words (several times the
+longest template), for hard-wrapped notices. A line whose only signs are those of a comment is blank. A joined match
+has the lines that it needs, no others: the fewest lines from its first on that confirm a template, without lines before these that
+it can do without. Matches of one family whose lines overlap are one; so are those that follow in one paragraph as long as they
+confirm other templates. A template that comes again begins another notice.
 
 The features of a paragraph are the presence of word unigrams and
 bigrams that occur in the licence templates and have a telling word in them. A
@@ -30,6 +32,7 @@ from __future__ import annotations
 import json
 import random
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -100,6 +103,16 @@ OTHER = (
     "All rights to the name of the product belong to the holder of the trade mark.",
     "The Berkeley campus is licensed to serve food, subject to local rules.",
 )
+#: Sentences that name a licence and don't grant it; @ is its title.
+COUNTER = (
+    "This file is not released under the @.",
+    "It is not licensed under the @.",
+    "We considered the @ but did not choose it.",
+    "Works under the @ may be combined with it.",
+    "Unlike the @, it asks for nothing.",
+    "It was chosen instead of the @.",
+    "The @ is compatible with it.",
+)
 #: Titles and SPDX forms; they count in paragraphs of at most TITLE_WORDS words.
 TITLES = {
     "apache-2.0": ("Apache License", "SPDX-License-Identifier: Apache-2.0"),
@@ -133,8 +146,8 @@ WORD = r"[a-z0-9]+"
 VARIANTS = 60
 STEPS, RATE, DECAY = 400, 1.0, 2e-4
 MIN_PROBABILITY, MIN_TEMPLATE = 0.5, 0.6
-#: A wrapped notice has at most so many characters before and after its first line's end, and so many lines.
-SPAN_CHARS, SPAN_LINES = 600, 16
+#: Words from a line's first on that can belong to one template, whose longest has some forty; as many lines at most, as a line that is not blank has a word.
+SPAN_WORDS = 120
 
 
 def grams_of(text: str) -> list[str]:
@@ -179,6 +192,7 @@ def _examples(templates: dict[str, tuple[str, ...]], titles: dict[str, tuple[str
                 cut = rnd.randint(0, len(noise))
                 texts.append((" ".join([*noise[:cut], t, *noise[cut:]]), k))
     texts += [(v, unknown) for t in other for v in variants(t)[: VARIANTS // 3]]
+    texts += [(c.replace("@", t), unknown) for ts in titles.values() for t in ts for c in COUNTER for _ in range(VARIANTS // 4)]
     texts += [(w, unknown) for w in told] + [("", unknown)] * VARIANTS
     everything = [w for ts in templates.values() for t in ts for w in t.split()]
     for _ in range(VARIANTS * 12):
@@ -193,9 +207,10 @@ def fit(seed: int = 11) -> Model:
     """The classifier, fitted on the templates' variants; the temperature on those that a model of the others has not seen. Same seed, same model."""
     rnd = random.Random(seed)
     classes = [*TEMPLATES, UNKNOWN]
-    features = sorted({g for ts in (*TEMPLATES.values(), *TITLES.values()) for t in ts for g in grams_of(t)})
+    granting = {g for ts in (*TEMPLATES.values(), *TITLES.values()) for t in ts for g in grams_of(t)}
+    features = sorted(granting | {g for c in COUNTER for part in c.split("@") for g in grams_of(part)})
     index = {g: i for i, g in enumerate(features)}
-    told = sorted({w for g in features for w in g.split() if telling(w)})
+    told = sorted({w for g in granting for w in g.split() if telling(w)})
 
     def matrix(texts: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
         x = np.zeros((len(texts), len(features)), np.float32)
@@ -226,35 +241,72 @@ def fit(seed: int = 11) -> Model:
     return Model(classes, {g: [round(v, 6) for v in w[i].tolist()] for g, i in index.items()}, [round(v, 6) for v in b.tolist()], min(loss, key=loss.get), [w for w in told if w not in SLIGHT])
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is named once, so that nothing is worked out twice."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+
+
+def _grams(words: Column) -> Column:
+    return F.array_distinct(F.concat(words, F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))))
+
+
+def _by_family(of: dict[str, tuple[str, ...]]) -> Column:
+    """Features of each family's texts."""
+    return F.from_json(F.lit(json.dumps({k: [sorted(set(grams_of(t))) for t in ts] for k, ts in of.items()} | {UNKNOWN: []})), "map<string,array<array<string>>>")
+
+
+def _held(template: Column, grams: Column) -> Column:
+    """Whether enough of a template is among the features."""
+    return F.size(F.array_intersect(template, grams)) >= F.size(template) * F.lit(MIN_TEMPLATE)
+
+
 def _paragraph(line: Column, model: Model) -> Column:
     """family and probability of a line (lower case) that has a telling word."""
     weights = F.from_json(F.lit(json.dumps(model.weights)), "map<string,array<double>>")
-    templates = F.from_json(F.lit(json.dumps({k: [sorted(set(grams_of(t))) for t in ts] for k, ts in TEMPLATES.items()} | {UNKNOWN: []})), "map<string,array<array<string>>>")
-    titles = F.from_json(F.lit(json.dumps({k: [sorted(set(grams_of(t))) for t in ts] for k, ts in TITLES.items()} | {UNKNOWN: []})), "map<string,array<array<string>>>")
+    templates, titles = _by_family(TEMPLATES), _by_family(TITLES)
     names = F.array(*map(F.lit, model.classes))
-    words = F.regexp_extract_all(line, F.lit(WORD), F.lit(0))
+    words = _words(line)
     short = F.size(words) <= TITLE_WORDS
-    grams = F.array_distinct(F.concat(words, F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))))
-    grams = F.array_intersect(grams, F.map_keys(weights))
+    grams = F.array_intersect(_grams(words), F.map_keys(weights))
     logits = F.aggregate(grams, F.array(*map(F.lit, model.bias)), lambda acc, g: F.zip_with(acc, F.element_at(weights, g), lambda p, q: p + q))
     scaled = F.transform(logits, lambda v: v / F.lit(model.temperature))
 
-    # nested steps: each named once, so that nothing is worked out twice
     def chosen(z: Column) -> Column:
         top = F.array_max(z)
         p = 1 / F.aggregate(z, F.lit(0.0), lambda s, v: s + F.exp(v - top))
         return F.struct(F.element_at(names, F.array_position(z, top).cast("int")).alias("family"), p.alias("probability"))
 
     def confirmed(got: Column, found: Column, short: Column) -> Column:
-        by_template = F.exists(F.element_at(templates, got["family"]), lambda t: F.size(F.array_intersect(t, found)) >= F.size(t) * F.lit(MIN_TEMPLATE))
+        by_template = F.exists(F.element_at(templates, got["family"]), lambda t: _held(t, found))
         by_title = short & F.exists(F.element_at(titles, got["family"]), lambda t: F.size(F.array_except(t, found)) == 0)
         sure = (got["probability"] >= MIN_PROBABILITY) & (by_template | by_title)
         return F.struct(F.when(sure, got["family"]).otherwise(F.lit(UNKNOWN)).alias("family"), got["probability"].alias("probability"))
 
-    def let(value: Column, body: object) -> Column:
-        return F.element_at(F.transform(F.array(value), body), 1)
+    return _let(F.struct(grams.alias("g"), scaled.alias("z"), short.alias("short")), lambda s: confirmed(_let(s["z"], chosen), s["g"], s["short"]))
+
+
+def _lines_used(found: Column) -> Column:
+    """found (paragraph, lines, family, probability) with the number of its first line and of its last, and the templates (by number) that these lines hold."""
+    templates = F.element_at(_by_family(TEMPLATES), found["family"])
+    lines = found["lines"]
+
+    def held(first: Column, count: Column) -> Column:
+        grams = _grams(_words(F.array_join(F.slice(lines, first, count), " ")))
+        return F.filter(F.transform(templates, lambda t, i: F.when(_held(t, grams), i)), lambda i: i.isNotNull())
+
+    places = F.sequence(F.lit(1), F.size(lines))
+    # the end: fewest lines from the first on; then the start: as late as one of the templates allows
+    end = F.coalesce(F.get(F.filter(places, lambda n: F.size(held(F.lit(1), n)) > 0), F.lit(0)), F.size(lines))
 
-    return let(F.struct(grams.alias("g"), scaled.alias("z"), short.alias("short")), lambda s: confirmed(let(s["z"], chosen), s["g"], s["short"]))
+    def trimmed(e: Column) -> Column:
+        late = F.filter(F.sequence(F.lit(1), e), lambda i: F.size(held(i, e - i + 1)) > 0)
+        return _let(F.coalesce(F.try_element_at(late, F.lit(-1)), F.lit(1)), lambda i: F.struct((found["paragraph"] + i - 1).alias("paragraph"), found["family"].alias("family"), found["probability"].alias("probability"), (found["paragraph"] + e - 1).alias("end"), held(i, e - i + 1).alias("held")))
+
+    return _let(end, trimmed)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
@@ -277,22 +329,41 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model:
     alone = base.select("*", matches(F.col("candidates")).alias("alone"))
     taken = F.col("alone.paragraph")
 
+    blank = lambda x: ~x.rlike(r"[\p{L}\p{N}]")
+
     def joined(c: Column) -> Column:
-        """c with the lines that follow it; null if none does."""
+        """c with the lines that follow it in its paragraph; null if none does."""
         at = c["paragraph"]
-        rest = F.transform(F.slice("lines", at + 2, SPAN_LINES), lambda x, i: F.when(~x.rlike(r"[\p{L}\p{N}]") | F.array_contains(taken, at + 1 + i), "\n").otherwise(F.substring(x, 1, SPAN_CHARS)))
-        after = F.substring(F.substring_index(F.array_join(rest, " "), "\n", 1), 1, SPAN_CHARS)
-        return F.when(F.trim(after) != "", F.struct(at.alias("paragraph"), F.concat(F.right(c["line"], F.lit(SPAN_CHARS)), F.lit(" "), after).alias("line")))
+        rest = F.slice("lines", at + 2, SPAN_WORDS)
+        stop = F.array_position(F.transform(rest, lambda x, i: blank(x) | F.array_contains(taken, at + 1 + i)), F.lit(True))
+        rest = F.when(stop > 0, F.slice(rest, 1, (stop - 1).cast("int"))).otherwise(rest)
+        within = _let(F.concat(F.array(c["line"]), rest), lambda ls: F.transform(ls, lambda x: F.regexp_extract(x, rf"\A(?:[^a-z0-9]*+{WORD}+){{0,{SPAN_WORDS}}}+", 0)))
+        return _let(within, lambda ls: F.when(F.size(ls) > 1, F.struct(at.alias("paragraph"), ls.alias("lines"), F.regexp_extract(F.array_join(ls, " "), rf"\A(?:[^a-z0-9]*+{WORD}+){{0,{SPAN_WORDS}}}+", 0).alias("line"))))
 
     left = F.filter("candidates", lambda c: ~F.array_contains(taken, c["paragraph"]))
-    wrapped = alone.select("*", F.filter(F.transform(left, joined), lambda s: s.isNotNull()).alias("joined")).withColumn("wrapped", matches(F.col("joined")))
+    wrapped = alone.select("*", F.filter(F.transform(left, joined), lambda s: s.isNotNull()).alias("joined"))
+    scored = F.filter(F.transform("joined", lambda c: F.struct(c["paragraph"].alias("paragraph"), c["lines"].alias("lines"), _paragraph(c["line"], model).alias("m"))), lambda s: s["m"]["family"] != UNKNOWN)
+    used = F.transform(scored, lambda s: _lines_used(F.struct(s["paragraph"].alias("paragraph"), s["lines"].alias("lines"), s["m"]["family"].alias("family"), s["m"]["probability"].alias("probability"))))
+    wrapped = wrapped.withColumn("wrapped", F.array_sort(used))
+
+    def one_paragraph(k: Column, m: Column) -> Column:
+        between = F.slice("lines", k["end"] + 2, F.greatest(m["paragraph"] - k["end"] - 1, F.lit(0)))
+        return ~F.exists(between, blank)
+
+    def noted(kept: Column, m: Column) -> Column:
+        """kept with one match more; k: the last of its family."""
+
+        def with_last(k: Column) -> Column:
+            goes_on = (F.size(F.array_intersect(k["held"], m["held"])) == 0) & one_paragraph(k, m)
+            longer = F.struct(k["paragraph"].alias("paragraph"), k["family"].alias("family"), k["probability"].alias("probability"), m["end"].alias("end"), F.concat(k["held"], m["held"]).alias("held"))
+            grown = F.transform(kept, lambda x: F.when((x["paragraph"] == k["paragraph"]) & (x["family"] == k["family"]), longer).otherwise(x))
+            return F.when(k.isNull() | (k["end"] < m["paragraph"]) & ~goes_on, F.concat(kept, F.array(m))).when(k["end"] >= m["paragraph"], kept).otherwise(grown)
 
-    def overlaps(m: Column, k: Column) -> Column:
-        return (k["family"] == m["family"]) & (k["paragraph"] + SPAN_LINES >= m["paragraph"])
+        return _let(F.try_element_at(F.filter(kept, lambda k: k["family"] == m["family"]), F.lit(-1)), with_last)
 
-    none = F.array().cast("array<struct<paragraph:int,family:string,probability:double>>")
-    first = F.aggregate("wrapped", none, lambda kept, m: F.when(F.exists(kept, lambda k: overlaps(m, k)), kept).otherwise(F.concat(kept, F.array(m))))
-    return wrapped.select(id_col, "n_paragraphs", F.size("candidates").cast("long").alias("n_candidates"), F.array_sort(F.concat("alone", first)).alias("matches"))
+    none = F.array().cast("array<struct<paragraph:int,family:string,probability:double,end:int,held:array<int>>>")
+    notices = F.transform(F.aggregate("wrapped", none, noted), lambda m: F.struct(m["paragraph"].alias("paragraph"), m["family"].alias("family"), m["probability"].alias("probability")))
+    return wrapped.select(id_col, "n_paragraphs", F.size("candidates").cast("long").alias("n_candidates"), F.array_sort(F.concat("alone", notices)).alias("matches"))
 
 
 def summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

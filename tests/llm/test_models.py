@@ -211,6 +211,12 @@ def test_licence_cases(spark, model):
     assert license_scan.summary(empty(spark)).count() == 0
 
 
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
 WRAPPED = [
     (
         """MIT License
@@ -267,6 +273,14 @@ furnished to do so, subject to the following conditions:""",
     ("Free commons near the foundation, general works on the program of the year.", []),
     ("Permission is hereby granted, free of charge, to any person\n\nobtaining a book of the public library", []),
     ("mit dem Wort\nlicense und version", []),
+    (f"{MIT_TEXT}\nand now for something else\n{MIT_TEXT}", [(0, "mit"), (7, "mit")]),
+    (f"{MIT_TEXT}\n{MIT_TEXT}\n\n{MIT_TEXT}", [(0, "mit"), (6, "mit"), (13, "mit")]),
+    ("\n".join(MIT_TEXT.split()[:60]), [(0, "mit")]),
+    ("This file is not released under the MIT License.", []),
+    ("It is not licensed under the Apache License.", []),
+    ("We considered the MIT License but did not choose it.", []),
+    ("Works under the GNU Affero General Public License may be combined with it.", []),
+    ("Unlike the Mozilla Public License it asks for nothing.", []),
     ("the software of a public library\nis free of charge for any person\nand the law of the work", []),
 ]
 
