@@ -9,7 +9,7 @@ digest, for each paragraph ";" and eight digits, and "." and eight digits for ea
 texts; where roots differ, the sections, then paragraphs, then leaves that differ locate
 the edit. Likeness is the share of common leaves (2 * common / all, distinct ones).
 
-Defined results: a null text is an empty one. In `with_next` documents stand by falling
+Defined results: a null text is an empty one. Ids are integers. In `with_next` documents stand by falling
 id, nulls last, then by a hash of the text; rows with equal id and text count once in this
 order and get equal results. Extra columns are ignored.
 """

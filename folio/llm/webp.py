@@ -27,9 +27,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from folio.llm.batches import lean
+
 from folio.llm.textnum import U64, mix, span_hashes
 
 WIDTH, MAX_SIDE = 16, 1 << 14
+#: What the widest and highest image holds, 1 GiB.
+MOST_BYTES = 4 * MAX_SIDE * MAX_SIDE
+#: Texts of a slice, beside its bound of bytes.
+SLICE_ROWS = 1000
 #: Payload bytes that are coded at once; bounds a worker's arrays.
 BATCH_BYTES = 2 << 20
 CACHE_BITS = 9
@@ -783,6 +789,8 @@ def _encode_batch(payloads: list[bytes], width: int) -> list[bytes]:
 def encode_payloads(payloads: list[bytes]) -> list[bytes]:
     """Each payload (a positive multiple of 64 bytes) as one WebP file."""
     row = 4 * WIDTH
+    if max(map(len, payloads), default=0) > MOST_BYTES:
+        raise ValueError(f"a payload of over {MOST_BYTES} bytes is more than one image holds")
     out: list[bytes] = []
     k = 0
     while k < len(payloads):
@@ -831,7 +839,7 @@ def media_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """id, media binary: the text's payload as lossless WebP. Narrow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             media = encode_payloads([payload_of(t)[1] for t in b.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(media, pa.binary())], names=[id_col, "media"])
 
@@ -844,9 +852,9 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     fields = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                b = batch.slice(at, 1000)
+        for batch in lean(batches):
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                b = batch.slice(at, SLICE_ROWS)
                 sized = [payload_of(t) for t in b.column(1).to_pylist()]
                 media = encode_payloads([p for _, p in sized])
                 back = decode_payloads(media)

@@ -266,3 +266,10 @@ def test_table(spark):
     assert len({(g.payload_sha256, g.media_sha256, g.feature) for g in got}) == len({g.payload_sha256 for g in got})
     assert webp.round_trip(empty(spark)).count() == 0
     assert webp.media_column(table(spark)).count() == len(rows())
+
+
+def test_more_than_an_image_holds(monkeypatch):
+    monkeypatch.setattr(webp, "MOST_BYTES", 640)
+    assert webp.decode_payloads(webp.encode_payloads([bytes(640)])) == [bytes(640)]
+    with pytest.raises(ValueError, match="more than one image holds"):
+        webp.encode_payloads([bytes(64), bytes(704)])
