@@ -27,8 +27,8 @@ from pyspark.sql.types import StructType
 from folio.functions import png
 from folio.sources import storage
 
-#: Bytes of files of a task, and of rows of a batch.
-TASK_BYTES, BATCH_BYTES = 64 << 20, 4 << 20
+#: Bytes and number of the files of a task at most, and bytes of the rows of a batch.
+TASK_BYTES, TASK_FILES, BATCH_BYTES = 64 << 20, 100, 4 << 20
 TABLES = {
     "bookmarks": "path string, toc_idx int, level int, title string, page int",
     "pages": "path string, page int, width double, height double",
@@ -457,12 +457,12 @@ class PdfReader(DataSourceReader):
         self.root, self.pattern, self.table = root, pattern, table
 
     def partitions(self) -> list[Files]:
-        """Groups of files of about TASK_BYTES; a larger file is a group of its own."""
+        """Groups of files of about TASK_BYTES, TASK_FILES at most; a larger file is a group of its own."""
         fs, root = storage.opened(self.root)
         found = [f for f in fs.get_file_info(storage.afs.FileSelector(root, recursive=True)) if f.is_file and fnmatch.fnmatchcase(f.base_name, self.pattern)]
         out, size = [], TASK_BYTES
         for f in sorted(found, key=lambda f: f.path):
-            if size + f.size > TASK_BYTES:
+            if size + f.size > TASK_BYTES or len(out[-1].paths) == TASK_FILES:
                 out.append(Files([]))
                 size = 0
             out[-1].paths.append(f.path)
