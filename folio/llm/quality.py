@@ -7,10 +7,12 @@ pattern. Bad documents differ in kind and show few faults each, so the bad class
 with a part for each labeller's kind of fault, which starts with the documents that this one accuses and
 never holds one that it votes good; good ones start as those that none accuses. All other rates,
 and all shares, are estimated.
-A hashed linear scorer (logistic regression on hashed word and character-class features)
-learns from posteriors of a bounded sample of texts (FIT_ROWS, those with the lowest
-hashes), and scores all documents. The score below which a document is rejected is the one
-with the fewest expected errors on that sample, by its posteriors.
+A hashed linear scorer (logistic regression on hashed word and character-class features, with
+squared weights as penalty) learns from the posteriors of all documents, copies included: their counts
+are measured once and stored, each round is one scan of them that sums loss and gradient, and rounds go on to
+the minimum, of which there is one. A bounded sample of texts (FIT_ROWS) only says where the rounds
+start and how they scale their steps. The score below which a document is rejected is the one
+with the fewest expected errors on all documents, by their posteriors: sums along the sorted scores.
 
 Defined results: a null, empty or blank text has no votes and no features; it scores 0 and
 is rejected. Equal texts score equally. Every row gives a row; extra columns are ignored.
@@ -18,7 +20,9 @@ is rejected. Equal texts score equally. Every row gives a row; extra columns are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,17 +31,23 @@ from pyspark.sql import functions as F
 
 from folio.llm.html_extract import STOP
 from folio.llm.batches import lean
+from folio.llm.shared import drop, stored, tidy
 from folio.llm.textnum import U64, Words, byte_hashes, chunked, mix
 
 GOOD, BAD, NONE = 1, -1, 0
 LABELLERS = ("signs", "shouting", "bars", "stop_words", "exclaims", "repeats", "word_length", "letters", "runs")
-#: Documents that the linear scorer is fitted on, at most.
+#: Texts that the fit's start is taken from, at most; where it ends does not depend on them.
 FIT_ROWS = 4000
 WORD_FEATURES, CLASS_FEATURES = 512, 512
 #: Shares of repeated lines, of words that repeat the one before, and of distinct words.
 SHARES = 3
 FEATURES = WORD_FEATURES + CLASS_FEATURES + SHARES
 ROUNDS, STEPS = 60, 300
+PENALTY = 1e-4
+#: The fit ends when the next step would lower the loss by less than about half of this.
+TOLERANCE = 1e-12
+#: Sums of tasks are in units of these, so that their order has no say.
+UNIT, GAIN_UNIT = 2.0**-50, 2.0**-30
 #: In place of a chance of nothing.
 NEVER = 1e-12
 # byte classes
@@ -60,6 +70,61 @@ _TRIM = np.zeros(256, bool)
 _TRIM[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 
 
+class Counts:
+    """What the scorer needs of a run of texts, in the form it is stored in: totals, and the counts of the hashed features that occur."""
+
+    TOTALS = ("n_words", "n_bytes", "lines", "repeated", "same", "distinct")
+    SCHEMA = ", ".join(f"{t} long" for t in TOTALS) + ", at binary, n binary"
+
+    def __init__(self, totals: list[np.ndarray], each: np.ndarray, at: np.ndarray, n: np.ndarray):
+        """each: how many features of each text occur; at and n: which they are, and how often."""
+        self.totals, self.each, self.at, self.n = totals, each, at.astype(np.uint16), n.astype(np.uint32)
+        n_words, n_bytes, lines, repeated, same, distinct = totals
+        words = np.maximum(1, n_words)
+        self.row = np.repeat(np.arange(len(each)), each)
+        of = np.where(self.at < WORD_FEATURES, words[self.row], np.maximum(1, n_bytes)[self.row])
+        # little text says little
+        self.value = np.sqrt(self.n / of) * np.minimum(1, n_words / 20)[self.row]
+        self.shares = np.stack((repeated / np.maximum(1, lines), same / words, distinct / words), axis=1)
+
+    @classmethod
+    def read(cls, b: pa.RecordBatch) -> Counts:
+        """From columns that columns() made."""
+
+        def flat(name: str, kind: type) -> tuple[np.ndarray, np.ndarray]:
+            column = b.column(name)
+            ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+            data = column.buffers()[2]
+            return np.diff(ends) // np.dtype(kind).itemsize, np.frombuffer(data[int(ends[0]) : int(ends[-1])] if data else b"", kind)
+
+        each, at = flat("at", np.uint16)
+        return cls([b.column(t).to_numpy() for t in cls.TOTALS], each, at, flat("n", np.uint32)[1])
+
+    def columns(self) -> list[pa.Array]:
+        def rows(values: np.ndarray) -> pa.Array:
+            ends = np.concatenate(([0], np.cumsum(self.each))) * values.itemsize
+            return pa.Array.from_buffers(pa.binary(), len(self.each), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(values.tobytes())])
+
+        return [*(pa.array(t.astype(np.int64)) for t in self.totals), rows(self.at), rows(self.n)]
+
+    def logits(self, w: np.ndarray, b: float) -> np.ndarray:
+        """x @ w + b for each text's features x; summed in one order, so that equal texts get equal sums."""
+        z = np.bincount(self.row, self.value * w[self.at], len(self.each))
+        for share, one in zip(self.shares.T, w[-SHARES:], strict=True):
+            z = z + share * one
+        return z + b
+
+    def sums(self, by: np.ndarray) -> np.ndarray:
+        """by @ x, for a number a text."""
+        return np.concatenate((np.bincount(self.at, self.value * by[self.row], WORD_FEATURES + CLASS_FEATURES), by @ self.shares))
+
+    def dense(self) -> np.ndarray:
+        x = np.zeros((len(self.each), FEATURES))
+        x[self.row, self.at] = self.value
+        x[:, -SHARES:] = self.shares
+        return x
+
+
 class Measures:
     """Counts that the labellers and the scorer need, for a run of texts."""
 
@@ -110,12 +175,9 @@ class Measures:
         distinct = np.bincount(owner, weights=new, minlength=len(texts))
         word = (bare % U64(WORD_FEATURES)).astype(np.int64)
         counts = np.bincount(owner * WORD_FEATURES + word, minlength=len(texts) * WORD_FEATURES).reshape(len(texts), WORD_FEATURES)
-        words_of, lines_of = np.maximum(1, self.n_words), np.maximum(1, self.lines)
-        shares = np.stack((self.repeated / lines_of, self.same / words_of, distinct / words_of), axis=1)
-        x = np.sqrt(np.concatenate((counts / words_of[:, None], pairs / np.maximum(1, self.n_bytes)[:, None]), axis=1))
-        # little text says little
-        x *= np.minimum(1, self.n_words / 20)[:, None]
-        self.features = np.concatenate((x, shares), axis=1).astype(np.float32)
+        joint = np.concatenate((counts, pairs), axis=1)
+        of, at = np.nonzero(joint)
+        self.counts = Counts([self.n_words, self.n_bytes, self.lines, self.repeated, self.same, distinct], np.bincount(of, minlength=len(texts)), at, joint[of, at])
 
     def votes(self) -> np.ndarray:
         t, n, words = self.table, np.maximum(1, self.n_bytes), np.maximum(1, self.n_words)
@@ -182,76 +244,199 @@ def estimate(patterns: dict[int, int], rounds: int = ROUNDS) -> tuple[dict[int,
     return dict(zip(keys.tolist(), post[:, 0].tolist(), strict=True)), np.stack([on_bad, rate[0, :, 2]], axis=1), float(share[0])
 
 
+def class_weight(good: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A document's weight by its posterior of good, n documents each: those likely good weigh half of all, the others half."""
+    share = np.where(good > 0.5, n[good > 0.5].sum(), n[good <= 0.5].sum()) / n.sum()
+    return 0.5 / np.maximum(1e-9, share) / n.sum()
+
+
 def fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic regression on soft labels, by gradient steps with momentum; both classes weigh the same."""
     x = x.astype(np.float64)
-    weight = np.where(y > 0.5, 0.5 / max(1e-9, (y > 0.5).mean()), 0.5 / max(1e-9, (y <= 0.5).mean())) / len(y)
+    weight = class_weight(y, np.ones(len(y)))
     w, b = np.zeros(x.shape[1]), 0.0
     vw, vb = np.zeros_like(w), 0.0
     for _ in range(STEPS):
         p = 1 / (1 + np.exp(-(x @ w + b)))
         g = weight * (p - y)
-        vw = 0.9 * vw - 2.0 * (x.T @ g + 1e-4 * w)
+        vw = 0.9 * vw - 2.0 * (x.T @ g + PENALTY * w)
         vb = 0.9 * vb - 2.0 * g.sum()
         w, b = w + vw, b + vb
     return w, b
 
 
+def curvature(x: np.ndarray, y: np.ndarray, w: np.ndarray, b: float) -> np.ndarray:
+    """Second derivatives of the loss of fit() by weights and bias; the bias, which has no penalty, gets a slight one, so that there is an inverse."""
+    p = 1 / (1 + np.exp(-(x @ w + b)))
+    x = np.concatenate((x, np.ones((len(x), 1))), axis=1)
+    return (x * (class_weight(y, np.ones(len(y))) * p * (1 - p))[:, None]).T @ x + np.diag(np.append(np.full(len(w), PENALTY), 1e-6))
+
+
+def descend(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray, metric: np.ndarray) -> np.ndarray:
+    """Where a convex loss (value and gradient) is least, by limited-memory BFGS from x; metric: roughly the inverse of its second derivatives."""
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    value, slope = loss(x)
+    while True:
+        step, along = slope.copy(), []
+        for s, y in reversed(pairs):
+            along.append(s @ step / (s @ y))
+            step -= along[-1] * y
+        step = metric @ step
+        for (s, y), a in zip(pairs, reversed(along), strict=True):
+            step += s * (a - y @ step / (s @ y))
+        fall = slope @ step
+        if fall < TOLERANCE:
+            return x
+        size = 1.0
+        while (got := loss(x - size * step))[0] > value - 1e-4 * size * fall + 1e-13:  # sums are rounded
+            size /= 2
+        pairs = [*pairs[-19:], (-size * step, got[1] - slope)]
+        x, (value, slope) = x - size * step, got
+
+
+class Run(NamedTuple):
+    """A run of ascending scores. errors: what rejecting its first ones adds to the errors, at the least; below and above: the scores around that cut."""
+
+    first: float
+    total: int
+    errors: int
+    below: float
+    above: float | None
+
+
+def lowest(score: np.ndarray, gain: np.ndarray) -> Run:
+    """The run of these scores, ascending and distinct; gain: good documents less bad ones at each, in units of GAIN_UNIT."""
+    sums = np.cumsum(gain)
+    k = int(np.argmin(sums))
+    return Run(float(score[0]), int(sums[-1]), int(sums[k]), float(score[k]), float(score[k + 1]) if k + 1 < len(score) else None)
+
+
+def joined(a: Run, b: Run) -> Run:
+    """The run of a's scores and then b's."""
+    if a.total + b.errors < a.errors:
+        return Run(a.first, a.total + b.total, a.total + b.errors, b.below, b.above)
+    return Run(a.first, a.total + b.total, a.errors, a.below, b.first if a.above is None else a.above)
+
+
+def gains(good: np.ndarray) -> np.ndarray:
+    return np.rint((2 * good - 1) / GAIN_UNIT).astype(np.int64)
+
+
+def between(run: Run | None) -> float:
+    """The least score to keep: half way between the scores around the cut, or 0 to keep all."""
+    if run is None or run.errors >= 0:
+        return 0.0
+    if run.above is None:
+        return float(np.nextafter(run.below, 2))
+    half = (run.below + run.above) / 2
+    return half if half > run.below else run.above
+
+
 def cut(score: np.ndarray, good: np.ndarray) -> float:
-    """The least score to keep, with the fewest expected errors by the posteriors of good: half way between two scores, or 0 to keep all."""
-    order = np.argsort(score, kind="stable")
-    score, good = score[order], good[order]
-    errors = np.concatenate(([0.0], np.cumsum(good))) + np.concatenate((np.cumsum((1 - good)[::-1])[::-1], [0.0]))
+    """The least score to keep, with the fewest expected errors by the posteriors of good; cut_of() is the same for a table."""
     # between equal scores there is no cut
-    errors[1:-1][score[1:] == score[:-1]] = np.inf
-    k = int(np.argmin(errors))
-    return 0.0 if k == 0 else float(np.nextafter(score[-1], 2)) if k == len(score) else float((score[k - 1] + score[k]) / 2)
+    score, which = np.unique(score, return_inverse=True)
+    gain = np.zeros(len(score), np.int64)
+    np.add.at(gain, which, gains(good))
+    return between(lowest(score, gain) if len(score) else None)
 
 
 class Model:
     def __init__(self, weights: np.ndarray, bias: float, threshold: float, accuracy: np.ndarray, share: float):
         self.weights, self.bias, self.threshold, self.accuracy, self.share = weights, bias, threshold, accuracy, share
 
-    def scores(self, features: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-(features @ self.weights + self.bias)))
+    def scores(self, counts: Counts) -> np.ndarray:
+        return 1 / (1 + np.exp(-counts.logits(self.weights, self.bias)))
 
 
-def train(docs: DataFrame, text_col: str = "text") -> Model:
-    """Votes of all documents, EM over their patterns, and the scorer fitted on at most FIT_ROWS of them."""
-
+def measured(docs: DataFrame, text_col: str) -> DataFrame:
+    """Vote pattern, hash and Counts of every document with words."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    hashed = docs.select(text.alias("text"), F.xxhash64(text).alias("h"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in lean(batches):
             for at, texts in chunked(b.column(0).to_pylist()):
                 m = Measures(texts)
-                yield pa.RecordBatch.from_arrays([pa.array(np.where(m.n_words > 0, pattern(m.votes()), -1), pa.int32()), b.column(1).slice(at, len(texts))], names=["pattern", "h"])
+                out = [pa.array(pattern(m.votes()), pa.int32()), b.column(1).slice(at, len(texts)), *m.counts.columns()]
+                yield pa.RecordBatch.from_arrays(out, names=["pattern", "h", *Counts.TOTALS, "at", "n"]).filter(pa.array(m.n_words > 0))
+
+    return docs.select(text.alias("text"), F.xxhash64(text).alias("h")).mapInArrow(run, f"pattern int, h long, {Counts.SCHEMA}")
+
+
+def fit_all(rows: DataFrame, start: np.ndarray, metric: np.ndarray, posterior: dict[int, float], patterns: dict[int, int]) -> np.ndarray:
+    """Weights, and the bias as the last, with the least loss over all rows of measured(): a scan of them a round."""
+    keys = np.array(sorted(patterns))
+    good = np.array([posterior[k] for k in keys.tolist()])
+    weight = class_weight(good, np.array([patterns[k] for k in keys.tolist()], np.float64))
+
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros(FEATURES + 2)  # by weights and bias, and the loss
+            for b in lean(batches):
+                at = np.searchsorted(keys, b.column("pattern").to_numpy())
+                y, of, counts = good[at], weight[at], Counts.read(b)
+                z = counts.logits(x[:-1], x[-1])
+                by = of * (1 / (1 + np.exp(-z)) - y)
+                sums += np.concatenate((counts.sums(by), [by.sum(), of @ (np.logaddexp(0, z) - y * z)]))
+            # weights add up to 1: a loss of 8 is far above that of even odds, and no step is taken there
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums)), pa.int32()), pa.array(np.rint(np.minimum(sums, 8) / UNIT).astype(np.int64))], names=["k", "v"])
+
+        with tidy(rows.sparkSession):
+            got = rows.drop("h").mapInArrow(run, "k int, v long").groupBy("k").agg(F.sum("v").alias("v")).collect()  # FEATURES + 2 rows
+        sums = np.zeros(FEATURES + 2)
+        for r in got:
+            sums[r.k] = r.v * UNIT
+        w = np.append(x[:-1], 0.0)
+        return float(sums[-1] + PENALTY / 2 * (w @ w)), sums[:-1] + PENALTY * w
+
+    return descend(loss, start, metric)
+
+
+def cut_of(rows: DataFrame, model: Model, posterior: dict[int, float]) -> float:
+    """cut() over all rows of measured(): ranges of scores are runs, of which a task sends what joined() needs."""
+    keys = np.array(sorted(posterior))
+    gain = gains(np.array([posterior[k] for k in keys.tolist()]))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in lean(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(model.scores(Counts.read(b))), pa.array(gain[np.searchsorted(keys, b.column("pattern").to_numpy())])], names=["score", "gain"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs = [lowest(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+        if runs:
+            yield pa.RecordBatch.from_pylist([reduce(joined, runs)._asdict()], schema=pa.schema([("first", pa.float64()), ("total", pa.int64()), ("errors", pa.int64()), ("below", pa.float64()), ("above", pa.float64())]))
+
+    distinct = rows.drop("h").mapInArrow(score, "score double, gain long").groupBy("score").agg(F.sum("gain").alias("gain"))
+    with tidy(rows.sparkSession):
+        got = distinct.repartitionByRange("score").sortWithinPartitions("score").mapInArrow(run, "first double, total long, errors long, below double, above double").collect()  # one a range
+    runs = sorted((Run(*r) for r in got), key=lambda r: r.first)
+    return between(reduce(joined, runs) if runs else None)
 
-    # equal texts have one pattern, so distinct texts add up
-    counted = hashed.mapInArrow(count, "pattern int, h long").groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h").alias("texts")).collect()  # 3 ** labellers rows at most, and one
-    patterns = {r.pattern: r.n for r in counted if r.pattern >= 0}
+
+def train(docs: DataFrame, text_col: str = "text") -> Model:
+    """Votes of all documents, EM over their patterns, and the scorer and its threshold fitted on all of them."""
+    rows = stored(measured(docs, text_col), "measured")
+    with tidy(docs.sparkSession):
+        counted = rows.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h").alias("texts")).collect()  # 3 ** labellers rows at most
+    patterns = {r.pattern: r.n for r in counted}
     if not patterns:
+        drop(rows)
         return Model(np.zeros(FEATURES), 0.0, 0.0, np.zeros((len(LABELLERS), 2)), 0.5)
     posterior, accuracy, share = estimate(patterns)
 
-    # the lowest hashes: a threshold that about twice as many texts pass leaves little to sort; of equal texts one
+    # where to start: the texts with the lowest hashes, of equal ones one; a threshold that about twice as many texts pass leaves little to sort
     part = min(1.0, 2 * FIT_ROWS / sum(r.texts for r in counted))
-    low = hashed.where(F.col("h") <= int(-(2**63) + part * (2**64 - 1) if part < 1 else 2**63 - 1))
-    sample = low.groupBy("h").agg(F.min("text").alias("text")).orderBy("h").limit(FIT_ROWS)
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in lean(batches):
-            for _, texts in chunked(b.column(0).to_pylist()):
-                m = Measures(texts)
-                yield pa.RecordBatch.from_arrays([pa.array(np.where(m.n_words > 0, pattern(m.votes()), -1), pa.int32()), pa.array([f.tobytes() for f in m.features], pa.binary())], names=["pattern", "features"])
-
-    got = sample.select("text").mapInArrow(measure, "pattern int, features binary").toArrow().to_pydict()
-    kept = [i for i, p in enumerate(got["pattern"]) if p >= 0]
-    x = np.frombuffer(b"".join(got["features"][i] for i in kept), np.float32).reshape(-1, FEATURES)
-    y = np.array([posterior[got["pattern"][i]] for i in kept])
-    model = Model(*fit(x, y), 0.0, accuracy, share)
-    model.threshold = cut(model.scores(x), y)
+    low = rows.where(F.col("h") <= int(-(2**63) + part * (2**64 - 1) if part < 1 else 2**63 - 1))
+    with tidy(docs.sparkSession):
+        some = low.dropDuplicates(["h"]).orderBy("h").limit(FIT_ROWS).toArrow().combine_chunks().to_batches()
+    x = np.concatenate([np.zeros((0, FEATURES)), *(Counts.read(b).dense() for b in some)])
+    y = np.array([posterior[p] for b in some for p in b.column("pattern").to_pylist()])
+    w, b = fit(x, y)
+    fitted = fit_all(rows, np.append(w, b), np.linalg.inv(curvature(x, y, w, b)), posterior, patterns)
+
+    model = Model(fitted[:-1], float(fitted[-1]), 0.0, accuracy, share)
+    model.threshold = cut_of(rows, model, posterior)
+    drop(rows)
     return model
 
 
@@ -265,7 +450,7 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
             for at, texts in chunked([t or "" for t in b.column(1).to_pylist()]):
                 m = Measures(texts)
                 votes = m.votes()
-                score = np.where(m.n_words > 0, model.value.scores(m.features), 0.0)
+                score = np.where(m.n_words > 0, model.value.scores(m.counts), 0.0)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(at, len(texts)), pa.array((votes == GOOD).sum(axis=1), pa.int32()), pa.array((votes == BAD).sum(axis=1), pa.int32()), pa.array(score, pa.float64()), pa.array((m.n_words > 0) & (score >= least))],
                     names=[id_col, "votes_good", "votes_bad", "score", "keep"],
@@ -286,7 +471,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", threshold: float | None =
             keep = [np.zeros(0, bool)]
             for _, texts in chunked([t or "" for t in b.column(at_text).to_pylist()]):
                 m = Measures(texts)
-                keep.append((m.n_words > 0) & (model.value.scores(m.features) >= least))
+                keep.append((m.n_words > 0) & (model.value.scores(m.counts) >= least))
             yield b.filter(pa.array(np.concatenate(keep)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,9 +1,11 @@
+import functools
 import math
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from folio.llm import html_extract, license_scan, lm_score, quality
@@ -161,6 +163,55 @@ def test_cut_has_the_fewest_errors():
     assert quality.cut(np.array([0.2, 0.3]), np.array([1.0, 1.0])) == 0.0 and quality.cut(np.array([0.2]), np.array([0.0])) > 0.2
 
 
+def test_quality_is_fitted_on_all_documents(spark, monkeypatch):
+    """Weights and threshold are those of the whole table, wherever the fit starts: held against Newton's method on all rows at once."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.unionByName(docs.limit(30))  # copies count
+    texts = [t for t in ((r.text or "") for r in docs.select("text").collect()) if t.strip()]
+    measures = quality.Measures(texts)
+    seen = quality.pattern(measures.votes()).tolist()
+    posterior, _, _ = quality.estimate(Counter(seen))
+    y = np.array([posterior[p] for p in seen])
+    x = np.concatenate((measures.counts.dense(), np.ones((len(y), 1))), axis=1)
+    weight = np.where(y > 0.5, 0.5 / (y > 0.5).sum(), 0.5 / (y <= 0.5).sum())
+    penalty = np.append(np.full(quality.FEATURES, 1e-4), 0)
+    w = np.zeros(len(penalty))
+    for _ in range(15):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (weight * (p - y)) + penalty * w)
+    want = 1 / (1 + np.exp(-x @ w))
+    for rows in (60, 4000):
+        monkeypatch.setattr(quality, "FIT_ROWS", rows)
+        model = quality.train(docs)
+        got = model.scores(measures.counts)
+        assert np.abs(got - want).max() < 1e-4
+        assert model.threshold == pytest.approx(quality.cut(got, y), abs=1e-12)
+
+
+def test_counts_as_stored():
+    texts = ["the cat  sat\n\nthe cat sat\n", "", "a" * 70_000 + " b", "é! é! x"]
+    counts = quality.Measures(texts).counts
+    b = pa.RecordBatch.from_arrays(counts.columns(), names=[*quality.Counts.TOTALS, "at", "n"])
+    w = np.random.default_rng(1).normal(size=quality.FEATURES)
+    z = counts.logits(w, 0.5)
+    assert z == pytest.approx(counts.dense() @ w + 0.5) and counts.sums(z) == pytest.approx(z @ counts.dense())
+    for part in (b, b.slice(1, 2), b.slice(3), b.slice(0, 0)):
+        read = quality.Counts.read(part)
+        at = [b.column("n_bytes").to_pylist().index(n) for n in part.column("n_bytes").to_pylist()]
+        assert (read.dense() == counts.dense()[at]).all() and (read.logits(w, 0.5) == z[at]).all()
+
+
+def test_cut_in_runs():
+    rnd = np.random.default_rng(3)
+    for _ in range(100):
+        score = np.sort(rnd.choice(1000, 12, replace=False) / 1000)
+        good = rnd.random(12)
+        ends = [0, *sorted({int(e) for e in rnd.integers(1, 12, 3)}), 12]
+        runs = [quality.lowest(score[a:b], quality.gains(good[a:b])) for a, b in zip(ends, ends[1:])]
+        assert quality.between(functools.reduce(quality.joined, runs)) == quality.cut(score, good)
+    assert quality.cut(np.zeros(0), np.zeros(0)) == 0.0
+
+
 @pytest.fixture(scope="module")
 def model():
     return license_scan.fit()
