@@ -44,6 +44,16 @@ def test_stages_against_brute_force(spark):
     assert max(by.values()) <= 1024 and len(by) <= sum(size.values()) / 1024 + 2
 
 
+def test_first_stage_knows_all_documents(spark, monkeypatch):
+    """What stays does not hang on the texts that the fit starts from."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kept = []
+    for rows in (60, 4000):
+        monkeypatch.setattr(quality, "FIT_ROWS", rows)
+        kept.append(sorted(r.doc_id for r in corpus_pipeline.quality_classifier(spark, docs, SF).collect()))
+    assert kept[0] == kept[1]
+
+
 def test_run_is_registered(spark):
     assert queries()["pipeline"](spark, SF).count() > 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "minhash_near_dedup", "substring_dedup", "best_fit_packing"]
