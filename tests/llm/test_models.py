@@ -188,6 +188,19 @@ def test_quality_is_fitted_on_all_documents(spark, monkeypatch):
         assert model.threshold == pytest.approx(quality.cut(got, y), abs=1e-12)
 
 
+def test_quality_start_has_no_say(spark, monkeypatch):
+    """Scores are those of the one minimum over all documents: texts that the fit starts from don't show in them."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    counts = quality.Measures([r.text or "" for r in docs.select("text").collect()]).counts
+    models = []
+    for rows in (300, 4000):
+        monkeypatch.setattr(quality, "FIT_ROWS", rows)
+        models.append(quality.train(docs))
+    a, b = models
+    assert np.abs(a.scores(counts) - b.scores(counts)).max() < 1e-8
+    assert a.threshold == pytest.approx(b.threshold, abs=1e-8)
+
+
 def test_counts_as_stored():
     texts = ["the cat  sat\n\nthe cat sat\n", "", "a" * 70_000 + " b", "é! é! x"]
     counts = quality.Measures(texts).counts
